@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, quality_rules, substring_dedup
+from . import exact_dedup, near_dedup, quality_rules, substring_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
 }
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.OP1_SQL,
+    "op2_near_dedup": near_dedup.OP2_SQL,
     "op5_substring_dedup": substring_dedup.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
 }
