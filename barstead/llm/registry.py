@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, near_dedup, quality_rules, substring_dedup
+from . import chat_format, exact_dedup, near_dedup, quality_rules, substring_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op9_chat_format": chat_format.op9_chat_format,
 }
 
 ORACLE_SQL = {
@@ -16,4 +17,5 @@ ORACLE_SQL = {
     "op2_near_dedup": near_dedup.OP2_SQL,
     "op5_substring_dedup": substring_dedup.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op9_chat_format": chat_format.OP9_SQL,
 }
