@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, near_dedup, quality_rules, substring_dedup
+from . import chat_format, exact_dedup, language_id, near_dedup, quality_rules, substring_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op9_chat_format": chat_format.op9_chat_format,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 ORACLE_SQL = {
