@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, language_id, near_dedup, quality_rules, substring_dedup
+from . import chat_format, exact_dedup, language_id, mixing, near_dedup, packing, quality_rules, substring_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_near_dedup": near_dedup.op2_near_dedup,
+    "op4_source_mixing": mixing.op4_source_mixing,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_language_id": language_id.op10_language_id,
 }
@@ -16,6 +18,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op2_near_dedup": near_dedup.OP2_SQL,
+    "op4_source_mixing": mixing.OP4_SQL,
     "op5_substring_dedup": substring_dedup.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
     "op9_chat_format": chat_format.OP9_SQL,
