@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, language_id, mixing, near_dedup, packing, quality_rules, substring_dedup
+from . import chat_format, exact_dedup, language_id, mixing, near_dedup, packing, private_data, quality_rules, substring_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_near_dedup": near_dedup.op2_near_dedup,
+    "op3_private_data": private_data.op3_private_data,
     "op4_source_mixing": mixing.op4_source_mixing,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
