@@ -1,0 +1,14 @@
+"""The folder that driver and executors share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under spark.checkpoint.dir; under a local temporary folder only where that is unset, as in tests."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
