@@ -13,7 +13,10 @@ from ..operators import store as st
 from . import fixtures as fx
 from .book import query
 
-NOW = fx.ntz(fx.NOW)
+
+def now():
+    return fx.ntz(fx.NOW)
+
 
 # ---------------------------------------------------------------- scalar functions
 
@@ -44,7 +47,7 @@ def epoch_range_flag(spark, d):
 
 @query("""select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as datetime_utc, strftime(timestamp '2024-01-28 12:34:56', '%Y%m%d_%H%M%SZ') as run_id from events""")
 def datetime_utc(spark, d):
-    return fx.events(spark, d).select("event_id", S.utc_text(F.col("ts")).alias("datetime_utc"), S.run_id(NOW).alias("run_id"))
+    return fx.events(spark, d).select("event_id", S.utc_text(F.col("ts")).alias("datetime_utc"), S.run_id(now()).alias("run_id"))
 
 
 @query("""select symbol, bar_ts, bar_ts + interval 1 hour as snapshot_time from candles""")
@@ -127,7 +130,9 @@ def long_short_from_archive(m):
 
 # ---------------------------------------------------------------- filters
 
-CLOSE = F.col("bar_ts") + F.expr("interval 1 hour") - F.expr("interval 1 millisecond")
+
+def close_time():
+    return F.col("bar_ts") + F.expr("interval 1 hour") - F.expr("interval 1 millisecond")
 
 
 @query("""select symbol, bar_ts, close from candles where bar_ts + interval 1 hour - interval 1 millisecond <= timestamp '2024-01-28 12:00:00' - interval 1 millisecond""")
@@ -135,14 +140,14 @@ def closed_by_close_time(spark, d):
     return closed(fx.candles(spark, d)).select("symbol", "bar_ts", "close")
 
 
-def closed(bars, now=NOW):
-    """Bars whose close time lies before the floor of ``now``."""
-    return bars.filter(CLOSE <= S.hour_floor(now) - F.expr("interval 1 millisecond"))
+def closed(bars, at=None):
+    """Bars whose close time lies before the floor of the clock."""
+    return bars.filter(close_time() <= S.hour_floor(now() if at is None else at) - F.expr("interval 1 millisecond"))
 
 
 @query("""select symbol, ts, sum_open_interest from metrics5m where ts - interval 1 hour < timestamp '2024-01-28 12:00:00'""")
 def closed_by_timestamp(spark, d):
-    return fx.metrics5m(spark, d).filter(S.opens_at(F.col("ts")) < S.hour_floor(NOW)).select("symbol", "ts", "sum_open_interest")
+    return fx.metrics5m(spark, d).filter(S.opens_at(F.col("ts")) < S.hour_floor(now())).select("symbol", "ts", "sum_open_interest")
 
 
 @query("""select symbol, bar_ts, close from candles where bar_ts + interval 1 hour - interval 1 millisecond < timestamp '2024-01-28 12:34:56'""")
@@ -150,9 +155,9 @@ def closed_1m(spark, d):
     return closed_strict(fx.candles(spark, d)).select("symbol", "bar_ts", "close")
 
 
-def closed_strict(bars, now=NOW):
-    """Bars whose close time lies before ``now`` itself."""
-    return bars.filter(CLOSE < now)
+def closed_strict(bars, at=None):
+    """Bars whose close time lies before the clock itself."""
+    return bars.filter(close_time() < (now() if at is None else at))
 
 
 @query("""select symbol, bar_ts, close from candles where bar_ts between timestamp '2024-01-10 00:00:00' and timestamp '2024-01-12 05:00:00'""")

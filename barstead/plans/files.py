@@ -7,6 +7,7 @@ import zipfile
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..functions import schemas
@@ -18,10 +19,12 @@ from .scratch import shared_path
 
 # ---------------------------------------------------------------- archives
 
-MS = F.unix_millis(F.col("bar_ts").cast("timestamp"))
 
+def open_ms():
+    return F.unix_millis(F.col("bar_ts").cast("timestamp"))
 
-@F.pandas_udf("binary")
+
+@F.pandas_udf(T.BinaryType())
 def _zipped(bodies: pd.Series) -> pd.Series:
     def one(body: str) -> bytes:
         out = io.BytesIO()
@@ -38,7 +41,7 @@ def kline_line():
     scale = F.when(F.hour("bar_ts") % 5 == 0, 1000).otherwise(1)
     price = lambda c: F.round(c, 6).cast("decimal(20,6)").cast("string")
     return F.concat_ws(
-        ",", (MS * scale).cast("string"), price("open"), price("high"), price("low"), price("close"), price("volume"), ((MS + 3599999) * scale).cast("string"), F.lit("0"), F.col("num_trades").cast("string"), F.lit("0"), F.lit("0"), F.lit("0")
+        ",", (open_ms() * scale).cast("string"), price("open"), price("high"), price("low"), price("close"), price("volume"), ((open_ms() + 3599999) * scale).cast("string"), F.lit("0"), F.col("num_trades").cast("string"), F.lit("0"), F.lit("0"), F.lit("0")
     )
 
 
@@ -200,7 +203,7 @@ def merged_table(spark, d):
 @query("select epoch_ms(bar_ts) as open_time, close, symbol from candles")
 def csv_autoheader(spark, d):
     """Two folders of files, one with and one without header, read as one."""
-    rows = fx.candles(spark, d).select(MS.cast("string").alias("open_time"), F.round("close", 6).cast("decimal(20,6)").cast("string").alias("close"), "symbol")
+    rows = fx.candles(spark, d).select(open_ms().cast("string").alias("open_time"), F.round("close", 6).cast("decimal(20,6)").cast("string").alias("close"), "symbol")
     root = shared_path(spark, "autoheader")
     text.write_csv(rows.filter(F.col("symbol") < "c"), f"{root}/part=1")
     text.write_csv(rows.filter(F.col("symbol") >= "c"), f"{root}/part=2", header=False)
@@ -241,7 +244,7 @@ def props_extract(spark, d):
 def kline_payloads(spark, d):
     """A JSON array of arrays per series and day, as text."""
     price = lambda c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
-    cells = [MS.cast("string"), *map(price, ("open", "high", "low", "close", "volume")), (MS + 3599999).cast("string"), F.lit('"0"'), F.col("num_trades").cast("string"), F.lit('"1.5"'), F.lit('"2.5"')]
+    cells = [open_ms().cast("string"), *map(price, ("open", "high", "low", "close", "volume")), (open_ms() + 3599999).cast("string"), F.lit('"0"'), F.col("num_trades").cast("string"), F.lit('"1.5"'), F.lit('"2.5"')]
     row = F.concat(F.lit("["), F.concat_ws(",", *cells), F.lit("]"))
     return fx.candles(spark, d).groupBy("symbol", F.to_date("bar_ts").alias("day")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(row), ","), F.lit("]")).alias("payload"))
 

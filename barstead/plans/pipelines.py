@@ -272,7 +272,7 @@ def metric_store(spark, d):
 
 
 def closed_metrics(spark, d):
-    return fx.metrics5m(spark, d).filter(S.opens_at(F.col("ts")) < S.hour_floor(basics.NOW))
+    return fx.metrics5m(spark, d).filter(S.opens_at(F.col("ts")) < S.hour_floor(basics.now()))
 
 
 _CLOSED_METRICS = f"from metrics5m m left join (select symbol, max(ts) as e from metrics5m where {METRIC_CUT} group by 1) using (symbol) where ts - interval 1 hour < timestamp '2024-01-28 12:00:00' and (e is null or ts > e)"
