@@ -11,7 +11,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,18 +49,29 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_key(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, text and a row key: ``doc_key`` (null ids last) with ``text_key``, a hash of the text.
+def row_key(docs: DataFrame) -> dict[str, Column]:
+    """``doc_key`` (null ids last) and ``text_key``, a hash of id and text.
 
     Rows that share a doc_id but not a text have different keys; fully repeated rows share one and get one result.
     """
-    return docs.select(
-        "doc_id",
-        "text",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc_key"),
-        F.xxhash64("doc_id", "text").alias("text_key"),
-        *more,
-    )
+    return {"doc_key": F.coalesce(docs["doc_id"].cast("long"), F.lit(2**63 - 1)), "text_key": F.xxhash64(docs["doc_id"], docs["text"])}
+
+
+def with_key(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", *(e.alias(n) for n, e in row_key(docs).items()))
+
+
+#: Row keys that a join may broadcast (about 10 MB); beyond, the same join shuffles.
+BROADCAST_KEYS = 100_000
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose row key isn't in ``gone`` (doc_key, text_key)."""
+    gone = materialise(gone.select("doc_key", "text_key").distinct(), "gone")
+    few = gone.count() <= BROADCAST_KEYS
+    keyed = docs.select("*", *(e.alias(f"_{n}") for n, e in row_key(docs).items()))
+    match = (keyed["_doc_key"] == gone["doc_key"]) & (keyed["_text_key"] == gone["text_key"])
+    return keyed.join(F.broadcast(gone) if few else gone, match, "left_anti").select(*docs.columns)
 
 
 # ---------------------------------------------------------------- words in byte buffers

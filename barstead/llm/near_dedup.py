@@ -7,12 +7,14 @@ on, one or two of them so that 1 / threshold branches are expected and a pair at
 stays together somewhere with a probability that hardly falls with depth. Nodes of up to
 ``small`` classes are compared exhaustively; larger ones are branched further.
 
-Only groups matter, so a node isn't expanded into all its pairs at once: first each member is
-compared with the node's smallest member; the links found give provisional groups; then only
-pairs of different groups remain, all of them in small nodes, and in nodes that are still large
-at the last level everything outside the node's main group against the whole node. Each
-candidate pair passes a bound on set sizes and an estimate from the tokens (4.5 standard
-deviations of slack) and is confirmed on the full shingle sets of the texts.
+Only groups matter, so a node isn't expanded into all its pairs. First each member is compared
+with the node's smallest member; the links confirmed on the full shingle sets give provisional
+groups. Nodes that then hold several groups are searched for pairs across groups that set sizes
+and minwise tokens allow (4.2 standard deviations of slack): small nodes exhaustively, nodes that
+are still large at the last level in blocks, everything outside the main group against the whole
+node. Groups with such a pair form a cluster, and inside a cluster all pairs across groups that
+the tokens allow are confirmed on the full sets, again in blocks. Only pairs that connect two
+groups become rows.
 
 Recall: a pair at similarity s is in one node of a tree at the first level with probability
 s**3; 20 trees miss it with (1 - 0.85**3)**20 = 6e-9 at the threshold.
@@ -39,14 +41,14 @@ from .graph import components
 
 SHINGLE = 5
 THRESHOLD = 85
-COORDS = 64
+COORDS = 128
 TREES = 20
 FIRST_STEPS = 3
 STEPS = 3
 LAST_STEPS = 12
 SMALL = 32
-#: Texts picked by a broadcast id list up to this many ids (about 10 MB), by a shuffle join beyond.
-BROADCAST_IDS = 100_000
+#: Classes of a large node that a task holds at a time.
+HELD = 512
 
 _RNG = np.random.default_rng(85)
 _A = (_RNG.integers(0, 2**31, COORDS) * 2 + 1).astype(np.uint32)
@@ -138,10 +140,15 @@ def members(nodes: DataFrame) -> DataFrame:
     return shared.join(least, "path")
 
 
+def tokens_needed(threshold: int) -> int:
+    """Equal tokens that a pair at the threshold has but for one case in some 10**5."""
+    s = threshold / 100
+    return int(np.floor(COORDS * s - 4.2 * np.sqrt(COORDS * s * (1 - s))))
+
+
 def likely(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """Of (a, b), those that set sizes and minwise tokens allow."""
-    s = threshold / 100
-    need = int(np.floor(COORDS * s - 4.5 * np.sqrt(COORDS * s * (1 - s))))
+    need = tokens_needed(threshold)
     side = lambda x: classes.select(F.col("set_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("tokens").alias(f"tokens_{x}"))
 
     def run(batches):
@@ -153,12 +160,16 @@ def likely(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """set_id and text of the rows in ``wanted`` (set_id, doc_key, text_key)."""
+    few = wanted.count() <= C.BROADCAST_KEYS
+    return docs.join(F.broadcast(wanted) if few else wanted, ["doc_key", "text_key"]).select("set_id", "text").dropDuplicates(["set_id"])
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
     """Of (a, b), those whose full sets are that similar; ``docs`` has doc_key, text_key, text."""
     ids = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    wanted = C.materialise(ids.join(classes, "set_id").select("set_id", "doc_key", "text_key"), "wanted")
-    few = wanted.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(wanted) if few else wanted, ["doc_key", "text_key"]).select("set_id", "text").dropDuplicates(["set_id"])
+    texts = texts_of(C.materialise(ids.join(classes, "set_id").select("set_id", "doc_key", "text_key"), "wanted"), docs)
     side = lambda x: texts.select(F.col("set_id").alias(x), F.col("text").alias(f"text_{x}"))
 
     def run(batches):
@@ -171,8 +182,79 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a binary, b binary")
 
 
-def near_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES, small: int = SMALL) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
+def in_blocks(nodes: DataFrame, small: int, block: int, *columns: str) -> DataFrame:
+    """Rows of ``nodes`` (node, set_id, root, ...) whose node has several groups, dealt for ``bridges``.
+
+    A node of up to ``small`` classes is held as a whole. Of a larger one, the classes outside its
+    main group are held, in blocks of about ``block``, and the whole node streams past each block.
+    """
+    counts = nodes.groupBy("node", "root").agg(F.count("*").alias("n"))
+    split = counts.groupBy("node").agg(F.count("*").alias("groups"), F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main")).filter("groups > 1")
+    blocks = F.when(F.col("all") <= small, 1).otherwise(F.ceil((F.col("all") - F.col("most")) / block)).cast("int").alias("blocks")
+    own = nodes.join(split.select("node", "all", "main", blocks), "node")
+    rest = ["set_id", "root", *columns]
+    held = own.filter((F.col("all") <= small) | (F.col("root") != F.col("main"))).select("node", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("streams"), *rest)
+    streams = own.filter(F.col("all") > small).select("node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("streams"), *rest)
+    return held.unionByName(streams).repartition("node", "block").sortWithinPartitions("node", "block", "streams")
+
+
+def bridges(rows: DataFrame, threshold: int, confirm: bool) -> DataFrame:
+    """Pairs of classes (a, b) with their groups (ra, rb) that connect different groups of a node.
+
+    Each held class is compared with each other held or streamed class of another group by set
+    size and tokens and, with ``confirm``, on the full sets of the texts. Groups already connected
+    in the block are skipped, so a block gives fewer rows than it has groups.
+    """
+    need = tokens_needed(threshold)
+
+    def alike(x, y):
+        close = 100 * np.minimum(x["n"][:, None], y["n"][None]) >= threshold * np.maximum(x["n"][:, None], y["n"][None])
+        at = np.argwhere(close)
+        return at[(x["tokens"][at[:, 0]] == y["tokens"][at[:, 1]]).sum(axis=1) >= need].tolist()
+
+    def same(s, t):
+        shared = len(np.intersect1d(s, t, assume_unique=True))
+        return 100 * shared >= threshold * (len(s) + len(t) - shared)
+
+    def run(batches):
+        key, held, parent = None, [], {}
+
+        def find(r):
+            while parent.get(r, r) != r:
+                r = parent[r]
+            return r
+
+        for batch in batches:
+            tags = list(zip(*(batch.column(c).to_pylist() for c in ("node", "block", "streams")), strict=True))
+            ids, roots = batch.column("set_id").to_pylist(), batch.column("root").to_pylist()
+            n = np.asarray(batch.column("n_shingles"))
+            tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), dtype=np.uint32).reshape(-1, COORDS)
+            sets = [s for _, _, part in shingle_sets(batch.column("text")) for s in part] if confirm else None
+            out, lo = [], 0
+            while lo < len(tags):
+                hi = lo
+                while hi < len(tags) and tags[hi] == tags[lo] and hi - lo < 256:
+                    hi += 1
+                part = {"ids": ids[lo:hi], "roots": roots[lo:hi], "n": n[lo:hi], "tokens": tokens[lo:hi], "sets": sets[lo:hi] if confirm else None}
+                if tags[lo][:2] != key:
+                    key, held, parent = tags[lo][:2], [], {}
+                if not tags[lo][2]:
+                    held.append(part)
+                for x in held:
+                    for i, j in alike(x, part):
+                        ri, rj = find(x["roots"][i]), find(part["roots"][j])
+                        if ri != rj and (not confirm or same(x["sets"][i], part["sets"][j])):
+                            parent[max(ri, rj)] = min(ri, rj)
+                            out.append((x["ids"][i], part["ids"][j], x["roots"][i], part["roots"][j]))
+                lo = hi
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b", "ra", "rb"])
+
+    return rows.mapInArrow(run, "a binary, b binary, ra binary, rb binary")
+
+
+def keyed_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES, small: int = SMALL) -> DataFrame:
+    """Per row: doc_key, text_key, n_shingles, component (smallest doc_key reachable)."""
     keyed = C.with_key(docs).select("doc_key", "text_key", "text")
     base = C.materialise(sketches(keyed), "sketches")
     classes = base.filter("set_id is not null").groupBy("set_id").agg(F.min(F.struct("doc_key", "text_key", "n_shingles", "tokens")).alias("r")).select("set_id", "r.*")
@@ -192,23 +274,23 @@ def near_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES,
     links = C.materialise(confirmed(tried, classes, keyed, threshold), "links")
     groups = components(links)
 
-    open_pairs = None
+    grouped = lambda nodes: nodes.join(groups.withColumnRenamed("node", "n"), F.col("set_id") == F.col("n"), "left").withColumn("root", F.coalesce("root", "set_id"))
+    hints = None
     for level in levels:
         last = level is levels[-1]
         own = level.filter((F.col("size") > 2) & (F.col("size") <= small) | F.lit(last) & (F.col("size") > small))
-        own = own.join(groups, own["set_id"] == groups["node"], "left").select("path", "set_id", "size", F.coalesce("root", "set_id").alias("root"))
-        counts = own.groupBy("path", "root").agg(F.count("*").alias("n"))
-        split = counts.groupBy("path").agg(F.count("*").alias("groups"), F.max_by("root", "n").alias("main")).filter("groups > 1")
-        own = own.join(split.select("path", "main"), "path")
-        # in a small node each class meets each of another group; in a large one those outside the main group do
-        one = own.filter((F.col("size") <= small) | (F.col("root") != F.col("main"))).select("path", F.col("set_id").alias("x"), F.col("root").alias("rx"))
-        other = own.select("path", F.col("set_id").alias("y"), F.col("root").alias("ry"))
-        found = one.join(other, "path").filter("rx != ry and x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        open_pairs = found if open_pairs is None else open_pairs.union(found)
-    rest = likely(open_pairs.distinct().join(stars, ["a", "b"], "left_anti"), classes, threshold)
-    rest = C.materialise(rest, "pairs")
-    if not rest.isEmpty():
-        more = C.materialise(confirmed(rest, classes, keyed, threshold), "links")
+        own = grouped(own.select(F.col("path").alias("node"), "set_id")).select("node", "set_id", "root")
+        own = in_blocks(own.join(classes.select("set_id", "n_shingles", "tokens"), "set_id"), small, HELD, "n_shingles", "tokens")
+        found = bridges(own, threshold, confirm=False).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        hints = found if hints is None else hints.union(found)
+    hints = C.materialise(hints.distinct(), "hints")
+    if not hints.isEmpty():
+        clusters = components(hints).select(F.col("root").alias("cluster"), F.col("node").alias("group"))
+        inside = grouped(classes).join(clusters, F.col("root") == F.col("group")).select(F.col("cluster").alias("node"), "set_id", "root", "n_shingles", "tokens", "doc_key", "text_key")
+        inside = C.materialise(inside, "inside")
+        texts = texts_of(inside.select("set_id", "doc_key", "text_key"), keyed)
+        rows = in_blocks(inside.join(texts, "set_id"), small, HELD, "n_shingles", "tokens", "text")
+        more = C.materialise(bridges(rows, threshold, confirm=True).select("a", "b"), "links")
         if not more.isEmpty():
             groups = components(links.union(more))
 
@@ -216,8 +298,19 @@ def near_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES,
     least = named.groupBy("root").agg(F.min("doc_key").alias("component"))
     table = named.join(least, "root").select("set_id", "component")
     result = base.drop("tokens").join(table, "set_id", "left").withColumn("component", F.coalesce("component", "doc_key"))
+    return result.select("doc_key", "text_key", "n_shingles", "component")
+
+
+def near_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES, small: int = SMALL) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept."""
     null_id = lambda c: F.when(F.col(c) != 2**63 - 1, F.col(c))
-    return result.select(null_id("doc_key").alias("doc_id"), "n_shingles", null_id("component").alias("component_id"), (F.col("doc_key") == F.col("component")).alias("kept"))
+    rows = keyed_groups(docs, threshold, trees, small)
+    return rows.select(null_id("doc_key").alias("doc_id"), "n_shingles", null_id("component").alias("component_id"), (F.col("doc_key") == F.col("component")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that a smaller id of their group stands for."""
+    return C.without(docs, keyed_groups(docs, threshold).filter("doc_key != component"))
 
 
 def op2_near_dedup(spark, sf_dir):
