@@ -101,7 +101,7 @@ def ambiguous_ids(docs: DataFrame) -> list[int]:
 
 
 def recipes(docs: DataFrame, ambiguous: list[int]) -> DataFrame:
-    """doc_id, recipe (ordered identifiers, eight bytes each; 32 for ambiguous ones) and text_sha256."""
+    """doc_id, text_key, recipe (ordered identifiers, eight bytes each; 32 for ambiguous ones) and text_sha256."""
     doubtful = frozenset(ambiguous)
 
     def name(chunk: bytes) -> bytes:
@@ -115,22 +115,28 @@ def recipes(docs: DataFrame, ambiguous: list[int]) -> DataFrame:
                 lists.append(b"".join(map(name, own)))
                 digests.append(hashlib.sha256(text).hexdigest())
             if lists:
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "recipe": pa.array(lists, pa.binary()), "text_sha256": pa.array(digests)})
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "recipe": pa.array(lists, pa.binary()), "text_sha256": pa.array(digests)})
 
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, "doc_id long, recipe binary, text_sha256 string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", C.row_key(docs)["text_key"].alias("text_key")).mapInArrow(run, "doc_id long, text_key long, recipe binary, text_sha256 string")
+
+
+def keyed_groups(docs: DataFrame) -> DataFrame:
+    rows = recipes(docs, ambiguous_ids(docs))
+    groups = C.materialise(rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    return rows.join(groups, "recipe").select("doc_id", "text_key", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = recipes(docs, ambiguous_ids(docs))
-    groups = rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    return rows.join(groups, "recipe").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return keyed_groups(docs).drop("text_key")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns, one per group of equal texts even where ids repeat."""
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    """The rows of ``docs`` that stay, all columns, one per group of equal texts even where rows repeat."""
+    verdicts = C.materialise(keyed_groups(docs), "verdicts")
+    kept = C.without(docs, verdicts.filter("not kept").select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_key"), "text_key"))
+    again = verdicts.filter("kept and group_size > 1").groupBy("text_sha256").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    return kept if again else kept.withColumn("_norm", F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), C.SPACE, " "), 256)).dropDuplicates(["doc_id", "_norm"]).drop("_norm")
 
 
 def op6_exact_dedup(spark, sf_dir):

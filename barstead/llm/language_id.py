@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as C
 
@@ -165,17 +166,17 @@ def train(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Net | None:
     return net
 
 
-def predict(docs: DataFrame, net: Net | None) -> DataFrame:
-    """doc_id, held_out, lang_pred, score per row of ``docs`` (doc_id, text)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold() == HELD_OUT).alias("held_out"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"), "text")
+def predict(docs: DataFrame, net: Net | None, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with lang_pred and score; one pass, no shuffle."""
+    rows = docs.select(*keep, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"), F.col("text").alias("_text"))
 
     def run(batches):
         for batch in batches:
             n = batch.num_rows
-            letters = np.asarray(batch.column("letters").to_numpy(zero_copy_only=False), dtype=bool)
+            letters = np.asarray(batch.column("_letters").to_numpy(zero_copy_only=False), dtype=bool)
             names, scores = np.full(n, UNKNOWN, dtype=object), np.zeros(n)
             if net is not None and n:
-                raw_all, offsets_all = C.text_buffer(batch.column("text"))
+                raw_all, offsets_all = C.text_buffer(batch.column("_text"))
                 for i, j in C.chunks(offsets_all):
                     raw, offsets = raw_all[offsets_all[i] : offsets_all[j]], offsets_all[i : j + 1] - offsets_all[i]
                     size = np.where(letters[i:j], np.diff(offsets), 0)
@@ -198,13 +199,27 @@ def predict(docs: DataFrame, net: Net | None) -> DataFrame:
                     q /= q.sum(axis=1, keepdims=True)
                     names[i + full] = np.array(net.classes, dtype=object)[q.argmax(axis=1)]
                     scores[i + full] = np.clip(q.max(axis=1), 0, 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(names, pa.string()), pa.array(scores)], [*keep, "lang_pred", "score"])
 
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
-def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE, cuts_each: int = CUTS_EACH) -> DataFrame:
-    return predict(docs, train(training_rows(docs, per_language, cuts_each)))
+def learned(docs: DataFrame, per_language: int = PER_LANGUAGE, cuts_each: int = CUTS_EACH) -> Net | None:
+    return train(training_rows(docs, per_language, cuts_each))
+
+
+def language_id(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, held_out, lang_pred, score."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold() == HELD_OUT).alias("held_out"), "text")
+    return predict(rows, learned(docs), ["doc_id", "held_out"])
+
+
+def with_known_language(docs: DataFrame, least_score: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is told with ``least_score`` or more; ``lang`` is the predicted one."""
+    known = predict(docs.select(*(F.col(c).alias(f"_c{i}") for i, c in enumerate(docs.columns)), "text"), learned(docs), [f"_c{i}" for i in range(len(docs.columns))])
+    known = known.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return known.select(*(F.col("lang_pred" if c == "lang" else f"_c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def op10_language_id(spark, sf_dir):

@@ -110,18 +110,25 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int
     """The mix as documents with the columns of ``docs``: a text taken n times whole comes n times; what is
     taken once more of it is one further row with those words, joined by single spaces."""
     keys = ["doc_key", "text_key"]
-    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc_key"), F.xxhash64("doc_id", "text").alias("text_key"))
+    keyed = docs.select("*", *(e.alias(n) for n, e in C.row_key(docs).items()))
     sized = C.materialise(sized_documents(keyed, *keys), "sized")
     plan = C.materialise(targets(sized, weights, cap, block), "plan")
     parts = _taken_blocks(positions(sized, plan), draws(plan), block)
-    wanted = parts.groupBy("k", "at", *keys).agg(F.min("taken_times").alias("whole"), F.expr("sort_array(collect_list(if(taken_times > 0, struct(place, n, taken_times), null)))").alias("spans"), F.max("taken_times").alias("most"))
-    copies = wanted.selectExpr(*keys, "explode(if(most = 0, array(), sequence(1L, most))) as copy", "whole", "spans").groupBy(*keys).agg(F.collect_list(F.struct("copy", "whole", "spans")).alias("copies"))
-    once = keyed.dropDuplicates(keys).join(copies.hint("shuffle_hash"), keys).withColumn("c", F.explode("copies"))
-    words = f"regexp_extract_all(text, '{C.WORD}', 0)"
-    words = words.replace("\\", "\\\\")
-    part = f"array_join(flatten(transform(filter(c.spans, s -> s.taken_times >= c.copy), s -> slice({words}, cast(s.place + 1 as int), cast(s.n as int)))), ' ')"
-    text = F.expr(f"if(c.copy <= c.whole, text, {part})")
-    columns = [text.alias("text") if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    per = parts.groupBy("k", "at", *keys).agg(
+        F.min("taken_times").alias("whole"), F.max("taken_times").alias("most"), F.expr("sort_array(collect_list(if(taken_times > 0, struct(place, n, taken_times), null)))").alias("spans")
+    )
+    copies = per.filter("most > 0").selectExpr(*keys, "explode(sequence(1L, most)) as copy", "whole", "spans")
+    # spans matter for the copies that aren't whole; there a block is in or out
+    spans = F.expr("if(copy <= whole, null, transform(filter(spans, s -> s.taken_times >= copy), s -> struct(s.place, s.n)))")
+    copies = copies.select(*keys, spans.alias("spans")).groupBy(*keys).agg(F.collect_list(F.struct("spans")).alias("copies"))
+    # rows that repeat in full have put all their copies under one key
+    repeated = not sized.groupBy(*keys).agg(F.count("*").alias("rows")).filter("rows > 1").isEmpty()
+    once = (keyed.dropDuplicates(keys) if repeated else keyed).join(copies.hint("shuffle_hash"), keys)
+    split = F.regexp_extract_all("text", F.lit(C.WORD), F.lit(0))
+    once = once.withColumn("_words", F.when(F.exists("copies", lambda c: c["spans"].isNotNull()), split)).withColumn("_copy", F.explode("copies"))
+    cut = F.transform(F.col("_copy.spans"), lambda s: F.slice("_words", (s["place"] + 1).cast("int"), s["n"].cast("int")))
+    once = once.withColumn("_text", F.when(F.col("_copy.spans").isNull() | F.col("_words").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(cut), " ")))
+    columns = [F.col("_text").alias(c) if c == "text" else F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return once.select(*columns)
 
 
