@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, language_id, mixing, near_dedup, packing, private_data, quality_rules, substring_dedup
+from . import chat_format, exact_dedup, language_id, license_scan, mixing, near_dedup, packing, private_data, quality_rules, substring_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_source_mixing": mixing.op4_source_mixing,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_license_scan": license_scan.op7_license_scan,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_language_id": language_id.op10_language_id,
