@@ -110,7 +110,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int
     """The mix as documents with the columns of ``docs``: a text taken n times whole comes n times; what is
     taken once more of it is one further row with those words, joined by single spaces."""
     keys = ["doc_key", "text_key"]
-    keyed = docs.select("*", *(e.alias(n) for n, e in C.row_key(docs).items()))
+    keyed = docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text", *(e.alias(n) for n, e in C.row_key(docs).items()))
     sized = C.materialise(sized_documents(keyed, *keys), "sized")
     plan = C.materialise(targets(sized, weights, cap, block), "plan")
     parts = _taken_blocks(positions(sized, plan), draws(plan), block)
@@ -123,12 +123,12 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int
     copies = copies.select(*keys, spans.alias("spans")).groupBy(*keys).agg(F.collect_list(F.struct("spans")).alias("copies"))
     # rows that repeat in full have put all their copies under one key
     repeated = not sized.groupBy(*keys).agg(F.count("*").alias("rows")).filter("rows > 1").isEmpty()
-    once = (keyed.dropDuplicates(keys) if repeated else keyed).join(copies.hint("shuffle_hash"), keys)
+    once = (keyed.dropDuplicates(keys) if repeated else keyed).select("_row", "text", *keys).join(copies.hint("shuffle_hash"), keys)
     split = F.regexp_extract_all("text", F.lit(C.WORD), F.lit(0))
     once = once.withColumn("_words", F.when(F.exists("copies", lambda c: c["spans"].isNotNull()), split)).withColumn("_copy", F.explode("copies"))
     cut = F.transform(F.col("_copy.spans"), lambda s: F.slice("_words", (s["place"] + 1).cast("int"), s["n"].cast("int")))
     once = once.withColumn("_text", F.when(F.col("_copy.spans").isNull() | F.col("_words").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(cut), " ")))
-    columns = [F.col("_text").alias(c) if c == "text" else F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    columns = [F.col("_text").alias(c) if c == "text" else F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"_row.{c}") for c in docs.columns]
     return once.select(*columns)
 
 

@@ -1,0 +1,302 @@
+"""The numbered operators on small rows: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from barstead.llm import chat_format, exact_dedup, graph, language_id, license_scan, mixing, near_dedup, packing, private_data, quality_rules, registry, substring_dedup
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+RNG = random.Random(5)
+VOCAB = ["".join(RNG.choice("abcdefghij") for _ in range(RNG.randint(2, 6))) for _ in range(60)]
+
+
+def prose(n, rng=RNG):
+    return " ".join(rng.choice(VOCAB) for _ in range(n))
+
+
+def odd_texts():
+    base = prose(80)
+    near = base.split(" ")
+    near[40] = "changed"
+    return [None, "", " \t\n", "one", "one two three", base, base.replace(" ", "\n\t"), " ".join(near), base + " " + prose(30), "ab " * 300, "x" * 5000, prose(3000), prose(3000) + " " + base]
+
+
+def docs(spark, texts, more=None):
+    rows = [(i, t, "en" if i % 3 else None, None if i % 4 == 3 else f"s{i % 4}", len(t or "")) for i, t in enumerate(texts)]
+    rows += more or []
+    df = spark.createDataFrame(rows, SCHEMA)
+    # columns that operators use for themselves elsewhere
+    return df.select("*", *(F.lit(1).alias(c) for c in ("size", "kept", "recipe", "tokens", "doc_key", "piece", "root", "block", "score", "words", "base")))
+
+
+def odd(spark):
+    t = odd_texts()
+    return docs(spark, t, [(None, t[5], None, None, None), (3, t[3], "en", "s3", 3), (3, "another text", None, None, None)])
+
+
+def words(t):
+    return [w.decode() for w in (t or "").encode().split()]
+
+
+OPERATORS = {
+    "op1": quality_rules.quality_rules,
+    "op2": near_dedup.near_groups,
+    "op3": private_data.private_data,
+    "op4": mixing.mix,
+    "op5": substring_dedup.substring_dedup,
+    "op6": exact_dedup.exact_groups,
+    "op7": license_scan.license_scan,
+    "op8": lambda d: packing.pack(packing.with_words(d)),
+    "op10": language_id.language_id,
+}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_odd_rows_get_a_row_each(spark, name):
+    df = odd(spark)
+    got = OPERATORS[name](df).collect()
+    ids = Counter(r.doc_id for r in got)
+    assert ids == Counter(r.doc_id for r in df.select("doc_id").collect())
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_empty_table(spark, name):
+    assert OPERATORS[name](spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def brute_base(t):
+    w = words(t)
+    seen = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    inside = {i + o for i in range(len(w) - 4) if seen[tuple(w[i : i + 5])] > 1 for o in range(5)}
+    longest = 0
+    while longest < len(w) and max(Counter(tuple(w[i : i + longest + 1]) for i in range(len(w) - longest)).values(), default=0) > 1:
+        longest += 1
+    lines = [x for x in (t or "").split("\n") if x.encode().split()]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(inside), longest
+
+
+def test_quality_measures_equal_brute_force(spark):
+    texts = [t for t in odd_texts() if t is None or len(t) < 4000] + ["é# <b> é# <b>\n\né# <b>\n x", "a b c d e f a b c d e f a b c d e f"]
+    got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.longest_repeat) for r in quality_rules.quality_rules(docs(spark, texts)).collect()}
+    assert got == {i: brute_base(t) for i, t in enumerate(texts)}
+
+
+def test_quality_verdict(spark):
+    passage = prose(50)
+    rows = quality_rules.quality_rules(docs(spark, [prose(2000), passage + " " + prose(900) + " " + passage])).orderBy("doc_id").collect()
+    assert [(r.base_failed, r.kept) for r in rows] == [(False, True), (False, False)]
+
+
+def shingles(t):
+    w = words((t or "").translate({c: c + 32 for c in range(65, 91)}))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def brute_near(texts):
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: (len(s), find(i)) for i, s in enumerate(sets)}
+
+
+def test_near_groups_equal_brute_force(spark):
+    rng, texts = random.Random(9), odd_texts()
+    for _ in range(6):
+        base = [rng.choice(VOCAB) + str(rng.randint(0, 30)) for _ in range(120)]
+        for k in range(25):
+            w = list(base)
+            for _ in range(k % 4):
+                w[rng.randrange(len(w))] = "edit" + str(rng.random())
+            texts.append(" ".join(w))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs(spark, texts), small=8).collect()}
+    assert got == brute_near(texts)
+
+
+def test_components_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
+    got = {r.node: r.root for r in graph.components(links).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def brute_substring(texts, width=20):
+    first, removed, out = {}, defaultdict(set), {}
+    for d, t in enumerate(texts):
+        w = words(t)
+        for i in range(len(w) - width + 1):
+            if first.setdefault(tuple(w[i : i + width]), (d, i)) != (d, i):
+                removed[d] |= set(range(i, i + width))
+        kept = [x for i, x in enumerate(w) if i not in removed[d]]
+        out[d] = (len(w), len(w) - len(kept), hashlib.sha256(" ".join(kept).encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_substring_dedup_equals_brute_force(spark, hot):
+    passage = prose(70)
+    texts = odd_texts() + [prose(30) + " " + passage + " " + prose(25) for _ in range(12)] + [passage[:200] + " " + passage]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.substring_dedup(docs(spark, texts), hot=hot).collect()}
+    assert got == brute_substring(texts)
+
+
+def test_exact_groups_and_colliding_identifiers(spark, monkeypatch):
+    texts = odd_texts() + ["a b", "a  b", "A b", "a\nb", " a b"]
+    norm = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for t in texts]
+    want = {i: (norm.index(n), norm.count(n), hashlib.sha256(n.encode()).hexdigest()) for i, n in enumerate(norm)}
+    df = docs(spark, texts)
+    assert {r.doc_id: (r.keep_id, r.group_size, r.text_sha256) for r in exact_dedup.exact_groups(df).collect()} == want
+    kept = exact_dedup.keep_first(odd(spark))
+    assert kept.count() == len({re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "") for r in odd(spark).collect()})
+    ids = [exact_dedup.chunk_id(b"one"), exact_dedup.chunk_id(b"a b")]
+    rows = exact_dedup.recipes(df, ids)
+    assert rows.filter("text_sha256 = sha2('a b', 256)").first().recipe == hashlib.sha256(b"a b").digest()
+
+
+def test_private_data_base_equals_regular_expressions(spark):
+    base = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+    def luhn(d):
+        odd_sum = sum(map(int, d[-1::-2]))
+        return (odd_sum + sum(sum(divmod(2 * int(c), 10)) for c in d[-2::-2])) % 10 == 0
+
+    def good(kind, s):
+        d = re.sub("[^0-9]", "", s)
+        return {"email": True, "ip": kind != "ip" or all(int(x) <= 255 for x in s.split(".")), "card": 16 <= len(d) <= 19 and luhn(d), "phone": 8 <= len(d) <= 15}[kind]
+
+    texts = odd_texts() + ["é a@b.co,1.2.3.4 a@b.com_x@d.e 300.1.1.1 4111 1111-1111 1111 +1 (555) 123-4567 a@-.- 1.2.3.4.5.6.7.8 0012.1.1.255 +12 3", "1 " * 2000, "a@b." * 300 + "c"]
+    for r in private_data.private_data(docs(spark, texts)).collect():
+        spans = [f"{k}:{m.start()}:{m.end()}" for k, p in base.items() for m in re.finditer(p, texts[r.doc_id] or "") if good(k, m.group())]
+        assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s.startswith(k) for s in spans) for k in base)
+
+
+def test_contexts_find_unseen_identifiers(spark):
+    texts = [f"hello my id is user{i}@mail.org ok {i}" for i in range(20)] + ["hello my id is XK-77 ok", "the year 1999 ok 5"]
+    got = {r.doc_id: r.spans for r in private_data.private_data(docs(spark, texts)).filter("n_added > 0").collect()}
+    assert got == {20: "email:15:20"}
+
+
+def test_mix_keeps_targets_and_limits(spark):
+    texts = [prose(RNG.randint(1, 400)) for _ in range(400)] + [None, ""]
+    df = docs(spark, texts)
+    rows = mixing.mix(df).collect()
+    assert all(r.taken <= 3 * r.size for r in rows)
+    by = defaultdict(int)
+    for r in rows:
+        by[(r.source_size, r.target)] += r.taken
+    for (size, target), taken in by.items():
+        assert target <= 3 * size and abs(taken - target) <= 0.03 * target + mixing.BLOCK
+    assert sum(t for _, t in by) == pytest.approx(sum(r.size for r in rows))
+    mixed = mixing.mixed_documents(df)
+    assert mixed.columns == df.columns
+    taken = {r.doc_id: r.taken for r in rows if r.taken}
+    got = Counter()
+    for r in mixed.collect():
+        got[r.doc_id] += len(words(r.text))
+    assert got == taken
+
+
+def test_targets_by_repeated_resharing(spark):
+    sized = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 5), ("d", 2000), (None, 3)], "source string, size long")
+    sizes = {"a": 10, "b": 1000, "c": 5, "d": 2000, None: 3}
+    weights = dict(zip(["a", "b", "c", "d", None], [5, 2, 1, 5, 2], strict=True))
+    target, full = {k: sum(sizes.values()) * w / sum(weights.values()) for k, w in weights.items()}, set()
+    while over := [k for k in sizes if k not in full and target[k] > 3 * sizes[k]]:
+        excess = sum(target[k] - 3 * sizes[k] for k in over)
+        full |= set(over)
+        target |= {k: 3.0 * sizes[k] for k in over}
+        rest = sum(weights[k] for k in sizes if k not in full)
+        target |= {k: target[k] + excess * weights[k] / rest for k in sizes if k not in full}
+    got = {r.source: r.target for r in mixing.targets(sized).collect()}
+    assert got == pytest.approx(target)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 1025])
+def test_slot_map_is_a_permutation(spark, n):
+    rows = spark.range(n).selectExpr(f"{mixing.shuffled('id', str(n), '5')} as p").collect()
+    assert sorted(r.p for r in rows) == list(range(n))
+
+
+def test_packing_invariants(spark):
+    lengths = [0, None, 1, 4096, 4097, 10_000] + [RNG.randint(1, 3000) for _ in range(500)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, n_tokens long")
+    rows = packing.pack(df, group=200).collect()
+    parts, bins = defaultdict(list), defaultdict(list)
+    for r in rows:
+        parts[r.doc_id].append((r.start, r.n_tokens))
+        if r.bin_id is not None:
+            bins[r.bin_id].append(r)
+    for i, n in enumerate(lengths):
+        at = 0
+        for start, size in sorted(parts[i]):
+            assert start == at
+            at += size
+        assert at == (n or 0)
+    for own in bins.values():
+        used = 0
+        for r in sorted(own, key=lambda r: r.offset):
+            assert r.offset == used
+            used += r.n_tokens
+        assert {r.capacity for r in own} == {min(c for c in packing.CAPACITIES if c >= used)}
+    full = sum(r.n_tokens for own in bins.values() for r in own) / sum(own[0].capacity for own in bins.values())
+    assert full > 0.9
+
+
+def test_chat_round_trip(spark):
+    texts = [r"\### Assistant: </turn> ok", "<turn>a<text>b</turn>", r"<\turn> <\\text>", "", None, "é 漢字 🙂 \n\n x", "<turn"]
+    rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(texts)] + [(2, 0, None, "x"), (2, None, "assistant", "y"), (None, 1, "system", "z"), (1, 0, "user", texts[0])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("size", F.lit(1))
+    got = {r.conv_id: r for r in chat_format.format_and_read(df).collect()}
+    assert set(got) == {1, 2, None} and got[1].n_turns == len(texts) + 1
+    own = sorted([r for r in rows if r[0] == 1], key=lambda r: r[1])
+    told = "".join(f"{r[2]}\n{r[3] or ''}\n" for r in own)
+    loss = "".join(r[3] or "" for r in own if r[2] == "assistant")
+    assert got[1].turns_sha256 == hashlib.sha256(told.encode()).hexdigest()
+    assert (got[1].loss_chars, got[1].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert chat_format.format_and_read(df.limit(0)).collect() == []
+
+
+def test_language_accuracy_on_held_out_rows(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.language_id(df).join(df.select("doc_id", "lang"), "doc_id").filter("held_out")
+    right, total = got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
+    assert total > 200 and right > 0.97
+    none = language_id.language_id(docs(spark, [None, "", "123 456", "..."])).collect()
+    assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
+
+
+def test_windows_of_the_network_agree_with_its_gradient_form():
+    net = language_id.Net(["a", "b", "c"], np.random.default_rng(1))
+    x = np.random.default_rng(2).integers(0, 256, (8, language_id.WINDOW), dtype=np.uint8)
+    loss, _ = net.step(x, np.zeros(8, dtype=np.int64))
+    assert -net.log_probabilities(x)[:, 0].mean() == pytest.approx(loss, rel=1e-3)
+
+
+def test_licences(spark):
+    body = prose(40)
+    texts = [body, body + "\nReleased under the MIT License.", "Licensed under CC BY-NC 4.0.\n" + body + "\nAll rights reserved.", "the license of a fishing boat", None, "Licensed under the Apache License, Version 2.0."]
+    got = {r.doc_id: (r.families, r.n_confirmed) for r in license_scan.license_scan(docs(spark, texts + [prose(20) for _ in range(50)])).collect()}
+    assert [got[i] for i in range(6)] == [("", 0), ("mit", 1), ("cc,reserved", 2), ("", 0), ("", 0), ("apache", 1)]
+    assert all(got[i] == ("", 0) for i in range(6, 56))
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    from oracle import same
+
+    same(spark, registry.QUERIES[name], registry.ORACLE_SQL[name], "/root/testdata/sf0.001")
