@@ -27,10 +27,10 @@ def csv_autoheader(spark: SparkSession, path: str, columns: list[str]) -> DataFr
 
 
 def lenient_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected lines): a value that doesn't fit its type rejects its own line only."""
+    """(good rows, rejected rows with their ``line``): a value that doesn't fit its type rejects its own line only."""
     full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
     rows = spark.read.csv(path, header=True, schema=full, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", enforceSchema=False)
-    return rows.filter("_bad is null").drop("_bad"), rows.filter("_bad is not null").select(F.col("_bad").alias("line"))
+    return rows.filter("_bad is null").drop("_bad"), rows.filter("_bad is not null").withColumnRenamed("_bad", "line")
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, overwrite: bool = False) -> None:
