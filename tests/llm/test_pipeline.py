@@ -3,7 +3,7 @@ from collections import Counter
 
 import corpus_pipeline as p
 from barstead.llm import common, mixing
-from test_operators import brute_near, words
+from test_llm_operators import brute_near, words
 
 SF = "/root/testdata/sf0.001"
 
