@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +19,11 @@ from ..operators import store as st
 
 def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The store so far; empty before the first append."""
-    spark.createDataFrame([], schema).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        spark.createDataFrame([], schema).write.parquet(path)
+        return spark.read.schema(schema).parquet(path)
 
 
 def ingest(
