@@ -32,6 +32,7 @@ CAP = 3
 BLOCK = 128
 SHARD_SLOTS = 4096
 BUCKETS = 4096
+SLOTS_PER_TASK = 200_000
 ROUNDS = 12
 PRIME = 2147483647
 
@@ -66,8 +67,10 @@ def targets(sized: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOC
 def draws(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """A row per output slot: shard, k, block."""
     plan = plan.filter("slots > 0").withColumn("first", F.expr("sum(slots) over (order by k) - slots")).withColumn("total", F.expr("sum(slots) over ()"))
-    # slots come in runs, so that no task holds all those of one source
-    runs = plan.selectExpr("k", "blocks", "slots", "first", "total", "explode(sequence(0L, (slots - 1) div 4096)) as run").repartition("k", "run")
+    # slots come in runs, dealt to a stated number of tasks by their total (one number to the driver)
+    total = plan.agg(F.sum("slots")).first()[0] or 0
+    tasks = max(plan.sparkSession.sparkContext.defaultParallelism, total // SLOTS_PER_TASK)
+    runs = plan.selectExpr("k", "blocks", "slots", "first", "total", "explode(sequence(0L, (slots - 1) div 4096)) as run").repartition(tasks, "k", "run")
     slots = runs.selectExpr("k", "blocks", "first", "total", "explode(sequence(run * 4096, least(slots, (run + 1) * 4096) - 1)) as j")
     shard = shuffled("first + j", "total", "77")
     block = shuffled("j % blocks", "blocks", "1000003 * (k + 1) + 7919 * (j div blocks)")
@@ -92,7 +95,8 @@ def _taken_blocks(placed: DataFrame, drawn: DataFrame, block: int) -> DataFrame:
     """Per document with words and block: ``place`` (first word in the document), ``n`` words, ``times`` taken."""
     parts = placed.filter("size > 0").selectExpr("*", f"explode(sequence(at div {block}, (at + size - 1) div {block})) as b")
     times = drawn.groupBy(F.col("k").alias("dk"), F.col("block").alias("db")).agg(F.count("*").alias("times"))
-    joined = parts.join(times, (F.col("k") == F.col("dk")) & (F.col("b") == F.col("db")), "left")
+    # the planner can't see how many slots a short plan expands to: no broadcast here
+    joined = parts.join(times.hint("merge"), (F.col("k") == F.col("dk")) & (F.col("b") == F.col("db")), "left")
     return joined.selectExpr("*", f"greatest(b * {block} - at, 0L) as place", f"least((b + 1) * {block}, at + size) - greatest(b * {block}, at) as n", "coalesce(times, 0L) as taken_times")
 
 
