@@ -31,7 +31,7 @@ from . import common as C
 
 WIDTH = 20
 GRAM = 6
-HOT = 1000
+HOT = 4000
 #: Windows of a super-k-mer at most; longer ones continue in a next one.
 MOST = 48
 KEY = ["doc_key", "text_key"]
@@ -202,7 +202,8 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and, with ``with_text``, kept_text."""
     keyed = C.with_key(docs).select(*KEY, "text")
     rows = announce(keyed, width, gram)
-    recurring = rows.groupBy("minimiser").agg(F.count("*").alias("times")).filter("times > 1")
+    # written, so that both sides of the next join are plain exchanges, which Spark can split by skew
+    recurring = C.materialise(rows.groupBy("minimiser").agg(F.count("*").alias("times")).filter("times > 1"), "recurring")
     runs = rows.join(recurring, "minimiser").groupBy(*KEY).agg(F.collect_set(F.struct("minimiser", "at", (F.col("times") > hot).alias("hot"))).alias("runs"))
     located = keyed.join(runs.hint("shuffle_hash"), KEY)
     firsts = first_places(pack(located, width), width).groupBy(*KEY).agg(F.collect_list(F.struct("start", "n")).alias("firsts"))
