@@ -49,6 +49,11 @@ def fold(doc_id: str = "doc_id"):
 def training_rows(docs: DataFrame, per_language: int, cuts_each: int) -> list:
     """At most MAX_LANGUAGES * per_language rows (lang, cuts) of bounded size on the driver."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold() != HELD_OUT))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    # a hash bound keeps about three times the rows wanted, so that ranking moves little at any size
+    share = F.create_map(*(x for r in counts for x in (F.lit(r.lang), F.lit(min(1.0, (3 * per_language + 50) / r.n)))))
+    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**52)) / float(2**52)
+    labelled = labelled.filter(unit < F.element_at(share, F.col("lang"))) if counts else labelled.limit(0)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
     few = labelled.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
     spread = F.expr(f"transform(sequence(0, {cuts_each - 1}), i -> substring(text, cast(1 + floor(i * greatest(length(text) - {WINDOW}, 0) / {cuts_each}) as int), {WINDOW}))")
