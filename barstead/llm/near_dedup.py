@@ -46,7 +46,7 @@ TREES = 20
 FIRST_STEPS = 3
 STEPS = 3
 LAST_STEPS = 12
-SMALL = 32
+SMALL = 128
 #: Classes of a large node that a task holds at a time.
 HELD = 512
 
@@ -263,7 +263,7 @@ def keyed_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES
     levels, steps = [C.materialise(members(branch(classes, FIRST_STEPS, trees)), "nodes")], FIRST_STEPS
     while steps < LAST_STEPS and not (large := levels[-1].filter(F.col("size") > small)).isEmpty():
         deeper = branch(large.select("path", "set_id").join(classes.select("set_id", "tokens"), "set_id"), STEPS, None)
-        levels.append(C.materialise(members(deeper), "nodes"))
+        levels.append(C.materialise(members(C.materialise(deeper, "branches")), "nodes"))
         steps += STEPS
 
     stars = levels[0]
@@ -275,14 +275,14 @@ def keyed_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES
     groups = components(links)
 
     grouped = lambda nodes: nodes.join(groups.withColumnRenamed("node", "n"), F.col("set_id") == F.col("n"), "left").withColumn("root", F.coalesce("root", "set_id"))
-    hints = None
+    nodes = None
     for level in levels:
         last = level is levels[-1]
-        own = level.filter((F.col("size") > 2) & (F.col("size") <= small) | F.lit(last) & (F.col("size") > small))
-        own = grouped(own.select(F.col("path").alias("node"), "set_id")).select("node", "set_id", "root")
-        own = in_blocks(own.join(classes.select("set_id", "n_shingles", "tokens"), "set_id"), small, HELD, "n_shingles", "tokens")
-        found = bridges(own, threshold, confirm=False).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        hints = found if hints is None else hints.union(found)
+        own = level.filter((F.col("size") > 2) & (F.col("size") <= small) | F.lit(last) & (F.col("size") > small)).select(F.col("path").alias("node"), "set_id")
+        nodes = own if nodes is None else nodes.union(own)
+    own = grouped(nodes).select("node", "set_id", "root").join(classes.select("set_id", "n_shingles", "tokens"), "set_id")
+    own = in_blocks(own, small, HELD, "n_shingles", "tokens")
+    hints = bridges(own, threshold, confirm=False).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     hints = C.materialise(hints.distinct(), "hints")
     if not hints.isEmpty():
         clusters = components(hints).select(F.col("root").alias("cluster"), F.col("node").alias("group"))
