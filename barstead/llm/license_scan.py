@@ -1,6 +1,9 @@
 """Operator 7 (native): licence scan by a trained paragraph classifier.
 
-A paragraph is a line. Its features are word one- to three-grams of the notices below (binary,
+A paragraph is a line, or a run of neighbouring lines without a blank line between, since real
+notices are wrapped. The lines inside a run have at most ``WIDEST`` words together, the longest
+notice's, and of its first and last line as many count, so each notice lies whole in some run,
+wherever it is wrapped and whatever stands around it. The features of a paragraph are word one- to three-grams of the notices below (binary,
 sparse) that hold at least one anchor, a notice word that is rare in the corpus. A paragraph
 without an anchor has no feature, so its score is the intercepts' and it is unknown; only the
 others are scored, which changes no result. A multinomial logistic regression (Spark ML, L2) gives each licence family and an unknown class a
@@ -11,17 +14,24 @@ say. A predicted family counts only with ``CONFIDENT`` probability, and is confi
 comparison: ``CONTAINED`` of the word three-grams of one of its notices stand in the paragraph.
 
 Everything is DataFrame functions and Spark ML transformers; scoring needs no shuffle but the
-final aggregate per document, whose rows are paragraphs with a predicted family only.
+final aggregate per document, whose rows are paragraphs with a predicted family only. Of these a
+family counts, by their ends, those that share no line with one counted before; of two that end
+together the shorter goes first. So a line that is predicted or confirmed alone always counts,
+and the longer runs around it don't.
 
 Bounds: the sample has ``SAMPLE_PARAGRAPHS`` paragraphs at most; the number of training rows is
-fixed by the notices. Prediction covers every paragraph of every text.
+fixed by the notices. Prediction covers every line of every text, and every run whose first and
+last line hold a notice word; without one, they add no feature to the shorter run.
 
-Defined results: null, empty and blank texts have no paragraphs and no licence. Repeated rows and
+Defined results: ``n_paragraphs`` counts lines that aren't blank. A line without letters or digits
+ends a run, as a blank one does. Notices of one family that share a line count once. Null, empty and blank texts have no paragraphs and no licence. Repeated rows and
 null ids get a row each. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -68,6 +78,9 @@ NOTICES = {
         "No part of this publication may be reproduced without the prior permission of the publisher. All rights reserved.",
     ],
 }
+#: What ``words`` finds in the notices, and the most in one of them.
+NOTICE_WORDS = [re.findall("[a-z0-9]+", n.lower()) for texts in NOTICES.values() for n in texts]
+WIDEST = max(map(len, NOTICE_WORDS))
 UNKNOWN = "unknown"
 SAMPLE_PARAGRAPHS = 4000
 VARIANTS = 24
@@ -105,15 +118,54 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return docs.select(*keep, F.explode(lines).alias("paragraph"))
 
 
+def runs(docs: DataFrame, anchors: list[str]) -> DataFrame:
+    """A row per line and run of lines with an anchor: first, last, words, beside the other columns of its document.
+
+    Each step is a column that the next one names more than once, and rows are left out by empty
+    arrays: inlined or pushed down as a filter, an expression would run again for each element.
+    """
+    keep = [c for c in docs.columns if c != "text"]
+    holds = lambda those: F.transform("_w", lambda w: F.arrays_overlap(w, F.lit(those)))
+    rows = docs.withColumn("_w", F.transform(F.split("text", "\n"), words))
+    rows = rows.withColumn("_size", F.transform("_w", F.size)).withColumn("_anchor", holds(anchors)).withColumn("_notice", holds(sorted(set().union(*NOTICE_WORDS))))
+
+    def last(i: Column) -> Column:
+        """The last line of the longest run that line i begins: further lines, until one is empty or the lines inside are too wide."""
+        more = F.slice("_size", i + 1, WIDEST + 2)
+        state = lambda far, inside, on: F.struct(far.cast("int").alias("far"), inside.cast("int").alias("inside"), on.alias("on"))
+
+        def step(a: Column, n: Column) -> Column:
+            on = a["on"] & (n > 0) & (a["inside"] <= WIDEST)
+            return state(a["far"] + on.cast("int"), a["inside"] + n, on)
+
+        return F.aggregate(more, state(i, F.lit(0), F.lit(True)), step)["far"]
+
+    def joined(i: Column, j: Column) -> Column:
+        first, final = F.get("_w", i - 1), F.get("_w", j - 1)
+        head = F.slice(first, F.greatest(F.size(first) - (WIDEST - 1), F.lit(1)), WIDEST)
+        return F.when(i == j, first).otherwise(F.concat(head, F.flatten(F.slice("_w", i + 1, j - i - 1)), F.slice(final, 1, WIDEST)))
+
+    def of(i: Column) -> Column:
+        wide = lambda j: F.get("_notice", j - 1) & F.exists(F.slice("_anchor", i, j - i + 1), lambda x: x)
+        return F.transform(F.filter(F.sequence(i, last(i)), wide), lambda j: F.struct(i.alias("first"), j.alias("last"), joined(i, j).alias("words")))
+
+    begins = F.filter(F.sequence(F.lit(1), F.size("_w")), lambda i: F.get("_notice", i - 1))
+    rows = rows.withColumn("_begins", F.when(F.array_contains("_anchor", True), begins))
+    return rows.select(*keep, F.inline(F.flatten(F.transform("_begins", of))))
+
+
 def notice_rows(spark: SparkSession) -> DataFrame:
     rows = [F.struct(F.lit(f).alias("family"), F.lit(n).alias("notice")) for f, texts in sorted(NOTICES.items()) for n in texts]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def sampled(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS) -> DataFrame:
-    """Up to ``sample`` corpus paragraphs without licence words, the same ones in each run."""
+    """Up to ``sample`` corpus lines without licence words or parts of notices, the same ones in each run."""
     lines = paragraphs(docs.select("text")).filter(~F.lower("paragraph").rlike(MARKERS))
-    return C.materialise(lines.withColumn("u", F.xxhash64("paragraph")).orderBy("u", "paragraph").limit(sample), "sample")
+    lines = C.materialise(lines.withColumn("u", F.xxhash64("paragraph")).orderBy("u", "paragraph").limit(sample), "sample")
+    # lines of a wrapped notice may hold no marker
+    pieces = sorted({" ".join(n[i : i + 3]) for n in NOTICE_WORDS for i in range(len(n) - 2)})
+    return lines.filter(~F.arrays_overlap(grams(words(F.col("paragraph")), 3), F.lit(pieces)))
 
 
 def vocabulary(spark: SparkSession, lines: DataFrame) -> tuple[list[str], list[str]]:
@@ -189,32 +241,42 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def licence_paragraphs(docs: DataFrame, model: Model) -> DataFrame:
-    """Paragraphs with a confirmed or merely predicted family: doc columns, family, probability, contained."""
-    rows = paragraphs(docs).withColumn("words", words(F.col("paragraph"))).filter(F.arrays_overlap("words", F.lit(model.anchors)))
-    rows = model.confident(rows.withColumn("grams", grams_of("words")), CONFIDENT)
+    """Lines and runs of lines with a confirmed or merely predicted family: doc columns, first, last, family, probability, contained."""
+    rows = model.confident(runs(docs, model.anchors).withColumn("grams", grams_of("words")), CONFIDENT)
     rows = rows.join(F.broadcast(templates(docs.sparkSession)), "family")  # a row per family
     own = grams(F.col("words"), 3)
     shares = F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("own"))) / F.greatest(F.size(t), F.lit(1)))
     return rows.withColumn("own", F.array_distinct(own)).withColumn("contained", F.array_max(shares)).drop("templates", "own", "words")
 
 
+def counted(found: Column) -> Column:
+    """Of paragraphs in order of their ends, how many of each family share no line with one counted before, and their best probability."""
+    state = lambda end, n, best: F.struct(end.alias("end"), n.cast("long").alias("n"), best.alias("best"))
+
+    def step(a: Column, x: Column) -> Column:
+        free = x["first"] > a["end"]
+        return state(F.when(free, x["last"]).otherwise(a["end"]), a["n"] + free.cast("long"), F.when(free, F.greatest(a["best"], x["probability"])).otherwise(a["best"]))
+
+    of = lambda family: F.filter(found, lambda x: x["family"] == family)
+    per = [F.aggregate(of(f), state(F.lit(0), F.lit(0), F.lit(None).cast("double")), step) for f in sorted(NOTICES)]
+    return F.struct(sum((p["n"] for p in per[1:]), per[0]["n"]).alias("n"), F.greatest(*(p["best"] for p in per)).alias("best"))
+
+
 def license_scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per row: doc_id, n_paragraphs, n_predicted, n_confirmed, families (confirmed, sorted), best_probability."""
     model = model or train(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("text_key"))
     count = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda p: p.rlike(C.WORD))).cast("long")
-    found = licence_paragraphs(rows, model).drop("paragraph")
-    good = F.col("contained") >= CONTAINED
-    # repeated rows put their paragraphs under one key; dividing by their number gives each its own
-    per = found.groupBy("doc_id", "text_key").agg(
-        F.count("*").alias("predicted"), F.count_if(good).alias("confirmed"), F.array_join(F.sort_array(F.collect_set(F.when(good, F.col("family")))), ",").alias("families"), F.max("probability").alias("best_probability")
-    )
-    per = per.withColumnsRenamed({"doc_id": "_d", "text_key": "_t"})
+    found = licence_paragraphs(rows, model)
+    # repeated rows put equal paragraphs under one key, a set holds each once
+    one = F.struct("last", (-F.col("first")).alias("from"), "first", "family", "probability", (F.col("contained") >= CONTAINED).alias("good"))
+    per = found.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).agg(F.sort_array(F.collect_set(one)).alias("_all"))
+    per = per.withColumn("_good", F.filter("_all", lambda x: x["good"])).withColumn("_predicted", counted(F.col("_all"))).withColumn("_confirmed", counted(F.col("_good")))
+    families = F.array_join(F.sort_array(F.array_distinct(F.transform("_good", lambda x: x["family"]))), ",")
+    per = per.select("_d", "_t", F.col("_predicted.n").alias("predicted"), F.col("_confirmed.n").alias("confirmed"), families.alias("families"), F.greatest("_predicted.best", "_confirmed.best").alias("best_probability"))
     base = rows.select("doc_id", "text_key", count.alias("n_paragraphs"))
-    times = base.groupBy("doc_id", "text_key").agg(F.count("*").alias("_n")).filter("_n > 1").withColumnsRenamed({"doc_id": "_rd", "text_key": "_rt"})
     joined = base.join(per, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t")), "left")
-    joined = joined.join(times, F.col("doc_id").eqNullSafe(F.col("_rd")) & (F.col("text_key") == F.col("_rt")), "left")
-    own = lambda c: F.coalesce((F.col(c) / F.coalesce("_n", F.lit(1))).cast("long"), F.lit(0).cast("long"))
+    own = lambda c: F.coalesce(c, F.lit(0).cast("long"))
     return joined.select("doc_id", "n_paragraphs", own("predicted").alias("n_predicted"), own("confirmed").alias("n_confirmed"), F.coalesce("families", F.lit("")).alias("families"), F.round("best_probability", 6).alias("best_probability"))
 
 

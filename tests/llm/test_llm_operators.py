@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -295,6 +296,25 @@ def test_licences(spark):
     assert all(got[i] == ("", 0) for i in range(6, 56))
 
 
+def test_wrapped_licences(spark):
+    notices = {f: max(texts, key=len) for f, texts in license_scan.NOTICES.items() if f in ("mit", "gpl", "bsd")}
+    body = prose(40)
+    texts, want = [], []
+    for f, notice in notices.items():
+        for width in (20, 50, 72):
+            lines = textwrap.wrap(notice, width)
+            texts += [f"{body}\n\n" + "\n".join(lines) + f"\n\n{body}", f"{body}\n" + "\n".join(f" * {x}" for x in lines) + f"\n{body}", "\n".join(textwrap.wrap(f"{body} {notice} {body}", width))]
+            want += [(f, 1)] * 3
+    texts += ["\n".join(textwrap.fill(n, 72) for n in notices.values()), "Released under the MIT License.\nLicensed under the\nMIT License.", "Released under\n\nthe MIT License."]
+    want += [("bsd,gpl,mit", 3), ("mit", 2), ("", 0)]
+    rows = [(i, t, "en", "s0", len(t)) for i, t in enumerate(texts)]
+    plain = ["\n".join(prose(10) for _ in range(60)) for _ in range(50)]
+    got = {r.doc_id: r for r in license_scan.license_scan(docs(spark, texts + plain, rows[:1])).collect()}
+    assert [(got[i].families, got[i].n_confirmed) for i in range(len(texts))] == want
+    assert all(got[i].n_predicted >= got[i].n_confirmed for i in got)
+    assert all((got[i].families, got[i].n_predicted) == ("", 0) for i in range(len(texts), len(texts) + 50))
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     from oracle import same
