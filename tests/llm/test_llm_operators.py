@@ -212,6 +212,44 @@ def test_mix_keeps_targets_and_limits(spark):
     assert got == taken
 
 
+def test_slots_are_dealt_to_shards(spark):
+    df = docs(spark, [prose(RNG.randint(1, 400)) for _ in range(400)] + [None, ""])
+    size, block = 64, 16
+    slots, words_of, by_doc = {}, Counter(), Counter()
+    for r in mixing.dealt(df, block=block, shard_slots=size).collect():
+        assert slots.setdefault((r.shard, r.slot), (r.k, r.block)) == (r.k, r.block)
+        words_of[r.shard, r.slot] += r.n
+        by_doc[r.doc_id] += r.n
+    total = len(slots)
+    assert set(slots) == {divmod(p, size) for p in range(total)} and total > 20 * size
+    assert max(words_of.values()) == block
+    assert by_doc == {r.doc_id: r.taken for r in mixing.mix(df, block=block).collect() if r.taken}
+    counts, all_of = defaultdict(Counter), Counter(k for k, _ in slots.values())
+    for (shard, _), (k, _) in slots.items():
+        counts[shard][k] += 1
+    full = range(total // size)
+    for k, n in all_of.items():
+        share = n / total
+        assert all(abs(counts[s][k] - share * size) <= 5 * (size * share * (1 - share)) ** 0.5 + 1 for s in full)
+        assert len({counts[s][k] for s in full}) > 1  # drawn, not a fixed quota
+    mixed = mixing.sharded_documents(df, block=block, shard_slots=size).collect()
+    assert all((r._shard, r._slot) in slots for r in mixed) and len({r._shard for r in mixed}) >= total // size
+    row = lambda r: (r.doc_id, r.text)
+    parts = mixing.mixed_documents(df, block=block, shard_slots=size).withColumn("part", F.spark_partition_id()).collect()
+    shards = defaultdict(list)
+    for r in sorted(mixed, key=lambda r: (r._shard, r._slot)):
+        shards[r._shard].append(row(r))
+    written = defaultdict(list)
+    for r in parts:
+        written[r.part].append(row(r))
+    assert Counter(map(row, parts)) == Counter(map(row, mixed))
+    starts = {tuple(sorted(x)) for x in shards.values()}
+    for own in written.values():
+        while own:
+            n = next(len(x) for x in starts if tuple(sorted(own[: len(x)])) == x)
+            own = own[n:]
+
+
 def test_targets_by_repeated_resharing(spark):
     sized = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 5), ("d", 2000), (None, 3)], "source string, size long")
     sizes = {"a": 10, "b": 1000, "c": 5, "d": 2000, None: 3}
