@@ -24,6 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def _lists(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]
     """Offsets and flat fields of a list<struct> column; null lists are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0))
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
     flat = column.flatten()
     return np.append(0, np.cumsum(sizes)), [np.asarray(flat.field(f)) for f in fields]
 

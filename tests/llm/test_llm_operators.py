@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import textwrap
 from collections import Counter, defaultdict
 
@@ -358,3 +360,16 @@ def test_query_equals_its_sql(spark, name):
     from oracle import same
 
     same(spark, registry.QUERIES[name], registry.ORACLE_SQL[name], "/root/testdata/sf0.001")
+
+
+def test_queries_in_fresh_python_workers(tmp_path):
+    """Each task in a worker of its own, as after a lost executor: no operator may rely on what another one has imported."""
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from barstead.llm import registry\n"
+        f"conf = {{'spark.python.worker.reuse': 'false', 'spark.sql.shuffle.partitions': '2', 'spark.ui.enabled': 'false', 'spark.checkpoint.dir': 'file://{tmp_path}', 'spark.ui.showConsoleProgress': 'false'}}\n"
+        "spark = SparkSession.builder.master('local[4]').config(map=conf).getOrCreate()\n"
+        "for name in ('op1_quality_rules', 'op5_substring_dedup', 'op6_exact_dedup', 'op8_best_fit_packing', 'op9_chat_format'):\n"
+        "    assert registry.QUERIES[name](spark, '/root/testdata/sf0.001').count() > 0\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=600)
