@@ -11,11 +11,16 @@ A window is ``width`` consecutive words of one text. Its minimiser is the smalle
    not a first place repeats an earlier one, and its words go.
 
 Skew: a minimiser with more than ``hot`` super-k-mers is split: its windows travel singly to
-buckets keyed by the window itself, equal ones reduced in each batch first. No window is left out.
+buckets keyed by the window itself. Equal packed strings are reduced to the earliest place in each
+task before they travel, and arrive sorted, so that a bucket passes over repeats one by one and
+holds distinct strings only, ``hot`` of them at most. No window is left out.
 
-Defined results: null, empty and blank texts have no words and keep the empty string. Null ids
-count as larger than all others. Rows with one id and different texts are ordered by a hash of
-the text; rows that repeat id and text share one result. Other columns are ignored.
+Minimisers may collide, which costs time only: windows are compared as strings.
+
+Defined results: null, empty and blank texts have no words and keep the empty string. Very long
+texts are processed whole, as long as one fits a task's memory. Null ids count as larger than all
+others. Rows with one id and different texts are ordered by a hash of the text; rows that repeat
+id and text share one result. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ GRAM = 6
 HOT = 4000
 #: Windows of a super-k-mer at most; longer ones continue in a next one.
 MOST = 48
+#: Distinct packed strings that a task holds before it hands them on.
+HELD = 20_000
 KEY = ["doc_key", "text_key"]
 
 
@@ -92,14 +99,21 @@ def _lists(column: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]
     return np.append(0, np.cumsum(sizes)), [np.asarray(flat.field(f)) for f in fields]
 
 
-def pack(located: DataFrame, width: int) -> DataFrame:
-    """Packed strings with their bucket; equal ones of a batch keep the earliest place only."""
+def pack(located: DataFrame, width: int, held: int = HELD) -> DataFrame:
+    """Packed strings with their bucket; of equal ones in a task, ``held`` distinct at a time, only the earliest place goes on."""
+
+    def batch_of(least):
+        names, places = (list(zip(*x, strict=True)) for x in (least, least.values()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names[0], pa.int64()), pa.array(names[1], pa.binary()), *(pa.array(x, pa.int64()) for x in places)],
+            ["bucket", "packed", "doc_key", "text_key", "start"],
+        )
 
     def run(batches):
+        least: dict[tuple[int, bytes], tuple[int, int, int]] = {}
         for batch in batches:
             offsets, (low, at, hot) = _lists(batch.column("runs"), "minimiser", "at", "hot")
             doc_key, text_key = batch.column("doc_key").to_pylist(), batch.column("text_key").to_pylist()
-            least: dict[tuple[int, bytes], tuple[int, int, int]] = {}
             for d, text in enumerate(batch.column("text")):
                 words = text.as_buffer().to_pybytes().split()
                 for r in range(offsets[d], offsets[d + 1]):
@@ -113,19 +127,20 @@ def pack(located: DataFrame, width: int) -> DataFrame:
                         place = (doc_key[d], text_key[d], s)
                         if least.setdefault((b, p), place) > place:
                             least[b, p] = place
-            if least:
-                places = list(zip(*least.values(), strict=True))
-                names = list(zip(*least, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[0], pa.int64()), pa.array(names[1], pa.binary()), *(pa.array(x, pa.int64()) for x in places)],
-                    ["bucket", "packed", "doc_key", "text_key", "start"],
-                )
+                if len(least) >= held:
+                    yield batch_of(least)
+                    least = {}
+        if least:
+            yield batch_of(least)
 
     return located.mapInArrow(run, "bucket long, packed binary, doc_key long, text_key long, start long")
 
 
 def first_places(packed: DataFrame, width: int) -> DataFrame:
-    """Ranges of windows that are the first of their word sequence: row key, ``start``, ``n``. Buckets arrive sorted, one after another."""
+    """Ranges of windows that are the first of their word sequence: row key, ``start``, ``n``.
+
+    Buckets arrive one after another, in each the packed strings in order, the earliest of equal ones first.
+    """
 
     def bucket(rows, out):
         windows = []
@@ -153,12 +168,14 @@ def first_places(packed: DataFrame, width: int) -> DataFrame:
                     if len(out) >= 20_000:
                         yield batch_of(out)
                         out = []
-                rows.append(row)
+                if not rows or rows[-1][0] != row[0]:
+                    rows.append(row)
         bucket(rows, out)
         if out:
             yield batch_of(out)
 
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc_key long, text_key long, start long, n long")
+    ordered = packed.repartition("bucket").sortWithinPartitions("bucket", "packed", *KEY, "start")
+    return ordered.mapInArrow(run, "doc_key long, text_key long, start long, n long")
 
 
 def strip_repeats(joined: DataFrame, width: int, with_text: bool) -> DataFrame:
@@ -206,9 +223,9 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot:
     # written, so that both sides of the next join are plain exchanges, which Spark can split by skew
     recurring = C.materialise(rows.groupBy("minimiser").agg(F.count("*").alias("times")).filter("times > 1"), "recurring")
     runs = rows.join(recurring, "minimiser").groupBy(*KEY).agg(F.collect_set(F.struct("minimiser", "at", (F.col("times") > hot).alias("hot"))).alias("runs"))
-    located = keyed.join(runs.hint("shuffle_hash"), KEY)
+    located = keyed.join(runs, KEY)
     firsts = first_places(pack(located, width), width).groupBy(*KEY).agg(F.collect_list(F.struct("start", "n")).alias("firsts"))
-    joined = keyed.join(runs.hint("shuffle_hash"), KEY, "left").join(firsts.hint("shuffle_hash"), KEY, "left")
+    joined = keyed.join(runs, KEY, "left").join(firsts, KEY, "left")
     return strip_repeats(joined, width, with_text)
 
 
