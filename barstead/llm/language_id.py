@@ -3,8 +3,9 @@
 Filters of several widths run over embedded bytes; each is max-pooled over a window of fixed
 length, and a softmax layer gives the languages. Training is plain numpy (Adam) on the driver
 over a bounded sample of labelled texts: at most ``per_language`` documents of each language
-(smallest hash of the id first, so reruns agree) and ``MAX_LANGUAGES`` languages, ``cuts_each``
-windows of a document. Prediction covers whole texts: every window of every text, batched; the
+(smallest hash of the id first, so reruns agree), fewer where ``SAMPLE_ROWS`` hold no more for all
+languages together, but ``LEAST_EACH`` of any language, so every language that occurs is a class;
+``cuts_each`` windows of a document. Prediction covers whole texts: every window of every text, batched; the
 windows' log-probabilities are averaged with their letters as weight.
 
 Learned from text and lang of documents outside the held-out fold only; a prediction sees the
@@ -12,7 +13,9 @@ text alone. At prediction the first layer is two table lookups per byte pair, si
 filter over embedded bytes is a sum of a function of the first pair and one of the second.
 
 Defined results: null text, or text without a letter: ``und``, score 0. With no labelled row to
-learn from, every row is ``und``. Repeated rows get a row each. Other columns are ignored.
+learn from, every row is ``und``. Of classes with one score the first in order of name is told.
+Very long texts are read whole, some windows at a time. Repeated rows get a row each. An empty
+table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +35,8 @@ EMBED = 8
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 PER_LANGUAGE = 250
-MAX_LANGUAGES = 64
+SAMPLE_ROWS = 16_000
+LEAST_EACH = 8
 CUTS_EACH = 4
 EPOCHS = 5
 FOLDS, HELD_OUT = 4, 2
@@ -46,18 +50,18 @@ def fold(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS, F.lit(0))
 
 
-def training_rows(docs: DataFrame, per_language: int, cuts_each: int) -> list:
-    """At most MAX_LANGUAGES * per_language rows (lang, cuts) of bounded size on the driver."""
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold() != HELD_OUT))
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+def training_rows(docs: DataFrame, per_language: int, cuts_each: int, sample_rows: int = SAMPLE_ROWS) -> list:
+    """Rows (lang, cuts) of bounded size on the driver: ``sample_rows`` at most, or LEAST_EACH per language where that is more."""
+    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold() != HELD_OUT)).select("doc_id", "lang", "text")
+    counts = C.materialise(labelled.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    each = min(per_language, max(LEAST_EACH, sample_rows // max(counts.count(), 1)))
     # a hash bound keeps about three times the rows wanted, so that ranking moves little at any size
-    share = F.create_map(*(x for r in counts for x in (F.lit(r.lang), F.lit(min(1.0, (3 * per_language + 50) / r.n)))))
     unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**52)) / float(2**52)
-    labelled = labelled.filter(unit < F.element_at(share, F.col("lang"))) if counts else labelled.limit(0)
+    near = labelled.join(counts, "lang").filter(unit < (3 * each + 50) / F.col("n")).drop("n")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-    few = labelled.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
+    few = near.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= each)
     spread = F.expr(f"transform(sequence(0, {cuts_each - 1}), i -> substring(text, cast(1 + floor(i * greatest(length(text) - {WINDOW}, 0) / {cuts_each}) as int), {WINDOW}))")
-    rows = few.select("lang", "r", F.array_distinct(spread).alias("cuts")).orderBy("r", "lang").limit(MAX_LANGUAGES * per_language)
+    rows = few.select("lang", "r", F.array_distinct(spread).alias("cuts"))
     return sorted(rows.collect(), key=lambda x: (x.lang, x.r))
 
 

@@ -373,3 +373,50 @@ def test_queries_in_fresh_python_workers(tmp_path):
         "    assert registry.QUERIES[name](spark, '/root/testdata/sf0.001').count() > 0\n"
     )
     subprocess.run([sys.executable, "-c", code], check=True, timeout=600)
+
+
+def test_every_language_is_learned(spark):
+    """70 languages, each with letters of its own: more than any fixed number of classes would hold."""
+    rng, rows = random.Random(3), []
+    for k in range(70):
+        letters = [chr(0x1E00 + 3 * k + i) for i in range(3)] + list("aeiou")
+        rows += [(1000 * k + i, " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(12)), f"l{k:02d}", "s", 0) for i in range(14)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    sample = language_id.training_rows(df, 10, 1)
+    assert len({r.lang for r in sample}) == 70 and max(Counter(r.lang for r in sample).values()) <= 10
+    assert len({r.lang for r in language_id.training_rows(df, 250, 1, sample_rows=1)}) == 70
+    net = language_id.train(sample, epochs=40)
+    assert len(net.classes) == 70
+    known = {r[0]: r[2] for r in rows}
+    got = language_id.predict(df, net, ["doc_id"]).collect()
+    assert sum(known[r.doc_id] == r.lang_pred for r in got) > 0.9 * len(got)
+
+
+def test_prediction_equals_one_window_at_a_time(spark):
+    """The batched tables against the plain definition: embed, convolve, pool, softmax, weighted mean of logs."""
+    net = language_id.Net(["a", "b", "c"], np.random.default_rng(4))
+    texts = ["é one two", "word " * 150, "漢字 " * 90, prose(200), None, "12 34"]
+
+    def plain(text):
+        raw = (text or "").encode()
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0
+        w, total, mass = language_id.WINDOW, np.zeros(3), 0.0
+        for at in range(0, len(raw), w):
+            cut = raw[max(0, min(at, len(raw) - w)) :][:w].ljust(w, b"\0")
+            e = net.p["E"][np.frombuffer(cut, np.uint8)]
+            pooled = []
+            for width in language_id.WIDTHS:
+                filters = net.p[f"W{width}"].reshape(width, language_id.EMBED, language_id.FILTERS)
+                z = [sum(e[i + j] @ filters[j] for j in range(width)) for i in range(w - width + 1)]
+                pooled.append(np.max(z, axis=0) + net.p[f"b{width}"])
+            logits = np.maximum(np.concatenate(pooled), 0) @ net.p["V"] + net.p["c"]
+            letters = sum(65 <= c < 91 or 97 <= c < 123 or c > 127 for c in cut) + 1e-3
+            total += letters * (logits - np.log(np.exp(logits - logits.max()).sum()) - logits.max())
+            mass += letters
+        q = np.exp(total / mass - (total / mass).max())
+        return "abc"[int(q.argmax())], float((q / q.sum()).max())
+
+    for r in language_id.predict(docs(spark, texts), net, ["doc_id"]).collect():
+        name, score = plain(texts[r.doc_id])
+        assert r.lang_pred == name and r.score == pytest.approx(score, abs=1e-3)
