@@ -13,13 +13,13 @@ hashed as a stream, so memory doesn't grow with the conversation.
 The vocabulary (about 1 MB) is read on the driver and broadcast. Its path is a parameter.
 
 Defined results: a null text or role is empty; turns are ordered by turn (nulls first), then
-role and text; repeated rows are turns of their own; a null conv_id is a conversation. An empty
-table gives no rows. Other columns are ignored.
+role and text; repeated rows are turns of their own; a null conv_id is a conversation. A very long
+text is one turn's tokens, held by one task while that turn is encoded or read. An empty table
+gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 
@@ -28,9 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Splits text before byte-pair encoding, as the vocabulary expects.
-SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+from .tokens import VOCABULARY, encoding_of, shared_vocabulary
+
 MARKS = ("<turn>", "<text>", "</turn>")
 ASSISTANT = "assistant"
 
@@ -52,11 +51,7 @@ class Codec:
     _made: dict[bytes, Codec] = {}
 
     def __init__(self, vocabulary: bytes):
-        import tiktoken
-
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
-        self.encoding = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        top = max(ranks.values()) + 1
+        self.encoding, top = encoding_of(vocabulary)
         self.turn, self.text, self.end = top, top + 1, top + 2
 
     @classmethod
@@ -94,14 +89,9 @@ class Codec:
         return unescape(role), unescape(text), unescape(inside), sum(map(len, MARKS)) + len(role) + len(text)
 
 
-def _vocabulary(spark, path: str):
-    with open(path, "rb") as file:
-        return spark.sparkContext.broadcast(file.read())
-
-
 def format_turns(conversations: DataFrame, vocabulary: str = VOCABULARY, codec=None) -> DataFrame:
     """Per turn: conv_id, turn, role, text_key, token_ids, loss_mask. A conversation is its turns one after another."""
-    shared = codec or _vocabulary(conversations.sparkSession, vocabulary)
+    shared = codec or shared_vocabulary(conversations.sparkSession, vocabulary)
 
     def run(batches):
         codec = Codec.of(shared)
@@ -121,7 +111,7 @@ def format_turns(conversations: DataFrame, vocabulary: str = VOCABULARY, codec=N
 
 def read_back(turns: DataFrame, vocabulary: str = VOCABULARY, codec=None) -> DataFrame:
     """Per conversation, from the tokens alone: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
-    shared = codec or _vocabulary(turns.sparkSession, vocabulary)
+    shared = codec or shared_vocabulary(turns.sparkSession, vocabulary)
 
     def run(batches):
         codec = Codec.of(shared)
@@ -163,7 +153,7 @@ def read_back(turns: DataFrame, vocabulary: str = VOCABULARY, codec=None) -> Dat
 
 
 def format_and_read(conversations: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    codec = _vocabulary(conversations.sparkSession, vocabulary)
+    codec = shared_vocabulary(conversations.sparkSession, vocabulary)
     return read_back(format_turns(conversations, codec=codec), codec=codec)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +31,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Folders that ``materialise`` has written in this process.
+_WRITTEN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); a fresh local one where it is unset, as in tests."""
+    """The folder that the cluster shares (spark.checkpoint.dir). Where it is unset, a fresh one on this machine, which only a local master may use."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
         found = spark.conf.get("spark.barstead.scratch", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.barstead.scratch", found)
     return found.rstrip("/")
@@ -45,10 +52,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage ends there, a lost executor costs nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession):
+    """Folders that ``materialise`` writes inside go when the block ends: only what doesn't read them may leave it."""
+    began = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        for path in _WRITTEN[began:]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _WRITTEN[began:]
+
+
 def row_key(docs: DataFrame) -> dict[str, Column]:
     """``doc_key`` (null ids last) and ``text_key``, a hash of id and text.
 

@@ -8,6 +8,8 @@ operator defines; an empty table gives an empty result at each stage.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from barstead.llm import common, exact_dedup, language_id, mixing, near_dedup, packing
@@ -26,7 +28,7 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id."""
+    """One document of each near-duplicate group stays, the one with the smallest id. Five-word shingles, linked from a similarity of 0.85 on, as in operator 2."""
     return near_dedup.keep_one(docs)
 
 
@@ -35,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.with_words(docs))
+    return packing.pack(docs)
 
 
 STAGES = [
@@ -51,8 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. What a stage wrote for itself goes once its result is written."""
     docs = common.documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = common.materialise(stage(spark, docs, sf_dir), name)
+        path = f"{common.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        with common.passing(spark):
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
