@@ -4,27 +4,37 @@ A document's set are its distinct five-word shingles. Equal sets are one class,
 multiply. Each class has ``COORDS`` minwise tokens. In each of ``trees`` independent trees a node
 is a path of chosen tokens: at each step the path itself selects which minwise tokens to branch
 on, one or two of them so that 1 / threshold branches are expected and a pair at the threshold
-stays together somewhere with a probability that hardly falls with depth. Nodes of up to
-``small`` classes are compared exhaustively; larger ones are branched further.
-
-Only groups matter, so a node isn't expanded into all its pairs. First each member is compared
-with the node's smallest member; the links confirmed on the full shingle sets give provisional
-groups. Nodes that then hold several groups are searched for pairs across groups that set sizes
-and minwise tokens allow (4.2 standard deviations of slack): small nodes exhaustively, nodes that
-are still large at the last level in blocks, everything outside the main group against the whole
-node. Groups with such a pair form a cluster, and inside a cluster all pairs across groups that
-the tokens allow are confirmed on the full sets, again in blocks. Only pairs that connect two
-groups become rows.
+stays together somewhere with a probability that hardly falls with depth.
+
+Only groups matter, so a node isn't expanded into all its pairs. Level by level, each member is
+compared with its node's smallest member, and the links confirmed on the full shingle sets give
+provisional groups. A node whose members are one group is settled and goes no further, however
+large. The others are compared exhaustively where they have up to ``small`` classes, or up to
+``WIDE`` blocks of ``HELD`` classes outside their main group; wider ones are branched further, and
+at the last level compared in as many blocks as it takes.
+
+The comparison of a node first looks at set sizes and minwise tokens (4.2 standard deviations of
+slack) and names, for each group that may be linked with another, its likeliest pair. These pairs
+are confirmed on the full sets and the groups merged. In nodes that then still hold several groups
+all likely pairs across groups are confirmed, one by one where classes have few of them, else
+block by block. Texts are fetched for classes with a likely partner only.
 
 Recall: a pair at similarity s is in one node of a tree at the first level with probability
-s**3; 20 trees miss it with (1 - 0.85**3)**20 = 6e-9 at the threshold.
+s**3; 20 trees miss it with (1 - 0.85**3)**20 = 6e-9 at the threshold, and all nodes that aren't
+wide are searched whole. Only links inside wide nodes depend on deeper levels, where a pair at the
+threshold survives in one of the trees with about 0.99; ``tests/llm/near_recall.py`` measures it.
 
 Skew: node and class sizes come from partial aggregates; no group is collected except small
 nodes; joins on a frequent class or node are plain equi-joins that Spark can split.
 
+Shingles are told apart by 64-bit hashes that aren't verified: ``n_shingles`` and similarities of
+two texts of a million shingles are off by one with a chance of about 1e-7.
+
 Defined results: null, empty and blank texts have an empty set and are linked with nothing. Rows
 with a null id take part through their text, but have no id to give: their component is that of
-the others, or null. Rows that repeat an id are separate texts; each gets a row.
+the others, or null. Rows that repeat an id are separate texts; each gets a row. A very long text
+is one set, held by one task at a time. An empty table gives no rows. Other columns are ignored
+here and kept, whatever their names, by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -47,8 +57,11 @@ FIRST_STEPS = 3
 STEPS = 3
 LAST_STEPS = 12
 SMALL = 128
-#: Classes of a large node that a task holds at a time.
+#: Classes of a node that a task holds at a time, and how many such blocks make a node too wide to be searched before the last level.
 HELD = 512
+WIDE = 4
+#: Likely pairs per class from which texts travel to blocks instead of with each pair; a pair is met in some ten trees.
+PAIRS_EACH = 20
 
 _RNG = np.random.default_rng(85)
 _A = (_RNG.integers(0, 2**31, COORDS) * 2 + 1).astype(np.uint32)
@@ -111,9 +124,9 @@ def _descend(path: np.ndarray, tokens: np.ndarray, steps: int, twice: float) ->
     return path, row
 
 
-def branch(rows: DataFrame, steps: int, trees: int | None) -> DataFrame:
+def branch(rows: DataFrame, steps: int, trees: int | None, threshold: int) -> DataFrame:
     """(path, set_id) of the nodes ``steps`` below; the roots of ``trees`` trees if given, else below ``path``."""
-    twice = 100 / THRESHOLD - 1
+    twice = 100 / threshold - 1
 
     def run(batches):
         for batch in batches:
@@ -182,123 +195,260 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a binary, b binary")
 
 
-def in_blocks(nodes: DataFrame, small: int, block: int, *columns: str) -> DataFrame:
-    """Rows of ``nodes`` (node, set_id, root, ...) whose node has several groups, dealt for ``bridges``.
+def with_groups(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """``nodes`` with the root of each class's group, itself if it has none."""
+    return nodes.join(groups.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+
+
+def unsettled(nodes: DataFrame) -> DataFrame:
+    """Of (path, set_id, root), nodes with several groups, with ``all`` (classes), ``most`` (of the main group) and ``main``."""
+    counts = nodes.groupBy("path", "root").agg(F.count("*").alias("n"))
+    split = counts.groupBy("path").agg(F.count("*").alias("groups"), F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main"))
+    return nodes.join(split.filter("groups > 1").drop("groups"), "path")
+
+
+def in_blocks(held: DataFrame, streams: DataFrame, classes: DataFrame) -> DataFrame:
+    """``held`` (node, blocks, set_id, root) dealt to its node's blocks, before ``streams``, which pass by all of them."""
+    own = held.select("node", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("streams"), "set_id", "root")
+    past = streams.select("node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("streams"), "set_id", "root")
+    rows = own.unionByName(past).join(classes.select("set_id", "n_shingles", "tokens"), "set_id")
+    return rows.repartition("node", "block").sortWithinPartitions("node", "block", "streams")
+
+
+def blocks_of_nodes(nodes: DataFrame, small: int, classes: DataFrame) -> DataFrame:
+    """A node of up to ``small`` classes is held as a whole; of a larger one, what is outside its main group, and the node streams past."""
+    blocks = F.when(F.col("all") <= small, 1).otherwise(F.ceil((F.col("all") - F.col("most")) / HELD)).cast("int").alias("blocks")
+    own = nodes.select(F.col("path").alias("node"), "set_id", "root", "all", "main", blocks)
+    return in_blocks(own.filter((F.col("all") <= small) | (F.col("root") != F.col("main"))), own.filter(F.col("all") > small), classes)
+
+
+def parts_of(batch: pa.RecordBatch, size: int = 256):
+    """Pieces of a batch that lie in one block: (node, block), whether they stream, row numbers, set ids, groups, sizes, tokens."""
+    tags = list(zip(*(batch.column(c).to_pylist() for c in ("node", "block", "streams")), strict=True))
+    ids, roots, n = batch.column("set_id").to_pylist(), np.array(batch.column("root").to_pylist(), dtype="S16"), np.asarray(batch.column("n_shingles"))
+    tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), dtype=np.uint32).reshape(-1, COORDS)
+    lo = 0
+    while lo < len(tags):
+        hi = lo
+        while hi < len(tags) and tags[hi] == tags[lo] and hi - lo < size:
+            hi += 1
+        yield {"key": tags[lo][:2], "streams": tags[lo][2], "rows": range(lo, hi), "ids": ids[lo:hi], "roots": roots[lo:hi], "n": n[lo:hi], "tokens": tokens[lo:hi]}
+        lo = hi
+
+
+def alike(x: dict, y: dict, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of two pieces, of different groups, that set sizes and tokens allow, and their equal tokens."""
+    close = 100 * np.minimum(x["n"][:, None], y["n"][None]) >= threshold * np.maximum(x["n"][:, None], y["n"][None])
+    close &= x["roots"][:, None] != y["roots"][None]
+    at = np.argwhere(np.triu(close) if x is y else close)
+    equal = (x["tokens"][at[:, 0]] == y["tokens"][at[:, 1]]).sum(axis=1)
+    enough = equal >= tokens_needed(threshold)
+    return at[enough], equal[enough]
+
+
+def meetings(batches, threshold: int, texts: bool = False):
+    """Each held piece of a block with each later piece that holds likely pairs: (x, y, pairs, equal tokens); (held, None, None, None) as a block ends."""
+    key, held = None, []
+    for batch in batches:
+        sets = [s for _, _, part in shingle_sets(batch.column("text")) for s in part] if texts else None
+        for part in parts_of(batch):
+            if texts:
+                part["sets"] = [sets[i] for i in part["rows"]]
+            if part["key"] != key:
+                if held:
+                    yield held, None, None, None
+                key, held = part["key"], []
+            if not part["streams"]:
+                held.append(part)
+            for x in held:
+                pairs, equal = alike(x, part, threshold)
+                if len(pairs):
+                    yield x, part, pairs, equal
+    if held:
+        yield held, None, None, None
+
+
+def likeliest(rows: DataFrame, threshold: int) -> DataFrame:
+    """For each group that may be linked with another, its pair with most equal tokens: distinct (a, b)."""
 
-    A node of up to ``small`` classes is held as a whole. Of a larger one, the classes outside its
-    main group are held, in blocks of about ``block``, and the whole node streams past each block.
-    """
-    counts = nodes.groupBy("node", "root").agg(F.count("*").alias("n"))
-    split = counts.groupBy("node").agg(F.count("*").alias("groups"), F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main")).filter("groups > 1")
-    blocks = F.when(F.col("all") <= small, 1).otherwise(F.ceil((F.col("all") - F.col("most")) / block)).cast("int").alias("blocks")
-    own = nodes.join(split.select("node", "all", "main", blocks), "node")
-    rest = ["set_id", "root", *columns]
-    held = own.filter((F.col("all") <= small) | (F.col("root") != F.col("main"))).select("node", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("streams"), *rest)
-    streams = own.filter(F.col("all") > small).select("node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("streams"), *rest)
-    return held.unionByName(streams).repartition("node", "block").sortWithinPartitions("node", "block", "streams")
-
-
-def bridges(rows: DataFrame, threshold: int, confirm: bool) -> DataFrame:
-    """Pairs of classes (a, b) with their groups (ra, rb) that connect different groups of a node.
-
-    Each held class is compared with each other held or streamed class of another group by set
-    size and tokens and, with ``confirm``, on the full sets of the texts. Groups already connected
-    in the block are skipped, so a block gives fewer rows than it has groups.
-    """
-    need = tokens_needed(threshold)
+    def run(batches):
+        best: dict[bytes, tuple] = {}
+
+        def batch_of():
+            root, (equal, a, b) = list(best), zip(*best.values(), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(root, pa.binary()), pa.array(equal, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["root", "equal", "a", "b"])
+
+        for x, y, pairs, equal in meetings(batches, threshold):
+            if y is None:
+                if len(best) > 20_000:
+                    yield batch_of()
+                    best.clear()
+                continue
+            order = np.argsort(equal, kind="stable")
+            for side, own in ((0, x), (1, y)):
+                top = np.full(len(own["ids"]), -1)
+                top[pairs[order, side]] = order  # the last of a member's pairs is its likeliest
+                for k in top[top >= 0].tolist():
+                    i, j = pairs[k]
+                    a, b = sorted((x["ids"][i], y["ids"][j]))
+                    root, found = own["roots"][pairs[k, side]].ljust(16, b"\0"), (int(equal[k]), a, b)
+                    if root not in best or best[root] < found:
+                        best[root] = found
+        if best:
+            yield batch_of()
+
+    found = rows.mapInArrow(run, "root binary, equal int, a binary, b binary")
+    return found.groupBy("root").agg(F.max(F.struct("equal", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+
+
+MET = "node long, block int, streams int, set_id binary, root binary, pairs long"
+
+
+def touching(rows: DataFrame, threshold: int) -> DataFrame:
+    """The rows of blocks that may be linked with one of another group, and how many pairs each adds."""
+
+    def run(batches):
+        def batch_of(part, hit, pairs):
+            at = np.flatnonzero(hit)
+            roots = [part["roots"][i].ljust(16, b"\0") for i in at.tolist()]
+            node, block = part["key"]
+            columns = [[node] * len(at), [block] * len(at), [part["streams"]] * len(at), [part["ids"][i] for i in at.tolist()], roots, pairs[at]]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "block", "streams", "set_id", "root", "pairs"])
+
+        past = None
+
+        def leave():
+            if past is not None and past["streams"] and past["hit"].any():
+                yield batch_of(past, past["hit"], past["pairs"])
+
+        for x, y, pairs, _ in meetings(batches, threshold):
+            if y is not past:
+                yield from leave()
+                past = y
+            if y is None:
+                for part in x:
+                    if part.get("hit") is not None and part["hit"].any():
+                        yield batch_of(part, part["hit"], part["pairs"])
+                continue
+            for part, side in ((x, 0), (y, 1)):
+                if part.get("hit") is None:
+                    part["hit"], part["pairs"] = np.zeros(len(part["ids"]), dtype=bool), np.zeros(len(part["ids"]), dtype=np.int64)
+                part["hit"][pairs[:, side]] = True
+            np.add.at(y["pairs"], pairs[:, 1], 1)
+        yield from leave()
+
+    return rows.mapInArrow(run, MET)
 
-    def alike(x, y):
-        close = 100 * np.minimum(x["n"][:, None], y["n"][None]) >= threshold * np.maximum(x["n"][:, None], y["n"][None])
-        at = np.argwhere(close)
-        return at[(x["tokens"][at[:, 0]] == y["tokens"][at[:, 1]]).sum(axis=1) >= need].tolist()
+
+def likely_pairs(rows: DataFrame, threshold: int) -> DataFrame:
+    """All likely pairs (a, b) of different groups."""
+
+    def run(batches):
+        for x, y, pairs, _ in meetings(batches, threshold):
+            if y is not None:
+                ordered = [sorted((x["ids"][i], y["ids"][j])) for i, j in pairs.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*ordered, strict=True)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def linked(rows: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of a block with that similar full sets, as many as connect its groups."""
 
     def same(s, t):
         shared = len(np.intersect1d(s, t, assume_unique=True))
         return 100 * shared >= threshold * (len(s) + len(t) - shared)
 
     def run(batches):
-        key, held, parent = None, [], {}
+        parent: dict[bytes, bytes] = {}
 
         def find(r):
             while parent.get(r, r) != r:
                 r = parent[r]
             return r
 
-        for batch in batches:
-            tags = list(zip(*(batch.column(c).to_pylist() for c in ("node", "block", "streams")), strict=True))
-            ids, roots = batch.column("set_id").to_pylist(), batch.column("root").to_pylist()
-            n = np.asarray(batch.column("n_shingles"))
-            tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), dtype=np.uint32).reshape(-1, COORDS)
-            sets = [s for _, _, part in shingle_sets(batch.column("text")) for s in part] if confirm else None
-            out, lo = [], 0
-            while lo < len(tags):
-                hi = lo
-                while hi < len(tags) and tags[hi] == tags[lo] and hi - lo < 256:
-                    hi += 1
-                part = {"ids": ids[lo:hi], "roots": roots[lo:hi], "n": n[lo:hi], "tokens": tokens[lo:hi], "sets": sets[lo:hi] if confirm else None}
-                if tags[lo][:2] != key:
-                    key, held, parent = tags[lo][:2], [], {}
-                if not tags[lo][2]:
-                    held.append(part)
-                for x in held:
-                    for i, j in alike(x, part):
-                        ri, rj = find(x["roots"][i]), find(part["roots"][j])
-                        if ri != rj and (not confirm or same(x["sets"][i], part["sets"][j])):
-                            parent[max(ri, rj)] = min(ri, rj)
-                            out.append((x["ids"][i], part["ids"][j], x["roots"][i], part["roots"][j]))
-                lo = hi
+        for x, y, pairs, _ in meetings(batches, threshold, texts=True):
+            if y is None:
+                parent = {}
+                continue
+            out = []
+            for i, j in pairs.tolist():
+                ri, rj = find(x["roots"][i]), find(y["roots"][j])
+                if ri != rj and same(x["sets"][i], y["sets"][j]):
+                    parent[max(ri, rj)] = min(ri, rj)
+                    out.append((x["ids"][i], y["ids"][j]))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b", "ra", "rb"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a binary, b binary")
 
-    return rows.mapInArrow(run, "a binary, b binary, ra binary, rb binary")
+
+def remaining_links(blocks: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
+    """Confirmed links between the groups of ``blocks``, all their likely pairs considered.
+
+    Where classes have few likely partners, the pairs are confirmed one by one. Where they have
+    many, texts would travel with each pair; then they travel once to each of their blocks.
+    """
+    met = C.materialise(touching(blocks, threshold), "touching")
+    size = met.agg(F.count("*").alias("rows"), F.sum("pairs").alias("pairs")).first()
+    ordered = lambda rows: rows.repartition("node", "block").sortWithinPartitions("node", "block", "streams")
+    rows = met.drop("pairs").join(classes.select("set_id", "n_shingles", "tokens"), "set_id")
+    if (size.pairs or 0) <= PAIRS_EACH * size.rows:
+        return confirmed(C.materialise(likely_pairs(ordered(rows), threshold), "pairs"), classes, docs, threshold)
+    ids = met.select("set_id").distinct().join(classes.select("set_id", "doc_key", "text_key"), "set_id")
+    return linked(ordered(rows.join(texts_of(C.materialise(ids, "wanted"), docs), "set_id")), threshold)
+
+
+def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int, small: int) -> DataFrame:
+    """(node, root) of the classes that are linked with others; ``docs`` has doc_key, text_key, text."""
+    confirm = lambda pairs: C.materialise(confirmed(pairs, classes, docs, threshold), "links")
+    below, steps, levels, links, groups = branch(classes, FIRST_STEPS, trees, threshold), FIRST_STEPS, [], None, None
+    while True:
+        level = C.materialise(members(below), "nodes")
+        stars = level.filter("set_id != least").select(F.col("least").alias("a"), F.col("set_id").alias("b")).distinct()
+        found = confirm(C.materialise(likely(stars, classes, threshold), "pairs"))
+        links = found if links is None else links.union(found)
+        groups = components(links)
+        level = C.materialise(unsettled(with_groups(level.select("path", "set_id"), groups)), "unsettled")
+        wide = (F.col("all") > small) & (F.col("all") - F.col("most") > WIDE * HELD)
+        last = steps >= LAST_STEPS or level.filter(wide).isEmpty()
+        levels.append(level if last else level.filter(~wide))
+        if last:
+            break
+        rows = level.filter(wide).select("path", "set_id").join(classes.select("set_id", "tokens"), "set_id")
+        below, steps = C.materialise(branch(rows, STEPS, None, threshold), "branches"), steps + STEPS
+
+    nodes = levels[0]
+    for level in levels[1:]:
+        nodes = nodes.unionByName(level)
+    again = lambda: C.materialise(unsettled(with_groups(nodes.select("path", "set_id"), groups)), "unsettled")
+    if len(levels) > 1:  # earlier levels know earlier groups only
+        nodes = again()
+    hints = C.materialise(likeliest(blocks_of_nodes(nodes, small, classes), threshold), "hints")
+    if hints.isEmpty():
+        return groups
+    found = confirm(hints)
+    if not found.isEmpty():
+        links = links.union(found)
+        groups = components(links)
+        nodes = again()
+    more = C.materialise(remaining_links(blocks_of_nodes(nodes, small, classes), classes, docs, threshold), "links")
+    return groups if more.isEmpty() else components(links.union(more))
 
 
 def keyed_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES, small: int = SMALL) -> DataFrame:
-    """Per row: doc_key, text_key, n_shingles, component (smallest doc_key reachable)."""
+    """Per row: doc_key, text_key, n_shingles, component (smallest doc_key reachable), first (whether it is the group's first row)."""
     keyed = C.with_key(docs).select("doc_key", "text_key", "text")
     base = C.materialise(sketches(keyed), "sketches")
     classes = base.filter("set_id is not null").groupBy("set_id").agg(F.min(F.struct("doc_key", "text_key", "n_shingles", "tokens")).alias("r")).select("set_id", "r.*")
     classes = C.materialise(classes, "classes")
-
-    levels, steps = [C.materialise(members(branch(classes, FIRST_STEPS, trees)), "nodes")], FIRST_STEPS
-    while steps < LAST_STEPS and not (large := levels[-1].filter(F.col("size") > small)).isEmpty():
-        deeper = branch(large.select("path", "set_id").join(classes.select("set_id", "tokens"), "set_id"), STEPS, None)
-        levels.append(C.materialise(members(C.materialise(deeper, "branches")), "nodes"))
-        steps += STEPS
-
-    stars = levels[0]
-    for level in levels[1:]:
-        stars = stars.union(level)
-    stars = stars.filter("set_id != least").select(F.col("least").alias("a"), F.col("set_id").alias("b")).distinct()
-    tried = C.materialise(likely(stars, classes, threshold), "pairs")
-    links = C.materialise(confirmed(tried, classes, keyed, threshold), "links")
-    groups = components(links)
-
-    grouped = lambda nodes: nodes.join(groups.withColumnRenamed("node", "n"), F.col("set_id") == F.col("n"), "left").withColumn("root", F.coalesce("root", "set_id"))
-    nodes = None
-    for level in levels:
-        last = level is levels[-1]
-        own = level.filter((F.col("size") > 2) & (F.col("size") <= small) | F.lit(last) & (F.col("size") > small)).select(F.col("path").alias("node"), "set_id")
-        nodes = own if nodes is None else nodes.union(own)
-    own = grouped(nodes).select("node", "set_id", "root").join(classes.select("set_id", "n_shingles", "tokens"), "set_id")
-    own = in_blocks(own, small, HELD, "n_shingles", "tokens")
-    hints = bridges(own, threshold, confirm=False).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    hints = C.materialise(hints.distinct(), "hints")
-    if not hints.isEmpty():
-        clusters = components(hints).select(F.col("root").alias("cluster"), F.col("node").alias("group"))
-        inside = grouped(classes).join(clusters, F.col("root") == F.col("group")).select(F.col("cluster").alias("node"), "set_id", "root", "n_shingles", "tokens", "doc_key", "text_key")
-        inside = C.materialise(inside, "inside")
-        texts = texts_of(inside.select("set_id", "doc_key", "text_key"), keyed)
-        rows = in_blocks(inside.join(texts, "set_id"), small, HELD, "n_shingles", "tokens", "text")
-        more = C.materialise(bridges(rows, threshold, confirm=True).select("a", "b"), "links")
-        if not more.isEmpty():
-            groups = components(links.union(more))
-
-    named = classes.select("set_id", "doc_key").join(groups, classes["set_id"] == groups["node"], "left").select("set_id", "doc_key", F.coalesce("root", "set_id").alias("root"))
-    least = named.groupBy("root").agg(F.min("doc_key").alias("component"))
-    table = named.join(least, "root").select("set_id", "component")
-    result = base.drop("tokens").join(table, "set_id", "left").withColumn("component", F.coalesce("component", "doc_key"))
-    return result.select("doc_key", "text_key", "n_shingles", "component")
+    groups = class_groups(classes, keyed, threshold, trees, small)
+    named = with_groups(classes.select("set_id", "doc_key", "text_key"), groups)
+    least = named.groupBy("root").agg(F.min(F.struct("doc_key", "text_key")).alias("least"))
+    table = named.join(least, "root").select("set_id", "least")
+    result = base.drop("tokens").join(table, "set_id", "left").withColumn("least", F.coalesce("least", F.struct("doc_key", "text_key")))
+    return result.select("doc_key", "text_key", "n_shingles", F.col("least.doc_key").alias("component"), (F.struct("doc_key", "text_key") == F.col("least")).alias("first"))
 
 
 def near_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES, small: int = SMALL) -> DataFrame:
@@ -309,8 +459,17 @@ def near_groups(docs: DataFrame, threshold: int = THRESHOLD, trees: int = TREES,
 
 
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, without those that a smaller id of their group stands for."""
-    return C.without(docs, keyed_groups(docs, threshold).filter("doc_key != component"))
+    """The rows of ``docs``, all columns, without those that another row of their group stands for: the one with the smallest id, then text hash.
+
+    Of rows that repeat id and text in full, one stays.
+    """
+    groups = C.materialise(keyed_groups(docs, threshold), "groups")
+    kept = C.without(docs, groups.filter("not first"))
+    repeated = not groups.filter("first").groupBy("doc_key", "text_key").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    if not repeated:
+        return kept
+    keyed = kept.select("*", *(e.alias(f"_{n}") for n, e in C.row_key(kept).items()))
+    return keyed.dropDuplicates(["_doc_key", "_text_key"]).select(*docs.columns)
 
 
 def op2_near_dedup(spark, sf_dir):
