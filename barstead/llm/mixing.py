@@ -103,12 +103,16 @@ def targets(sized: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOC
     return own.join(parts, F.col("part") == F.col("p")).selectExpr("source", "k", "source_size", "target", "blocks", "slots", "base + inner as first")
 
 
+def all_slots(plan: DataFrame) -> tuple[int, int]:
+    """How many slots there are (one number to the driver), and the tasks to deal them to: short rows expand to them, which Spark can't foresee."""
+    total = plan.agg(F.sum("slots")).first()[0] or 0
+    return total, max(plan.sparkSession.sparkContext.defaultParallelism, total // SLOTS_PER_TASK)
+
+
 def shard_counts(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """The draw: shard, k, n (slots of the source in the shard), earlier (its slots in earlier shards), lead (the shard's slots of earlier sources)."""
     plan = plan.filter("slots > 0")
-    # slots come in runs, dealt to a stated number of tasks by their total (one number to the driver)
-    total = plan.agg(F.sum("slots")).first()[0] or 0
-    tasks = max(plan.sparkSession.sparkContext.defaultParallelism, total // SLOTS_PER_TASK)
+    total, tasks = all_slots(plan)
     runs = plan.selectExpr("k", "slots", "first", "explode(sequence(0L, (slots - 1) div 4096)) as run").repartition(tasks, "k", "run")
     slots = runs.selectExpr("k", "first", "explode(sequence(run * 4096, least(slots, (run + 1) * 4096) - 1)) as j")
     places = dealt_places(slots, "first + j", max(total, 1), 77, "p")
@@ -121,7 +125,7 @@ def shard_counts(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
 def draws(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """A row per output slot: shard, slot (in the shard), k, block."""
     counts = shard_counts(plan, shard_slots).join(plan.selectExpr("k as pk", "blocks"), F.col("k") == F.col("pk"))
-    slots = counts.repartition("shard", "k").selectExpr("shard", "k", "blocks", "earlier", "lead", "explode(sequence(0L, n - 1)) as i").selectExpr("shard", "k", "blocks", "lead + i as slot", "earlier + i as j")
+    slots = counts.repartition(all_slots(plan)[1], "shard", "k").selectExpr("shard", "k", "blocks", "earlier", "lead", "explode(sequence(0L, n - 1)) as i").selectExpr("shard", "k", "blocks", "lead + i as slot", "earlier + i as j")
     slots = permuted(slots, "j % blocks", "blocks", "1000003 * (k + 1) + 7919 * (j div blocks)", "block")
     # written, since a filter that a join adds would be pushed down into all rounds
     return C.materialise(slots.select("shard", "slot", "k", "block"), "slots")
