@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
-from .tokens import VOCABULARY, Units, shared_vocabulary
+from .tokens import VOCABULARY, encoded, encoding_of, shared_vocabulary
 
 CAPACITIES = (512, 1024, 2048, 4096)
 OVERHEAD = 64
 ATTENTION = 16_384
-GROUP_BYTES = 16_000_000
+GROUP_BYTES = 4_000_000
 #: Texts that are tokenised at a time.
-AT_ONCE = 500
+AT_ONCE = 200
 
 
 def best_fit(lengths: np.ndarray, capacities=CAPACITIES, overhead: float = OVERHEAD, attention: float = ATTENTION) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,12 +133,13 @@ def pack(docs: DataFrame, capacities=CAPACITIES, group_bytes: int = GROUP_BYTES,
             yield pa.RecordBatch.from_arrays([pa.array(called, pa.string()), pa.array(room, pa.int64()), pa.array(np.diff(ends[lo : hi + 1]), pa.int64()), *own, words], names)
 
     def run(batches):
-        units = Units.of(shared)
+        encoding, _ = encoding_of(shared.value)
         name, ids, sizes, tokens = None, [], [], []
         for batch in batches:
             for lo in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(lo, AT_ONCE)
-                flat, bounds = units.encode(part.column("text"))
+                flat, own_sizes = encoded(encoding, part.column("text"))
+                bounds = np.append(0, np.cumsum(own_sizes)).astype(np.int64)
                 groups, own = part.column("group").to_pylist(), part.column("doc_id").to_pylist()
                 i = 0
                 while i < len(groups):
@@ -150,7 +151,7 @@ def pack(docs: DataFrame, capacities=CAPACITIES, group_bytes: int = GROUP_BYTES,
                             yield from packed(name, ids, sizes, np.concatenate(tokens))
                         name, ids, sizes, tokens = groups[i], [], [], []
                     ids += own[i:j]
-                    sizes += np.diff(bounds[i : j + 1]).tolist()
+                    sizes += own_sizes[i:j]
                     tokens.append(flat[bounds[i] : bounds[j]])
                     i = j
         if ids:

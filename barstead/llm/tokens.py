@@ -1,15 +1,8 @@
-"""Byte-pair tokens by a public vocabulary, whose path is a parameter; it is read on the driver (about 1 MB) and broadcast.
-
-A piece of the pre-split never reaches over the end of a word into the white space after it, so a
-text is the sequence of its units, each a run of white space and the word behind it, and the tokens
-of a text are those of its units one after another. Units repeat, so a worker encodes each of them
-once and looks the rest up. Texts with white space outside ASCII are encoded as a whole.
-"""
+"""Byte-pair tokens by a public vocabulary, whose path is a parameter; it is read on the driver (about 1 MB) and broadcast."""
 
 from __future__ import annotations
 
 import base64
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +10,8 @@ import pyarrow as pa
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splits text before byte-pair encoding, as the vocabulary expects.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
-#: Units that a worker keeps.
-KEPT = 200_000
 
-_UNIT = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
-_WIDE_SPACE = re.compile("[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_MADE: dict[bytes, tuple] = {}
 
 
 def shared_vocabulary(spark, path: str = VOCABULARY):
@@ -30,61 +20,21 @@ def shared_vocabulary(spark, path: str = VOCABULARY):
 
 
 def encoding_of(vocabulary: bytes):
-    """The tokenizer, and the first id that it leaves free."""
+    """The tokenizer, and the first id that it leaves free; made once in each worker."""
     import tiktoken
 
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
-    return tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}), max(ranks.values()) + 1
-
-
-class Units(dict):
-    """Place of each unit seen so far in one array of ids."""
-
-    _made: dict[bytes, Units] = {}
-
-    def __init__(self, vocabulary: bytes):
-        super().__init__()
-        self.encoding, _ = encoding_of(vocabulary)
-        self.reset()
-
-    @classmethod
-    def of(cls, shared) -> Units:
-        """Once in each worker."""
-        if shared.value not in cls._made:
-            cls._made[shared.value] = cls(shared.value)
-        return cls._made[shared.value]
-
-    def reset(self) -> None:
-        self.clear()
-        self.ids: list[int] = []
-        self.begin: list[int] = [0]
-
-    def __missing__(self, unit: bytes) -> int:
-        self.ids += self.encoding.encode_ordinary(unit.decode())
-        self.begin.append(len(self.ids))
-        self[unit] = len(self.begin) - 2
-        return self[unit]
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of all texts one after another, and their n + 1 bounds; a null is an empty text."""
-        if len(self) > KEPT:
-            self.reset()
-        at: list[int] = []
-        bounds, whole = [0], {}
-        for d, text in enumerate(texts):
-            raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-            if not raw.isascii() and _WIDE_SPACE.search(said := raw.decode()):
-                whole[d] = np.array(self.encoding.encode_ordinary(said), dtype=np.int32)
-            else:
-                at += map(self.__getitem__, _UNIT.findall(raw))
-            bounds.append(len(at))
-        begin, ids = np.array(self.begin), np.array(self.ids, dtype=np.int32)
-        unit = np.array(at, dtype=np.int64)
-        sizes = begin[unit + 1] - begin[unit]
-        ends = np.append(0, np.cumsum(sizes))
-        flat = ids[np.repeat(begin[unit] - ends[:-1], sizes) + np.arange(ends[-1])]
-        ends = ends[bounds]
-        if whole:
-            parts = [whole.get(d, flat[ends[d] : ends[d + 1]]) for d in range(len(texts))]
-            return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
-        return flat, ends
+    if vocabulary not in _MADE:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+        _MADE[vocabulary] = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}), max(ranks.values()) + 1
+    return _MADE[vocabulary]
+
+
+def encoded(encoding, texts: pa.Array) -> tuple[np.ndarray, list[int]]:
+    """Token ids of all texts one after another, and how many each has; a null is an empty text."""
+    flat: list[int] = []
+    sizes: list[int] = []
+    for text in texts.fill_null("").to_pylist():
+        ids = encoding.encode_ordinary(text)
+        flat += ids
+        sizes.append(len(ids))
+    return np.array(flat, dtype=np.int32), sizes
