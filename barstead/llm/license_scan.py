@@ -3,12 +3,16 @@
 A paragraph is a line, or a run of neighbouring lines without a blank line between, since real
 notices are wrapped. The lines inside a run have at most ``WIDEST`` words together, the longest
 notice's, and of its first and last line as many count, so each notice lies whole in some run,
-wherever it is wrapped and whatever stands around it. The features of a paragraph are word one- to three-grams of the notices below (binary,
-sparse) that hold at least one anchor, a notice word that is rare in the corpus. A paragraph
-without an anchor has no feature, so its score is the intercepts' and it is unknown; only the
-others are scored, which changes no result. A multinomial logistic regression (Spark ML, L2) gives each licence family and an unknown class a
-probability. Training rows are the notices below with words left out, cut short or embedded in
-corpus words, against a bounded sample of paragraphs of the corpus and shuffled notices as the
+wherever it is wrapped and whatever stands around it. The features of a paragraph are word one- to
+three-grams of the notices below (binary, sparse) that hold at least one anchor. Anchors are notice
+words that are rare in the corpus: they stand in ``COMMON`` of its different lines at most, counted
+over all lines of all texts that aren't parts of notices, repeated ones once (by mergeable sketches, 5% off), so that a notice
+that a third of the texts hold keeps its anchors. A paragraph without an anchor has no feature by
+this definition and is unknown; texts without one are left out early, which is no further choice.
+
+A multinomial logistic regression (Spark ML, L2) gives each licence family and an unknown class a
+probability. Training rows are the notices with words left out, cut short or embedded in corpus
+words, against a bounded sample of different lines of the corpus and shuffled notices as the
 unknown class. A part held back calibrates one temperature, so that probabilities mean what they
 say. A predicted family counts only with ``CONFIDENT`` probability, and is confirmed by template
 comparison: ``CONTAINED`` of the word three-grams of one of its notices stand in the paragraph.
@@ -19,13 +23,16 @@ family counts, by their ends, those that share no line with one counted before;
 together the shorter goes first. So a line that is predicted or confirmed alone always counts,
 and the longer runs around it don't.
 
-Bounds: the sample has ``SAMPLE_PARAGRAPHS`` paragraphs at most; the number of training rows is
-fixed by the notices. Prediction covers every line of every text, and every run whose first and
-last line hold a notice word; without one, they add no feature to the shorter run.
+Bounds: the sample has ``SAMPLE_PARAGRAPHS`` different lines at most, picked by a bound on their
+hash; the number of training rows is fixed by the notices. Prediction covers every line of every
+text, and every run whose first and last line hold a notice word; without one, they add no feature
+to the shorter run.
 
 Defined results: ``n_paragraphs`` counts lines that aren't blank. A line without letters or digits
-ends a run, as a blank one does. Notices of one family that share a line count once. Null, empty and blank texts have no paragraphs and no licence. Repeated rows and
-null ids get a row each. An empty table gives no rows. Other columns are ignored.
+ends a run, as a blank one does. Notices of one family that share a line count once. Of families
+with one probability the first in order of name is predicted. Null, empty and blank texts have no
+paragraphs and no licence. A very long text is read whole, in one row. Repeated rows and null ids
+get a row each. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,31 +47,28 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-# Usual notices of licence families.
+# Usual notices of licence families, and paragraphs of their full texts.
 NOTICES = {
+    "agpl": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "Released under the AGPL v3 license.",
+    ],
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "This project is released under the Apache 2.0 license.",
-    ],
-    "mit": [
-        "Released under the MIT License.",
-        "This software is distributed under the terms of the MIT license.",
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
-        "Licensed under the MIT License.",
-    ],
-    "gpl": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-        "Licensed under the GNU GPL v3 or later.",
-        "Released under the GNU General Public License version 2.",
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Licensed under the BSD 3-Clause License.",
         "Released under the BSD license.",
         "Use of this source code is governed by a BSD-style license",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ],
     "cc": [
         "Licensed under CC BY-NC 4.0.",
@@ -72,24 +76,61 @@ NOTICES = {
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 license.",
     ],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0",
+        "Licensed under the Eclipse Public License 2.0.",
+    ],
+    "gpl": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "Licensed under the GNU GPL v3 or later.",
+        "Released under the GNU General Public License version 2.",
+        "You should have received a copy of the GNU General Public License along with this program.",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+    ],
+    "lgpl": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "Released under the LGPL license.",
+    ],
+    "mit": [
+        "Released under the MIT License.",
+        "This software is distributed under the terms of the MIT license.",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
+        "Licensed under the MIT License.",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+    ],
+    "mpl": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Licensed under the Mozilla Public License 2.0.",
+    ],
     "reserved": [
         "All rights reserved.",
         "Copyright. All rights reserved.",
         "No part of this publication may be reproduced without the prior permission of the publisher. All rights reserved.",
     ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
 }
 #: What ``words`` finds in the notices, and the most in one of them.
 NOTICE_WORDS = [re.findall("[a-z0-9]+", n.lower()) for texts in NOTICES.values() for n in texts]
 WIDEST = max(map(len, NOTICE_WORDS))
+KNOWN = sorted(set().union(*NOTICE_WORDS))
 UNKNOWN = "unknown"
 SAMPLE_PARAGRAPHS = 4000
 VARIANTS = 24
-#: Share of sampled paragraphs above which a notice word is too common for an anchor.
+#: Share of the corpus's different lines above which a notice word is too common for an anchor.
 COMMON = 0.002
 CONFIDENT = 0.6
 CONTAINED = 0.6
 #: Words that only occur in notices mark corpus paragraphs that are no clean example of the unknown class.
-MARKERS = "licen[sc]e|copyright|rights reserved|creative commons|redistribut|hereby granted"
+MARKERS = "licen[sc]e|copyright|rights reserved|creative commons|redistribut|hereby granted|public domain|warrant"
 
 
 def words(paragraph: Column) -> Column:
@@ -125,9 +166,10 @@ def runs(docs: DataFrame, anchors: list[str]) -> DataFrame:
     arrays: inlined or pushed down as a filter, an expression would run again for each element.
     """
     keep = [c for c in docs.columns if c != "text"]
+    docs = docs.filter(F.arrays_overlap(words(F.col("text")), F.lit(anchors)))
     holds = lambda those: F.transform("_w", lambda w: F.arrays_overlap(w, F.lit(those)))
     rows = docs.withColumn("_w", F.transform(F.split("text", "\n"), words))
-    rows = rows.withColumn("_size", F.transform("_w", F.size)).withColumn("_anchor", holds(anchors)).withColumn("_notice", holds(sorted(set().union(*NOTICE_WORDS))))
+    rows = rows.withColumn("_size", F.transform("_w", F.size)).withColumn("_anchor", holds(anchors)).withColumn("_notice", holds(KNOWN))
 
     def last(i: Column) -> Column:
         """The last line of the longest run that line i begins: further lines, until one is empty or the lines inside are too wide."""
@@ -159,24 +201,33 @@ def notice_rows(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def sampled(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS) -> DataFrame:
-    """Up to ``sample`` corpus lines without licence words or parts of notices, the same ones in each run."""
-    lines = paragraphs(docs.select("text")).filter(~F.lower("paragraph").rlike(MARKERS))
-    lines = C.materialise(lines.withColumn("u", F.xxhash64("paragraph")).orderBy("u", "paragraph").limit(sample), "sample")
-    # lines of a wrapped notice may hold no marker
+def plain(lines: DataFrame) -> DataFrame:
+    """Of (paragraph, w: its words), lines without licence words or parts of notices; lines of a wrapped notice may hold no marker."""
     pieces = sorted({" ".join(n[i : i + 3]) for n in NOTICE_WORDS for i in range(len(n) - 2)})
-    return lines.filter(~F.arrays_overlap(grams(words(F.col("paragraph")), 3), F.lit(pieces)))
+    part = F.when(F.size(F.array_intersect("w", F.lit(KNOWN))) > 2, F.arrays_overlap(grams(F.col("w"), 3), F.lit(pieces))).otherwise(F.lit(False))
+    return lines.filter(~F.lower("paragraph").rlike(MARKERS)).filter(~part)
 
 
-def vocabulary(spark: SparkSession, lines: DataFrame) -> tuple[list[str], list[str]]:
-    """Anchors, and the grams of the notices that hold one. Both are bounded by the notices."""
-    rows = with_grams(notice_rows(spark), "notice").select("words", "grams").collect()
-    known = sorted({w for r in rows for w in r.words})
-    size = lines.count()
-    seen = lines.select(F.explode(F.array_distinct(words(F.col("paragraph")))).alias("w")).filter(F.col("w").isin(known)).groupBy("w").agg(F.count("*").alias("n"))
-    common = {r.w for r in seen.filter(F.col("n") > COMMON * size).collect()}
-    anchors = [w for w in known if w not in common] or known
-    return anchors, sorted({g for r in rows for g in r.grams if not common.issuperset(g.split(" "))} or {g for r in rows for g in r.grams})
+def sampled(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS) -> DataFrame:
+    """Up to ``sample`` different plain lines of the corpus, the same ones in each run."""
+    lines = paragraphs(docs.select("text")).withColumn("u", F.xxhash64("paragraph"))
+    size = lines.agg(F.approx_count_distinct("u")).first()[0]
+    # a hash bound keeps about three times the lines wanted before any of them moves
+    near = lines.filter(F.pmod("u", F.lit(2**52)) / float(2**52) < (3 * sample + 200) / max(size, 1))
+    near = plain(near.withColumn("w", words(F.col("paragraph")))).select("paragraph", "u").distinct()
+    return C.materialise(near.orderBy("u", "paragraph").limit(sample), "sample")
+
+
+def vocabulary(docs: DataFrame, share: float = COMMON) -> tuple[list[str], list[str]]:
+    """Anchors, and the grams of the notices that hold one. Both are bounded by the notices; the counts cover all plain lines."""
+    lines = plain(paragraphs(docs.select("text")).withColumn("w", words(F.col("paragraph")))).select(F.xxhash64("paragraph").alias("u"), F.array_intersect("w", F.lit(KNOWN)).alias("held"))
+    # the empty word stands for all lines
+    seen = lines.select("u", F.explode(F.array_append("held", F.lit(""))).alias("w")).groupBy("w").agg(F.approx_count_distinct("u").alias("n")).collect()
+    size = max((r.n for r in seen if not r.w), default=0)
+    common = {r.w for r in seen if r.w and r.n > share * size}
+    anchors = [w for w in KNOWN if w not in common] or KNOWN
+    of = with_grams(notice_rows(docs.sparkSession), "notice").select(F.explode("grams").alias("g")).distinct().collect()
+    return anchors, sorted({r.g for r in of if not common.issuperset(r.g.split(" "))} or {r.g for r in of})
 
 
 def training_rows(spark: SparkSession, lines: DataFrame, variants: int = VARIANTS) -> DataFrame:
@@ -220,7 +271,7 @@ class Model:
 def train(docs: DataFrame) -> Model:
     spark, classes = docs.sparkSession, sorted([*NOTICES, UNKNOWN])
     lines = sampled(docs)
-    anchors, known = vocabulary(spark, lines)
+    anchors, known = vocabulary(docs)
     counter = CountVectorizerModel.from_vocabulary(known, inputCol="grams", outputCol="features", binary=True)
     rows = with_grams(training_rows(spark, lines)).withColumn("label", F.array_position(F.lit(classes), F.col("family")).cast("double") - 1)
     rows = C.materialise(rows.withColumn("weight", F.when(F.col("family") == UNKNOWN, 0.5).otherwise(1.0)).withColumn("part", F.pmod(F.xxhash64("paragraph"), F.lit(5))), "training").coalesce(1)
