@@ -2,24 +2,28 @@
 
 Base: regular expressions with checks give emails, addresses, cards and phones. These are the
 seed entities. The two words before an entity are its lexical pattern (also the last of them
-alone). Spark scores a bipartite graph of patterns and instances: a pattern's score is the mean
+alone). Candidates are words that hold a digit, an @ or [at], and runs of digit groups, outside all
+base spans. Spark scores a bipartite graph of patterns and instances: a pattern's score is the mean
 score of its distinct instances, smoothed, so that a context that also precedes many ordinary
-words stays low; an instance's score is the best among its patterns; seeds keep score 1. After
-``rounds`` rounds, patterns with ``support`` distinct seeds and a score of ``confident`` or more
-name the words they precede, if these hold a digit and lie outside all base spans.
+candidates stays low, and 0 unless ``support`` of its instances score ``confident`` or more; an
+instance's score is the best among its patterns, and it takes that pattern's kind; seeds keep
+score 1. So what one round discovers supports new patterns in the next. After ``rounds`` rounds,
+patterns with that support and a score of ``confident`` or more name the candidates they precede.
 
 Everything is DataFrame and SQL functions. Texts are read once; what is found in them goes to the
 shared folder, and all later steps move these short rows only. Matches are located by lengths of
-the pieces between them, summed in two levels, so the work is near linear in the matches.
+the pieces between them, summed in two levels, and candidates are told from base spans in one
+ordered pass over both, so the work is near linear in the matches.
 
 Regular expressions use possessive loops and start only where a run begins or the last match
 ended, which changes no match but keeps very long runs linear and needs no deep stack.
 
-Skew: a frequent pattern or instance is one row of partial aggregates; patterns below the support
-bound are dropped before any join.
+Skew: a frequent pattern or instance is one row of partial aggregates; patterns with fewer distinct
+instances than the support bound are dropped before any join.
 
-Defined results: null text is empty and has no spans. Rows get one result each, repeated rows
-and null ids included. An empty table gives no rows. Other columns are ignored.
+Defined results: null text is empty and has no spans. Very long texts are read whole, in one row.
+Of patterns with one score, the kind that comes last in order of name is told. Rows get one result
+each, repeated rows and null ids included. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +43,11 @@ PATTERNS = {
 }
 #: A text without this can't match; saves the costlier pattern.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-#: A word that could be an identifier: it holds a digit.
-CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: What could be an identifier: a run of digit groups, or a word that holds a digit, an @ or [at].
+_GROUPS = r"[0-9(+][0-9().+-]*+(?:\x20[0-9(][0-9().-]*+)++(?![^\x20\x09-\x0D])"
+_WORD = r"(?:[^\x20\x09-\x0D0-9@\[]|\[(?!at\]))*+(?:[0-9@]|\[at\])[^\x20\x09-\x0D]*+"
+CANDIDATE = rf"(?<![^\x20\x09-\x0D])(?:{_GROUPS}|{_WORD})"
+MAY_HOLD = r"[0-9@]|\[at\]"
 SUPPORT = 3
 CONFIDENT = 0.6
 SMOOTHING = 2
@@ -133,18 +140,36 @@ def contexts(before: Column) -> Column:
     return F.filter(F.array(one, F.regexp_replace(two, C.SPACE, " ")), lambda p: p != "")
 
 
+def outside(words: str, base: str) -> Column:
+    """The spans of ``words`` that overlap none of ``base``: one pass in order of starts carries the furthest end so far, one back the next start."""
+    event = lambda x, word, stop: F.struct(x["start"].alias("start"), F.lit(word).alias("word"), stop.cast("long").alias("stop"), x["s"].alias("s"), x["before"].alias("before"))
+    events = F.array_sort(F.concat(F.transform(base, lambda b: event(b, 0, b["stop"])), F.transform(words, lambda w: event(w, 1, w["start"] + F.length(w["s"])))))
+
+    def carried(rows: Column, first: int, step) -> Column:
+        state = lambda at, out: F.struct(at.cast("long").alias("at"), out.alias("out"))
+        move = lambda a, x: state(F.when(x["word"] == 0, step(a["at"], x)).otherwise(a["at"]), F.array_append(a["out"], a["at"]))
+        return F.aggregate(rows, state(F.lit(first), F.expr("cast(array() as array<bigint>)")), move)["out"]
+
+    ends = carried(events, 0, lambda at, x: F.greatest(at, x["stop"]))
+    starts = F.reverse(carried(F.reverse(events), 2**62, lambda at, x: F.least(at, x["start"])))
+    marked = F.zip_with(events, F.arrays_zip(ends.alias("end"), starts.alias("next")), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    free = F.filter(marked, lambda m: (m["x"]["word"] == 1) & (m["y"]["end"] <= m["x"]["start"]) & (m["y"]["next"] >= m["x"]["stop"]))
+    found = F.transform(free, lambda m: F.struct(m["x"]["start"].alias("start"), m["x"]["s"].alias("s"), m["x"]["before"].alias("before")))
+    return F.when((F.size(words) > 0) & (F.size(base) > 0), found).otherwise(F.col(words))
+
+
 def extract(docs: DataFrame) -> DataFrame:
-    """Per row: row_id, doc_id, base spans, and ``seen``: entities and identifier-like words with their patterns."""
+    """Per row: row_id, doc_id, base spans, and ``seen``: entities and candidates with their patterns."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    rows = locate(with_base(rows), "words", CANDIDATE, F.col("text").rlike("[0-9]"))
-    outside = F.filter("words", lambda w: ~F.exists("base", lambda b: (b["start"] < w["start"] + F.length(w["s"])) & (b["stop"] > w["start"])))
+    rows = locate(with_base(rows), "words", CANDIDATE, F.col("text").rlike(MAY_HOLD))
+    rows = rows.withColumn("free", outside("words", "base"))
 
     def entry(kind: Column, stop: Column, x: Column) -> Column:
         return F.struct(kind.alias("kind"), x["start"].alias("start"), stop.alias("stop"), F.lower(x["s"]).alias("s"), contexts(x["before"]).alias("patterns"))
 
     seeds = F.transform("base", lambda b: entry(b["kind"], b["stop"], b))
-    others = F.transform(outside, lambda w: entry(F.lit(None).cast("string"), w["start"] + F.length(w["s"]), w))
+    others = F.transform("free", lambda w: entry(F.lit(None).cast("string"), w["start"] + F.length(w["s"]), w))
     return rows.select("doc_id", F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["stop"].alias("stop"))).alias("base"), F.concat(seeds, others).alias("seen"))
 
 
@@ -154,17 +179,23 @@ def confident_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SU
     The graph's edges are distinct (pattern, instance) pairs, so copies of a text add nothing.
     """
     edges = found.select(F.explode("seen").alias("e")).select("e.kind", "e.s", F.explode("e.patterns").alias("pattern")).groupBy("pattern", "s").agg(F.max("kind").alias("kind"))
-    usable = edges.groupBy("pattern").agg(F.count("kind").alias("seeds")).filter(F.col("seeds") >= support).select("pattern")
+    usable = edges.groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= support).select("pattern")
     edges = C.materialise(edges.join(usable, "pattern"), "edges")
-    scores = edges.select("s", F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0).alias("score")).distinct()
-    seeds = scores.filter("score = 1.0")
+    seeds = edges.filter("kind is not null").groupBy("s").agg(F.max("kind").alias("kind"), F.lit(1.0).alias("score"))
+    edges = edges.select("pattern", "s")
+
+    def patterns(scores: DataFrame) -> DataFrame:
+        """A candidate without a score counts with 0."""
+        per = edges.join(scores, "s", "left").groupBy("pattern", "kind").agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("w"), F.count("*").alias("n"), F.count_if(F.col("score") >= confident).alias("good"))
+        best = F.max_by("kind", F.struct("good", "w", "kind"))
+        per = per.groupBy("pattern").agg((F.sum("w") / (F.sum("n") + smoothing)).alias("score"), F.sum("good").alias("good"), best.alias("kind"))
+        return per.filter(F.col("good") >= support).select("pattern", "kind", "score")
+
+    scores = seeds
     for _ in range(rounds):
-        by_pattern = edges.join(scores, "s").groupBy("pattern").agg((F.sum("score") / (F.count("*") + smoothing)).alias("weight"))
-        best = edges.join(by_pattern, "pattern").groupBy("s").agg(F.max("weight").alias("score"))
+        best = edges.join(patterns(scores), "pattern").groupBy("s").agg(F.max(F.struct("score", "kind")).alias("b")).select("s", "b.kind", "b.score")
         scores = C.materialise(best.join(seeds.select("s"), "s", "left_anti").unionByName(seeds), "scores")
-    kinds = edges.filter("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("n")).groupBy("pattern").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"))
-    final = edges.join(scores, "s").groupBy("pattern").agg((F.sum("score") / (F.count("*") + smoothing)).alias("score"))
-    return final.filter(F.col("score") >= confident).join(kinds, "pattern").select("kind", "pattern", "score")
+    return patterns(scores).filter(F.col("score") >= confident).select("kind", "pattern", "score")
 
 
 def span_text(spans: Column) -> Column:
