@@ -11,8 +11,9 @@ one row per list, so a text that holds a third of all rows is a number in each t
 aggregate, and the join back to the rows is one that Spark can split.
 
 Defined results: a null text is the empty text. Null ids come last; a group of null ids alone
-keeps its null-id rows. Rows that repeat both id and text share one verdict. Other columns are
-ignored.
+keeps its null-id rows. Rows that repeat both id and text share one verdict, ``keep_first`` lets one
+of them stay. A very long text is cut into many chunks in one task. An empty table gives no rows.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -121,7 +122,7 @@ def recipes(docs: DataFrame, ambiguous: list[int]) -> DataFrame:
 
 
 def keyed_groups(docs: DataFrame) -> DataFrame:
-    rows = recipes(docs, ambiguous_ids(docs))
+    rows = C.materialise(recipes(docs, ambiguous_ids(docs)), "recipes")
     groups = C.materialise(rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
     return rows.join(groups, "recipe").select("doc_id", "text_key", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 

@@ -8,8 +8,12 @@ the words at most, and no repeat may be longer than ``max_longest`` words.
 
 One pass over the rows, no shuffle; texts are processed in groups of bounded bytes.
 
+Words are told apart by 64-bit hashes that aren't verified: in a text of a million words one pair
+of unlike words is taken as equal with a chance of 3e-8.
+
 Defined results: null, empty and blank texts have 0 words and fail the base rule (fewer than 10
-words). Repeated rows and repeated ids get a row each. Other columns are ignored.
+words). A very long text is one numpy call of its own. Repeated rows and repeated ids get a row
+each. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
