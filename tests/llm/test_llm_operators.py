@@ -8,11 +8,12 @@ import sys
 import textwrap
 from collections import Counter, defaultdict
 
+import near_recall
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barstead.llm import chat_format, exact_dedup, graph, language_id, license_scan, mixing, near_dedup, packing, private_data, quality_rules, registry, substring_dedup
+from barstead.llm import chat_format, exact_dedup, graph, language_id, license_scan, mixing, near_dedup, packing, private_data, quality_rules, registry, substring_dedup, tokens
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 RNG = random.Random(5)
@@ -55,7 +56,7 @@ OPERATORS = {
     "op5": substring_dedup.substring_dedup,
     "op6": exact_dedup.exact_groups,
     "op7": license_scan.license_scan,
-    "op8": lambda d: packing.pack(packing.with_words(d)),
+    "op8": lambda d: packing.pack(d).selectExpr("inline(arrays_zip(doc_ids, pieces))").filter("pieces = 0").selectExpr("doc_ids as doc_id"),
     "op10": language_id.language_id,
 }
 
@@ -131,6 +132,36 @@ def test_near_groups_equal_brute_force(spark):
     assert got == brute_near(texts)
 
 
+def test_near_recall_on_the_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()}
+    got = {r.doc_id: r.component_id for r in registry.QUERIES["op2_near_dedup"](spark, "/root/testdata/sf0.01").collect()}
+    links = list(near_recall.exact_links(texts, [d for d in texts if d % 20 == 0]))
+    assert links and sum(got[a] == got[b] for a, b in links) >= 0.99 * len(links)
+
+
+@pytest.mark.parametrize(("wide", "each", "least"), [(4, 20, 1.0), (4, 0, 1.0), (0, 20, 0.95)])
+def test_near_recall_in_large_nodes(spark, monkeypatch, wide, each, least):
+    """More than SMALL distinct texts around one base, linked in pairs at the threshold: searched whole, or by deeper branches where nodes are too wide."""
+    texts = near_recall.planted(100, random.Random(1))
+    monkeypatch.setattr(near_dedup, "WIDE", wide)
+    monkeypatch.setattr(near_dedup, "PAIRS_EACH", each)
+    monkeypatch.setattr(near_dedup, "HELD", 64)
+    got = near_recall.found(spark, texts)
+    links = list(near_recall.exact_links(texts, list(texts)))
+    assert len(links) >= 200 and sum(got[a] == got[b] for a, b in links) >= least * len(links)
+
+
+def test_near_keep_one_of_repeated_rows(spark):
+    base = prose(120)
+    near = base.split(" ")
+    near[60] = "changed"
+    rows = [(3, base, "en", "s", 0)] * 3 + [(3, " ".join(near), "fr", "t", 1), (1, base, None, None, None), (9, None, "en", "s", 0), (9, None, "en", "s", 0), (None, base, "en", "s", 0)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("text_key", F.lit(1)).withColumn("least", F.lit("x"))
+    kept = near_dedup.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, base), (9, None)], key=lambda x: x[0])
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.root for r in graph.components(links).collect()}
@@ -194,6 +225,35 @@ def test_contexts_find_unseen_identifiers(spark):
     assert got == {20: "email:15:20"}
 
 
+def test_discoveries_support_further_patterns(spark):
+    """Identifiers that no base rule knows, planted behind seeded contexts and, from there, behind contexts without any seed."""
+    people = ["ann", "bob", "cyd", "dee", "eve", "fay"]
+    texts = [f"please write to u{i}@mail.org today" for i in range(30)]
+    texts += [f"please write to {p}[at]mail.org today" for p in people]  # found in the first round
+    texts += [f"you can reach {p}[at]mail.org there" for p in people]  # these support a context without seeds
+    hidden = [f"you can reach {p}@localhost there" for p in ("gil", "hal", "ida")]
+    groups = [f"call us on +44 20 7946 {i:04d} now" for i in range(30)] + ["call us on 0171 555 123 now"]
+    clean = [f"in the year {1900 + i} we met @home" for i in range(40)] + [prose(30) + f" {i}" for i in range(40)]
+    rows = texts + hidden + groups + clean
+    got = {r.doc_id: (r.spans, r.n_added) for r in private_data.private_data(docs(spark, rows)).collect()}
+    at = lambda t: next(i for i, x in enumerate(rows) if x == t)
+    for t in texts[30:] + hidden:
+        word = next(w for w in t.split() if "@" in w or "[at]" in w)
+        assert got[at(t)] == (f"email:{t.index(word)}:{t.index(word) + len(word)}", 1), t
+    assert got[at(groups[-1])] == ("phone:11:23", 1)
+    assert all(got[at(t)] == ("", 0) for t in clean)
+
+
+def test_candidates_outside_base_spans(spark):
+    texts = ["x1 a@b.co y2 1.2.3.4 z3", "1.2.3.4:80 4111 1111 1111 1111 77 88 x", "n4111 1111 1111 1111 1111 5", "a b", "a@b.co", "9 " * 300 + "a@b.co " * 200]
+    for r in private_data.extract(docs(spark, texts)).collect():
+        spans = [(x.start, x.stop) for x in r.base]
+        own = [(x.start, x.stop) for x in r.seen if x.kind is None]
+        assert all(b <= x or a >= y for a, b in own for x, y in spans)
+        words_of = [(m.start(), m.end()) for m in re.finditer(private_data.CANDIDATE.replace("++", "+").replace("*+", "*"), texts[r.doc_id])]
+        assert own == [(a, b) for a, b in words_of if all(b <= x or a >= y for x, y in spans)]
+
+
 def test_mix_keeps_targets_and_limits(spark):
     texts = [prose(RNG.randint(1, 400)) for _ in range(400)] + [None, ""]
     df = docs(spark, texts)
@@ -269,32 +329,114 @@ def test_targets_by_repeated_resharing(spark):
 
 @pytest.mark.parametrize("n", [1, 2, 7, 100, 1025])
 def test_slot_map_is_a_permutation(spark, n):
-    rows = spark.range(n).selectExpr(f"{mixing.shuffled('id', str(n), '5')} as p").collect()
-    assert sorted(r.p for r in rows) == list(range(n))
+    for df in (mixing.permuted(spark.range(n), "id", f"{n}L", "5L", "p"), mixing.dealt_places(spark.range(n), "id", n, 5, "p")):
+        assert sorted(r.p for r in df.collect()) == list(range(n))
 
 
-def test_packing_invariants(spark):
-    lengths = [0, None, 1, 4096, 4097, 10_000] + [RNG.randint(1, 3000) for _ in range(500)]
-    df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, n_tokens long")
-    rows = packing.pack(df, group=200).collect()
-    parts, bins = defaultdict(list), defaultdict(list)
+def test_block_permutation_in_plain_integers(spark):
+    n, seed, prime = 1000, 123457, mixing.PRIME
+
+    def place(a):
+        for r in range(1, mixing.ROUNDS + 1):
+            one, two = pow(48271, r, prime), pow(69621, r, prime)
+            key = ((seed * one + 69621 * r) % prime * 2**31 + (seed * two + 16807 * r + 11) % prime) % n
+            b = (key - a) % n
+            x = max(a, b)
+            h = (x * x % prime * 48271 + x * 69621 + seed * one % prime + 7919 * r) % prime
+            if (h * h % prime + x) % prime // 1024 % 2:
+                a = b
+        return a
+
+    rows = mixing.permuted(spark.range(n), "id", f"{n}L", f"{seed}L", "p").collect()
+    assert all(r.p == place(r.id) for r in rows)
+    # neighbours end up apart: of runs of 50, few places follow each other
+    by = [r.p for r in sorted(rows, key=lambda r: r.id)]
+    assert sum(abs(a - b) == 1 for a, b in zip(by, by[1:])) < 20
+
+
+def test_many_sources_are_ranked_and_placed(spark):
+    rows = [(i, prose(RNG.randint(5, 60)), "en", None if i % 97 == 0 else f"host{i % 151:03d}", 0) for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plan = mixing.targets(mixing.sized_documents(df)).orderBy("k").collect()
+    assert [r.source for r in plan] == [*sorted({r[3] for r in rows if r[3]}), None] and [r.k for r in plan] == list(range(len(plan)))
+    assert [r["first"] for r in plan] == [sum(x.slots for x in plan[:i]) for i in range(len(plan))]
+    drawn = mixing.shard_counts(mixing.targets(mixing.sized_documents(df)), 32).collect()
+    for r in plan:
+        own = sorted((x.shard, x.earlier, x.n) for x in drawn if x.k == r.k)
+        assert sum(n for _, _, n in own) == r.slots and [e for _, e, _ in own] == [sum(n for _, _, n in own[:i]) for i in range(len(own))]
+
+
+def test_repeated_rows_and_ids_in_the_mix(spark):
+    one, two = prose(300), prose(300)
+    rows = [(1, one, "en", "a", 0)] * 3 + [(1, two, "en", "a", 0), (2, "x y", "en", "a", 0), (2, "x y", "en", "a", 0)]
+    runs = []
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        runs.append((sorted((r.doc_id, r.size, r.taken) for r in mixing.mix(df, block=16).collect()), sorted((r.doc_id, r.text) for r in mixing.mixed_documents(df, block=16).collect())))
+    assert runs[0] == runs[1] and len(runs[0][0]) == len(rows)
+    assert sum(t for _, _, t in runs[0][0]) == sum(len(words(t)) for _, t in runs[0][1])
+
+
+def plain_best_fit(lengths):
+    """Bins of pieces (index, length) by the definition, each opening and each choice by a search over everything."""
+    caps, bins = packing.CAPACITIES, []
+    cost = {c: c * (1 + c / packing.ATTENTION) + packing.OVERHEAD for c in caps}
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        x = lengths[i]
+        room = lambda b: b["cap"] - sum(n for _, n in b["own"])
+        fits = [b for b in bins if room(b) >= x]
+        if fits:
+            best = min(map(room, fits))
+            b = max((b for b in fits if room(b) == best), key=lambda b: b["moved"])
+        else:
+            def filled(c):
+                m = min(c - x, x - 1)
+                return x + min(c - x, sum(n for n in lengths if n <= m))
+
+            b = {"cap": min((c for c in caps if c >= x), key=lambda c: (cost[c] / filled(c), c)), "own": []}
+            bins.append(b)
+        b["own"].append((i, x))
+        b["moved"] = sum(len(x["own"]) for x in bins)
+    return [(min(c for c in caps if c >= sum(n for _, n in b["own"])), b["own"]) for b in bins]
+
+
+def test_best_fit_equals_its_definition():
+    rng = random.Random(8)
+    for most in (30, 900, 4096):
+        lengths = [rng.randint(1, most) for _ in range(150)]
+        bins, offsets, sizes = packing.best_fit(np.array(lengths))
+        got = defaultdict(list)
+        for i in sorted(range(150), key=lambda i: (bins[i], offsets[i])):
+            got[int(bins[i])].append((i, lengths[i], int(sizes[i])))
+        assert [(own[0][2], [(i, n) for i, n, _ in own]) for _, own in sorted(got.items())] == plain_best_fit(lengths)
+
+
+def test_packed_tokens(spark):
+    texts = [None, "", "one", " \t", prose(5000), "é\u00a0 漢字\u3000 x", "word " * 9000] + [prose(RNG.randint(1, 900)) for _ in range(150)]
+    more = [(500, "same row", "en", "s", 8)] * 30 + [(None, "no id", None, None, None), (7, "other text of an id", None, None, None)]
+    df = docs(spark, texts, more)
+    runs = [packing.pack(df.repartition(n), group_bytes=60_000).collect() for n in (1, 6)]
+    assert sorted(map(repr, runs[0])) == sorted(map(repr, runs[1]))
+    rows, encoding = runs[0], tokens.encoding_of(open(tokens.VOCABULARY, "rb").read())[0]
+    parts = defaultdict(list)
     for r in rows:
-        parts[r.doc_id].append((r.start, r.n_tokens))
-        if r.bin_id is not None:
-            bins[r.bin_id].append(r)
-    for i, n in enumerate(lengths):
+        assert sum(r.lengths) == r.n_tokens == len(r.token_ids) and len({len(r.doc_ids), len(r.pieces), len(r.starts), len(r.lengths)}) == 1
+        assert r.capacity == (min(c for c in packing.CAPACITIES if c >= r.n_tokens) if r.bin_id else None)
         at = 0
-        for start, size in sorted(parts[i]):
-            assert start == at
-            at += size
-        assert at == (n or 0)
-    for own in bins.values():
-        used = 0
-        for r in sorted(own, key=lambda r: r.offset):
-            assert r.offset == used
-            used += r.n_tokens
-        assert {r.capacity for r in own} == {min(c for c in packing.CAPACITIES if c >= used)}
-    full = sum(r.n_tokens for own in bins.values() for r in own) / sum(own[0].capacity for own in bins.values())
+        for d, piece, start, n in zip(r.doc_ids, r.pieces, r.starts, r.lengths, strict=True):
+            parts[d].append((piece, start, r.token_ids[at : at + n]))
+            at += n
+    assert len({r.bin_id for r in rows if r.bin_id}) == sum(r.bin_id is not None for r in rows)
+    texts_of = defaultdict(list)
+    for d, t in [*enumerate(texts), *((m[0], m[1]) for m in more)]:
+        texts_of[d].append(t or "")
+    assert set(parts) == set(texts_of)
+    for d, own in texts_of.items():
+        want = Counter(tuple(encoding.encode_ordinary(t)[i : i + 4096]) for t in own for i in range(0, max(1, len(encoding.encode_ordinary(t))), 4096))
+        assert Counter(tuple(x) for _, _, x in parts[d]) == want
+        if len(own) == 1:
+            assert encoding.decode([x for _, _, ids in sorted(parts[d]) for x in ids]) == own[0]
+    full = sum(r.n_tokens for r in rows) / sum(r.capacity or 0 for r in rows)
     assert full > 0.9
 
 
@@ -355,6 +497,71 @@ def test_wrapped_licences(spark):
     assert all((got[i].families, got[i].n_predicted) == ("", 0) for i in range(len(texts), len(texts) + 50))
 
 
+def test_licence_sample_and_anchors_see_a_frequent_line_once(spark):
+    lines = [prose(6, random.Random(i)) for i in range(3000)]
+    hashed = spark.createDataFrame([(x,) for x in lines], "x string").orderBy(F.pmod(F.xxhash64("x"), F.lit(2**52)))
+    hot = hashed.first().x
+    rows = [(i, x, "en", "s", 0) for i, x in enumerate(lines)] + [(10_000 + i, hot + "\nthe software", "en", "s", 0) for i in range(6000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    sample = [r.paragraph for r in license_scan.sampled(df, 400).collect()]
+    assert len(sample) == len(set(sample)) == 400
+    anchors, _ = license_scan.vocabulary(df)
+    assert "software" in anchors and "license" in anchors
+    common = spark.createDataFrame([(i, f"{x} software", "en", "s", 0) for i, x in enumerate(lines)], SCHEMA)
+    assert "software" not in license_scan.vocabulary(common)[0]
+
+
+def plain_licence(text, model):
+    """(families, n_predicted, n_confirmed) by the definition: every run of lines, its grams, softmax, containment, disjoint runs."""
+    lines = [re.findall(r"[a-z0-9\u00c0-\u024f]+", x.lower()) for x in (text or "").split("\n")]
+    known, anchors, vocabulary = set(license_scan.KNOWN), set(model.anchors), {g: i for i, g in enumerate(model.counter.vocabulary)}
+    weights, bias, wide = model.regression.coefficientMatrix.toArray(), model.regression.interceptVector.toArray(), license_scan.WIDEST
+    grams_of = lambda w, n: [" ".join(w[i : i + n]) for i in range(len(w) - n + 1)]
+    found = []
+    for i in range(len(lines)):
+        for j in range(i, len(lines)):
+            if not all(lines[i : j + 1]) or sum(map(len, lines[i + 1 : j])) > wide and j > i:
+                break
+            if not (known & set(lines[i]) and known & set(lines[j]) and any(anchors & set(x) for x in lines[i : j + 1])):
+                continue
+            w = lines[i] if i == j else lines[i][-wide:] + sum(lines[i + 1 : j], []) + lines[j][:wide]
+            on = sorted({vocabulary[g] for n in (1, 2, 3) for g in grams_of(w, n) if g in vocabulary})
+            z = (weights[:, on].sum(axis=1) + bias) / model.temperature
+            p = np.exp(z - z.max())
+            p /= p.sum()
+            family = model.classes[int(p.argmax())]
+            if family != license_scan.UNKNOWN and p.max() >= license_scan.CONFIDENT:
+                own = set(grams_of(w, 3))
+                share = max(len(own & t) / max(len(t), 1) for t in (set(grams_of(re.findall("[a-z0-9]+", n.lower()), 3)) for n in license_scan.NOTICES[family]))
+                found.append((j + 1, -i, family, share >= license_scan.CONTAINED))
+
+    def disjoint(rows):
+        end, n = defaultdict(int), 0
+        for last, back, family, _ in sorted(rows):
+            if 1 - back > end[family]:
+                end[family], n = last, n + 1
+        return n
+
+    good = [x for x in found if x[3]]
+    return ",".join(sorted({x[2] for x in good})), disjoint(found), disjoint(good)
+
+
+def test_licences_equal_brute_force(spark):
+    rng = random.Random(12)
+    notices = [(f, n) for f, own in license_scan.NOTICES.items() for n in own]
+    texts = [n for _, n in notices] + [None, "", "\n\n", "license", "the software\nis provided"]
+    for _ in range(30):
+        parts = [rng.choice([prose(12, rng), rng.choice(notices)[1], " ".join(rng.sample(rng.choice(notices)[1].split(), 3)), ""]) for _ in range(6)]
+        texts.append("\n".join("\n".join(textwrap.wrap(x, rng.choice([30, 70, 400]))) for x in parts))
+    df = docs(spark, texts + [prose(30) for _ in range(60)])
+    model = license_scan.train(df)
+    got = {r.doc_id: (r.families, r.n_predicted, r.n_confirmed) for r in license_scan.license_scan(df, model).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == plain_licence(t, model), t
+    right = sum(f in got[i][0].split(",") for i, (f, _) in enumerate(notices))
+    assert right >= 0.95 * len(notices)
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     from oracle import same
