@@ -60,8 +60,8 @@ SMALL = 128
 #: Classes of a node that a task holds at a time, and how many such blocks make a node too wide to be searched before the last level.
 HELD = 512
 WIDE = 4
-#: Likely pairs per class from which texts travel to blocks instead of with each pair; a pair is met in some ten trees.
-PAIRS_EACH = 20
+#: Likely pairs per class and node beyond which texts travel to blocks instead of with each pair.
+PAIRS_EACH = 4
 
 _RNG = np.random.default_rng(85)
 _A = (_RNG.integers(0, 2**31, COORDS) * 2 + 1).astype(np.uint32)
@@ -106,7 +106,8 @@ def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                     for d, row in zip(full, minwise([sets[d] for d in full]), strict=True):
                         tokens[d], ids[d] = row.tobytes(), hashlib.blake2b(sets[d].tobytes(), digest_size=16).digest()
                 keys = [batch.column(c).slice(i, j - i) for c in ("doc_key", "text_key")]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.binary()), pa.array(tokens, pa.binary())], ["doc_key", "text_key", "n_shingles", "set_id", "tokens"])
+                own = [pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.binary()), pa.array(tokens, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*keys, *own], ["doc_key", "text_key", "n_shingles", "set_id", "tokens"])
 
     return docs.mapInArrow(run, "doc_key long, text_key long, n_shingles long, set_id binary, tokens binary")
 
@@ -124,6 +125,13 @@ def _descend(path: np.ndarray, tokens: np.ndarray, steps: int, twice: float) ->
     return path, row
 
 
+def first_paths(tokens: np.ndarray, trees: int) -> np.ndarray:
+    """(n, trees): the first-level node of each class in each tree. The first steps don't branch."""
+    at = np.repeat(np.arange(len(tokens)), trees)
+    path, _ = _descend(C.mix(np.tile(np.arange(1, trees + 1, dtype=np.uint64), len(tokens))), tokens[at], FIRST_STEPS, 0)
+    return path.view(np.int64).reshape(len(tokens), trees)
+
+
 def branch(rows: DataFrame, steps: int, trees: int | None, threshold: int) -> DataFrame:
     """(path, set_id) of the nodes ``steps`` below; the roots of ``trees`` trees if given, else below ``path``."""
     twice = 100 / threshold - 1
@@ -134,10 +142,7 @@ def branch(rows: DataFrame, steps: int, trees: int | None, threshold: int) -> Da
             if not len(tokens):
                 continue
             if trees:
-                at = np.repeat(np.arange(len(tokens)), trees)
-                # the first steps don't branch: each tree has one path
-                path, row = _descend(C.mix(np.tile(np.arange(1, trees + 1, dtype=np.uint64), len(tokens))), tokens[at], steps, 0)
-                row = at[row]
+                path, row = first_paths(tokens, trees).ravel(), np.repeat(np.arange(len(tokens)), trees)
             else:
                 path, row = _descend(np.asarray(batch.column("path")).view(np.uint64), tokens, steps, twice)
             yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column("set_id").take(pa.array(row))], ["path", "set_id"])
@@ -236,17 +241,28 @@ def parts_of(batch: pa.RecordBatch, size: int = 256):
         lo = hi
 
 
-def alike(x: dict, y: dict, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of two pieces, of different groups, that set sizes and tokens allow, and their equal tokens."""
+def alike(x: dict, y: dict, threshold: int, trees: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of two pieces, of different groups, that set sizes and tokens allow, and their equal tokens.
+
+    With ``trees`` a pair counts in the first tree only in which the two share a node.
+    """
     close = 100 * np.minimum(x["n"][:, None], y["n"][None]) >= threshold * np.maximum(x["n"][:, None], y["n"][None])
     close &= x["roots"][:, None] != y["roots"][None]
     at = np.argwhere(np.triu(close) if x is y else close)
     equal = (x["tokens"][at[:, 0]] == y["tokens"][at[:, 1]]).sum(axis=1)
     enough = equal >= tokens_needed(threshold)
-    return at[enough], equal[enough]
-
-
-def meetings(batches, threshold: int, texts: bool = False):
+    at, equal = at[enough], equal[enough]
+    if trees and len(at):
+        for z in (x, y):
+            if "paths" not in z:
+                z["paths"] = first_paths(z["tokens"], trees)
+        one, two = x["paths"][at[:, 0]], y["paths"][at[:, 1]]
+        here = one[np.arange(len(at)), (one == two).argmax(axis=1)] == x["key"][0]
+        at, equal = at[here], equal[here]
+    return at, equal
+
+
+def meetings(batches, threshold: int, trees: int, texts: bool = False):
     """Each held piece of a block with each later piece that holds likely pairs: (x, y, pairs, equal tokens); (held, None, None, None) as a block ends."""
     key, held = None, []
     for batch in batches:
@@ -261,14 +277,14 @@ def meetings(batches, threshold: int, texts: bool = False):
             if not part["streams"]:
                 held.append(part)
             for x in held:
-                pairs, equal = alike(x, part, threshold)
+                pairs, equal = alike(x, part, threshold, trees)
                 if len(pairs):
                     yield x, part, pairs, equal
     if held:
         yield held, None, None, None
 
 
-def likeliest(rows: DataFrame, threshold: int) -> DataFrame:
+def likeliest(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
     """For each group that may be linked with another, its pair with most equal tokens: distinct (a, b)."""
 
     def run(batches):
@@ -278,7 +294,7 @@ def likeliest(rows: DataFrame, threshold: int) -> DataFrame:
             root, (equal, a, b) = list(best), zip(*best.values(), strict=True)
             return pa.RecordBatch.from_arrays([pa.array(root, pa.binary()), pa.array(equal, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["root", "equal", "a", "b"])
 
-        for x, y, pairs, equal in meetings(batches, threshold):
+        for x, y, pairs, equal in meetings(batches, threshold, trees):
             if y is None:
                 if len(best) > 20_000:
                     yield batch_of()
@@ -304,7 +320,7 @@ def likeliest(rows: DataFrame, threshold: int) -> DataFrame:
 MET = "node long, block int, streams int, set_id binary, root binary, pairs long"
 
 
-def touching(rows: DataFrame, threshold: int) -> DataFrame:
+def touching(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
     """The rows of blocks that may be linked with one of another group, and how many pairs each adds."""
 
     def run(batches):
@@ -322,7 +338,7 @@ def touching(rows: DataFrame, threshold: int) -> DataFrame:
             if past is not None and past["streams"] and past["hit"].any():
                 yield batch_of(past, past["hit"], past["pairs"])
 
-        for x, y, pairs, _ in meetings(batches, threshold):
+        for x, y, pairs, _ in meetings(batches, threshold, trees):
             if y is not past:
                 yield from leave()
                 past = y
@@ -341,11 +357,11 @@ def touching(rows: DataFrame, threshold: int) -> DataFrame:
     return rows.mapInArrow(run, MET)
 
 
-def likely_pairs(rows: DataFrame, threshold: int) -> DataFrame:
+def likely_pairs(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
     """All likely pairs (a, b) of different groups."""
 
     def run(batches):
-        for x, y, pairs, _ in meetings(batches, threshold):
+        for x, y, pairs, _ in meetings(batches, threshold, trees):
             if y is not None:
                 ordered = [sorted((x["ids"][i], y["ids"][j])) for i, j in pairs.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*ordered, strict=True)], ["a", "b"])
@@ -353,7 +369,7 @@ def likely_pairs(rows: DataFrame, threshold: int) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def linked(rows: DataFrame, threshold: int) -> DataFrame:
+def linked(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
     """Pairs (a, b) of a block with that similar full sets, as many as connect its groups."""
 
     def same(s, t):
@@ -368,7 +384,7 @@ def linked(rows: DataFrame, threshold: int) -> DataFrame:
                 r = parent[r]
             return r
 
-        for x, y, pairs, _ in meetings(batches, threshold, texts=True):
+        for x, y, pairs, _ in meetings(batches, threshold, trees, texts=True):
             if y is None:
                 parent = {}
                 continue
@@ -384,20 +400,20 @@ def linked(rows: DataFrame, threshold: int) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def remaining_links(blocks: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
+def remaining_links(blocks: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int, trees: int) -> DataFrame:
     """Confirmed links between the groups of ``blocks``, all their likely pairs considered.
 
     Where classes have few likely partners, the pairs are confirmed one by one. Where they have
     many, texts would travel with each pair; then they travel once to each of their blocks.
     """
-    met = C.materialise(touching(blocks, threshold), "touching")
+    met = C.materialise(touching(blocks, threshold, trees), "touching")
     size = met.agg(F.count("*").alias("rows"), F.sum("pairs").alias("pairs")).first()
     ordered = lambda rows: rows.repartition("node", "block").sortWithinPartitions("node", "block", "streams")
     rows = met.drop("pairs").join(classes.select("set_id", "n_shingles", "tokens"), "set_id")
     if (size.pairs or 0) <= PAIRS_EACH * size.rows:
-        return confirmed(C.materialise(likely_pairs(ordered(rows), threshold), "pairs"), classes, docs, threshold)
+        return confirmed(C.materialise(likely_pairs(ordered(rows), threshold, trees), "pairs"), classes, docs, threshold)
     ids = met.select("set_id").distinct().join(classes.select("set_id", "doc_key", "text_key"), "set_id")
-    return linked(ordered(rows.join(texts_of(C.materialise(ids, "wanted"), docs), "set_id")), threshold)
+    return linked(ordered(rows.join(texts_of(C.materialise(ids, "wanted"), docs), "set_id")), threshold, trees)
 
 
 def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int, small: int) -> DataFrame:
@@ -423,9 +439,10 @@ def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int
     for level in levels[1:]:
         nodes = nodes.unionByName(level)
     again = lambda: C.materialise(unsettled(with_groups(nodes.select("path", "set_id"), groups)), "unsettled")
-    if len(levels) > 1:  # earlier levels know earlier groups only
-        nodes = again()
-    hints = C.materialise(likeliest(blocks_of_nodes(nodes, small, classes), threshold), "hints")
+    if len(levels) > 1:
+        # earlier levels know earlier groups only; and a pair's first node may be a wide one, so it counts wherever it is met
+        nodes, trees = again(), 0
+    hints = C.materialise(likeliest(blocks_of_nodes(nodes, small, classes), threshold, trees), "hints")
     if hints.isEmpty():
         return groups
     found = confirm(hints)
@@ -433,7 +450,7 @@ def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int
         links = links.union(found)
         groups = components(links)
         nodes = again()
-    more = C.materialise(remaining_links(blocks_of_nodes(nodes, small, classes), classes, docs, threshold), "links")
+    more = C.materialise(remaining_links(blocks_of_nodes(nodes, small, classes), classes, docs, threshold, trees), "links")
     return groups if more.isEmpty() else components(links.union(more))
 
 
