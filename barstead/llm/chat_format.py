@@ -100,7 +100,9 @@ def format_turns(conversations: DataFrame, vocabulary: str = VOCABULARY, codec=N
                 part = batch.slice(lo, 512)
                 ids, mask, bounds = codec.turns(part.column("role").to_pylist(), part.column("text").to_pylist())
                 at = pa.array(bounds, pa.int32())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("conv_id", "turn", "role", "text_key")), pa.ListArray.from_arrays(at, pa.array(ids)), pa.ListArray.from_arrays(at, pa.array(mask))], ["conv_id", "turn", "role", "text_key", "token_ids", "loss_mask"])
+                own = ["conv_id", "turn", "role", "text_key"]
+                lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (ids, mask)]
+                yield pa.RecordBatch.from_arrays([*map(part.column, own), *lists], [*own, "token_ids", "loss_mask"])
 
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
@@ -146,7 +148,8 @@ def read_back(turns: DataFrame, vocabulary: str = VOCABULARY, codec=None) -> Dat
 
     def rows_of(out):
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text_key").select("conv_id", "token_ids", "loss_mask")
     return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

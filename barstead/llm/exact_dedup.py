@@ -118,7 +118,8 @@ def recipes(docs: DataFrame, ambiguous: list[int]) -> DataFrame:
             if lists:
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "recipe": pa.array(lists, pa.binary()), "text_sha256": pa.array(digests)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", C.row_key(docs)["text_key"].alias("text_key")).mapInArrow(run, "doc_id long, text_key long, recipe binary, text_sha256 string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", C.row_key(docs)["text_key"].alias("text_key"))
+    return rows.mapInArrow(run, "doc_id long, text_key long, recipe binary, text_sha256 string")
 
 
 def keyed_groups(docs: DataFrame) -> DataFrame:

@@ -241,7 +241,9 @@ def training_rows(spark: SparkSession, lines: DataFrame, variants: int = VARIANT
     known = varied.withColumn("slot", F.pmod(F.xxhash64("notice", "v"), F.lit(997))).join(noise, "slot", "left")
     body = F.when(F.col("v") % 4 == 2, F.concat(F.coalesce("around", F.expr("cast(array() as array<string>)")), kept)).otherwise(kept)
     known = known.select(F.col("family").alias("family"), F.array_join(body, " ").alias("paragraph"))
-    scrambled = varied.filter("v between 1 and 2").select(F.lit(UNKNOWN).alias("family"), F.array_join(F.transform(F.array_sort(F.transform("w", lambda x, i: F.struct(chance(i, 2).alias("r"), x.alias("x")))), lambda s: F.lower(s["x"])), " ").alias("paragraph"))
+    mixed = F.array_sort(F.transform("w", lambda x, i: F.struct(chance(i, 2).alias("r"), x.alias("x"))))
+    mixed = F.array_join(F.transform(mixed, lambda s: F.lower(s["x"])), " ")
+    scrambled = varied.filter("v between 1 and 2").select(F.lit(UNKNOWN).alias("family"), mixed.alias("paragraph"))
     short = varied.filter("v between 3 and 4").select(F.lit(UNKNOWN).alias("family"), F.array_join(F.slice("w", 1, 2), " ").alias("paragraph"))
     return known.unionByName(lines.select(F.lit(UNKNOWN).alias("family"), "paragraph")).unionByName(scrambled).unionByName(short)
 
@@ -278,7 +280,9 @@ def train(docs: DataFrame) -> Model:
     rows = counter.transform(rows)
     fit = LogisticRegression(maxIter=40, regParam=0.001, weightCol="weight", probabilityCol="probability_", family="multinomial").fit(rows.filter("part != 0"))
     held = fit.transform(rows.filter("part = 0")).select("label", vector_to_array("rawPrediction").alias("z"))
-    loss = lambda t: F.avg(F.log(F.aggregate(F.transform("z", lambda z: F.exp((z - F.array_max("z")) / t)), F.lit(0.0), lambda a, x: a + x)) - (F.element_at("z", (F.col("label") + 1).cast("int")) - F.array_max("z")) / t)
+    top, own = F.array_max("z"), F.element_at("z", (F.col("label") + 1).cast("int"))
+    total = lambda t: F.aggregate(F.transform("z", lambda z: F.exp((z - top) / t)), F.lit(0.0), lambda a, x: a + x)
+    loss = lambda t: F.avg(F.log(total(t)) - (own - top) / t)
     grid = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
     losses = held.agg(*(loss(t).alias(f"t{i}") for i, t in enumerate(grid))).first()
     best = min(range(len(grid)), key=lambda i: (losses[i] if losses[i] is not None else 0.0, abs(grid[i] - 1)))
@@ -324,11 +328,13 @@ def license_scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     per = found.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).agg(F.sort_array(F.collect_set(one)).alias("_all"))
     per = per.withColumn("_good", F.filter("_all", lambda x: x["good"])).withColumn("_predicted", counted(F.col("_all"))).withColumn("_confirmed", counted(F.col("_good")))
     families = F.array_join(F.sort_array(F.array_distinct(F.transform("_good", lambda x: x["family"]))), ",")
-    per = per.select("_d", "_t", F.col("_predicted.n").alias("predicted"), F.col("_confirmed.n").alias("confirmed"), families.alias("families"), F.greatest("_predicted.best", "_confirmed.best").alias("best_probability"))
+    counts = F.col("_predicted.n").alias("predicted"), F.col("_confirmed.n").alias("confirmed")
+    per = per.select("_d", "_t", *counts, families.alias("families"), F.greatest("_predicted.best", "_confirmed.best").alias("best_probability"))
     base = rows.select("doc_id", "text_key", count.alias("n_paragraphs"))
     joined = base.join(per, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t")), "left")
     own = lambda c: F.coalesce(c, F.lit(0).cast("long"))
-    return joined.select("doc_id", "n_paragraphs", own("predicted").alias("n_predicted"), own("confirmed").alias("n_confirmed"), F.coalesce("families", F.lit("")).alias("families"), F.round("best_probability", 6).alias("best_probability"))
+    counts = own("predicted").alias("n_predicted"), own("confirmed").alias("n_confirmed")
+    return joined.select("doc_id", "n_paragraphs", *counts, F.coalesce("families", F.lit("")).alias("families"), F.round("best_probability", 6).alias("best_probability"))
 
 
 def op7_license_scan(spark, sf_dir):

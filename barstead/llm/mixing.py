@@ -117,7 +117,8 @@ def shard_counts(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     slots = runs.selectExpr("k", "first", "explode(sequence(run * 4096, least(slots, (run + 1) * 4096) - 1)) as j")
     places = dealt_places(slots, "first + j", max(total, 1), 77, "p")
     drawn = C.materialise(places.selectExpr("k", f"p div {shard_slots} as shard").groupBy("shard", "k").agg(F.count("*").alias("n")), "counts")
-    groups = drawn.selectExpr("k as gk", f"shard div {SHARD_GROUP} as g", "n").groupBy("gk", "g").agg(F.sum("n").alias("n")).selectExpr("gk", "g", "sum(n) over (partition by gk order by g) - n as base")
+    groups = drawn.selectExpr("k as gk", f"shard div {SHARD_GROUP} as g", "n").groupBy("gk", "g").agg(F.sum("n").alias("n"))
+    groups = groups.selectExpr("gk", "g", "sum(n) over (partition by gk order by g) - n as base")
     inner = drawn.selectExpr("*", f"sum(n) over (partition by k, shard div {SHARD_GROUP} order by shard) - n as inner", "sum(n) over (partition by shard order by k) - n as lead")
     return inner.join(groups, (F.col("k") == F.col("gk")) & (F.expr(f"shard div {SHARD_GROUP}") == F.col("g"))).selectExpr("shard", "k", "n", "base + inner as earlier", "lead")
 
@@ -125,7 +126,8 @@ def shard_counts(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
 def draws(plan: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """A row per output slot: shard, slot (in the shard), k, block."""
     counts = shard_counts(plan, shard_slots).join(plan.selectExpr("k as pk", "blocks"), F.col("k") == F.col("pk"))
-    slots = counts.repartition(all_slots(plan)[1], "shard", "k").selectExpr("shard", "k", "blocks", "earlier", "lead", "explode(sequence(0L, n - 1)) as i").selectExpr("shard", "k", "blocks", "lead + i as slot", "earlier + i as j")
+    slots = counts.repartition(all_slots(plan)[1], "shard", "k").selectExpr("shard", "k", "blocks", "earlier", "lead", "explode(sequence(0L, n - 1)) as i")
+    slots = slots.selectExpr("shard", "k", "blocks", "lead + i as slot", "earlier + i as j")
     slots = permuted(slots, "j % blocks", "blocks", "1000003 * (k + 1) + 7919 * (j div blocks)", "block")
     # written, since a filter that a join adds would be pushed down into all rounds
     return C.materialise(slots.select("shard", "slot", "k", "block"), "slots")

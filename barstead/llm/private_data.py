@@ -83,7 +83,10 @@ def locate(df: DataFrame, name: str, pattern: str, wanted: Column) -> DataFrame:
         return F.aggregate(
             part,
             start,
-            lambda a, x: F.struct((a["at"] + x["gap"] + F.length(x["s"])).cast("long").alias("at"), F.concat(a["out"], F.array(F.struct((a["at"] + x["gap"]).alias("start"), x["s"].alias("s"), x["before"].alias("before")))).alias("out")),
+            lambda a, x: F.struct(
+                (a["at"] + x["gap"] + F.length(x["s"])).cast("long").alias("at"),
+                F.concat(a["out"], F.array(F.struct((a["at"] + x["gap"]).alias("start"), x["s"].alias("s"), x["before"].alias("before")))).alias("out"),
+            ),
         )
 
     steps = F.sequence(F.lit(0), F.floor((F.size(c) - 1) / STEP).cast("int"))
@@ -127,7 +130,8 @@ def with_base(rows: DataFrame) -> DataFrame:
 
     def of(kind: str) -> Column:
         good = F.filter(kind, lambda x: passes(kind, x["s"]))
-        return F.transform(good, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), (x["start"] + F.length(x["s"])).alias("stop"), x["s"].alias("s"), x["before"].alias("before")))
+        span = lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), (x["start"] + F.length(x["s"])).alias("stop"), x["s"].alias("s"), x["before"].alias("before"))
+        return F.transform(good, span)
 
     return rows.withColumn("base", F.concat(*map(of, KINDS)))
 
@@ -170,7 +174,8 @@ def extract(docs: DataFrame) -> DataFrame:
 
     seeds = F.transform("base", lambda b: entry(b["kind"], b["stop"], b))
     others = F.transform("free", lambda w: entry(F.lit(None).cast("string"), w["start"] + F.length(w["s"]), w))
-    return rows.select("doc_id", F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["stop"].alias("stop"))).alias("base"), F.concat(seeds, others).alias("seen"))
+    base = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["stop"].alias("stop")))
+    return rows.select("doc_id", base.alias("base"), F.concat(seeds, others).alias("seen"))
 
 
 def confident_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confident: float = CONFIDENT, smoothing: float = SMOOTHING) -> DataFrame:
@@ -186,7 +191,8 @@ def confident_patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SU
 
     def patterns(scores: DataFrame) -> DataFrame:
         """A candidate without a score counts with 0."""
-        per = edges.join(scores, "s", "left").groupBy("pattern", "kind").agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("w"), F.count("*").alias("n"), F.count_if(F.col("score") >= confident).alias("good"))
+        facts = F.sum(F.coalesce("score", F.lit(0.0))).alias("w"), F.count("*").alias("n"), F.count_if(F.col("score") >= confident).alias("good")
+        per = edges.join(scores, "s", "left").groupBy("pattern", "kind").agg(*facts)
         best = F.max_by("kind", F.struct("good", "w", "kind"))
         per = per.groupBy("pattern").agg((F.sum("w") / (F.sum("n") + smoothing)).alias("score"), F.sum("good").alias("good"), best.alias("kind"))
         return per.filter(F.col("good") >= support).select("pattern", "kind", "score")
@@ -215,7 +221,8 @@ def private_data(docs: DataFrame) -> DataFrame:
     joined = found.select("doc_id", "row_id", "base").join(added.withColumnsRenamed({"doc_id": "d", "row_id": "r"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_id") == F.col("r")), "left")
     more = F.coalesce("more", F.expr("cast(array() as array<struct<kind: string, start: bigint, stop: bigint>>)"))
     count = lambda kind: F.size(F.filter("base", lambda b: b["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return joined.select("doc_id", *map(count, KINDS), F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.concat("base", more)).alias("spans"), F.size(more).cast("long").alias("n_added"))
+    digest, spans = F.sha2(span_text(F.col("base")), 256), span_text(F.concat("base", more))
+    return joined.select("doc_id", *map(count, KINDS), digest.alias("base_sha256"), spans.alias("spans"), F.size(more).cast("long").alias("n_added"))
 
 
 def op3_private_data(spark, sf_dir):
