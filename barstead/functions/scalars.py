@@ -49,7 +49,17 @@ def opens_at(snapshot: Column, interval: str = "1 hour") -> Column:
 def number(text: Column) -> Column:
     """Double, or null where the text isn't a finite number."""
     x = text.try_cast("double")
-    return F.when(~F.isnan(x), x)
+    return F.when(F.abs(x) < float("inf"), x)  # NaN is above all numbers
+
+
+def strict_number(text: Column) -> Column:
+    """Double; a text that isn't a number is an error when the column is computed."""
+    return text.cast("double")
+
+
+def strict_count(text: Column) -> Column:
+    """Integer by way of double, since archives write counts as ``12.0`` as well; null stays null, other text is an error."""
+    return text.cast("double").cast("int")
 
 
 def without_nan(x: Column) -> Column:

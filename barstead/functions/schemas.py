@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Column names of the exchange's files and of the stores.
@@ -20,12 +21,23 @@ ALIASES = {
 }
 EXPORT_COLUMNS = ["timestamp", "open", "high", "low", "close", "volume"]
 
-_KEY = [T.StructField("market", T.StringType()), T.StructField("symbol", T.StringType()), T.StructField("interval", T.StringType()), T.StructField("timestamp", T.TimestampNTZType()), T.StructField("snapshot_time", T.TimestampNTZType())]
+_KEY = [T.StructField(c, T.StringType()) for c in ("market", "symbol", "interval")] + [T.StructField(c, T.TimestampNTZType()) for c in ("timestamp", "snapshot_time")]
 
 
-def _store(doubles: list[str], ints: list[str] = ()) -> T.StructType:
+#: The key of each store: one store holds many instruments and intervals.
+STORE_KEYS = ("symbol", "interval")
+#: Seconds of the intervals in use.
+STEPS = {"1m": 60, "5m": 300, "1h": 3600, "1d": 86400}
+
+
+def step_of(interval: Column) -> Column:
+    """Seconds between the bars of an interval; null for an unknown one."""
+    return F.create_map(*(F.lit(x) for pair in STEPS.items() for x in pair))[interval]
+
+
+def _store(doubles: list[str], ints: list[str] = (), written: str = "created_at") -> T.StructType:
     fields = [T.StructField(c, T.DoubleType()) for c in doubles] + [T.StructField(c, T.IntegerType()) for c in ints]
-    return T.StructType([*_KEY, *fields, T.StructField("created_at", T.TimestampNTZType())])
+    return T.StructType([*_KEY, *fields, T.StructField(written, T.TimestampNTZType())])
 
 
 PRICES = ["open", "high", "low", "close"]
@@ -36,7 +48,10 @@ STORES = {
     "long_short": _store(["long_short_ratio", "long_account", "short_account"]),
     "premium": _store(PRICES),
     "spot": _store([*PRICES, "volume", "taker_buy_base_volume"], ["num_trades"]),
+    "ohlcv_1m": _store([*PRICES, "volume", "quote_asset_volume", "taker_buy_base_volume", "taker_buy_quote_volume"], ["num_trades"], written="ingested_at"),
 }
+#: Columns that a store doesn't take as null: rows without them are ignored.
+REQUIRED = {"ohlcv_1m": [*PRICES, "volume"]}
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -58,6 +73,4 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def as_store(df: DataFrame, dataset: str) -> DataFrame:
     """``df`` in the columns, order and types of a store; absent columns are null."""
-    from pyspark.sql import functions as F
-
     return df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in STORES[dataset]))

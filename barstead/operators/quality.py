@@ -23,9 +23,10 @@ def with_previous(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = "bar_ts",
     own = F.lag(ts).over(Window.partitionBy(*keys, "_day").orderBy(ts))
     days = df.groupBy(*keys, day).agg(F.max(ts).alias("_last"))
     days = days.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_day").alias("_d"), F.lag("_last").over(Window.partitionBy(*keys).orderBy("_day")).alias("_before"))
-    match = F.col("_day") == F.col("_d")
+    # null-safe: rows without a time or key are rows of their own series and day
+    match = F.col("_day").eqNullSafe(F.col("_d"))
     for k in keys:
-        match &= F.col(k) == F.col(f"_k_{k}")
+        match &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     joined = rows.withColumn("_own", own).join(days, match)
     return joined.withColumn(name, F.coalesce("_own", "_before")).drop("_own", "_before", "_day", "_d", *(f"_k_{k}" for k in keys))
 
@@ -34,13 +35,14 @@ def seconds_between(a: str, b: str) -> Column:
     return F.timestamp_diff("SECOND", F.col(a), F.col(b))
 
 
-def gap_rows(df: DataFrame, keys=KEYS, ts: str = "bar_ts", step: int = 3600) -> DataFrame:
-    """Rows whose distance to the row before isn't ``step`` seconds; repeated times are distance 0."""
+def gap_rows(df: DataFrame, keys=KEYS, ts: str = "bar_ts", step: int | Column = 3600) -> DataFrame:
+    """Rows whose distance to the row before isn't ``step`` seconds; repeated times are distance 0. A step column holds intervals apart."""
     diff = with_previous(df, keys, ts).withColumn("diff_s", seconds_between("prev_ts", ts))
     return diff.filter((F.col("diff_s") != step) & F.col("prev_ts").isNotNull())
 
 
-def gap_count(df: DataFrame, keys=KEYS, ts: str = "bar_ts", step: int = 3600) -> DataFrame:
+def gap_count(df: DataFrame, keys=KEYS, ts: str = "bar_ts", step: int | Column = 3600) -> DataFrame:
+    """Gaps and rows per series, rows without a time included."""
     diff = with_previous(df, keys, ts).withColumn("diff_s", seconds_between("prev_ts", ts))
     return diff.groupBy(*keys).agg(F.count_if(F.col("diff_s") != step).alias("gaps"), F.count("*").alias("n_rows"))
 

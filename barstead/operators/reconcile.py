@@ -58,26 +58,50 @@ def mismatch_sample(archive: DataFrame, feed: DataFrame, value: str, tolerance:
     return diff.select(*keys, ts, f"l_{value}", f"r_{value}", "diff").orderBy(ts, *keys).limit(n)
 
 
-def validate_window(batch: DataFrame, store: DataFrame, targets: DataFrame, values: Sequence[str] = VALUES, tolerance: float = TOLERANCE, ts: str = "bar_ts") -> DataFrame:
-    """Per row of ``targets`` (symbol, target): ok, reason, validated.
+def last_stored(store: DataFrame, ends: DataFrame, end: str, counts: str, most: int, keys: Sequence[str], ts: str, strict: bool) -> DataFrame:
+    """The last stored rows of each series up to its ``end``, as many as ``counts`` says, ``most`` at most.
+
+    The bound on the rank is a constant, so each task keeps ``most`` rows of a series before any row moves.
+    """
+    back = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
+    before = F.col(ts) < F.col(end) if strict else F.col(ts) <= F.col(end)
+    ranked = store.join(ends, list(keys)).filter(before).withColumn("_r", F.row_number().over(back))
+    return ranked.filter(F.col("_r") <= most).filter(F.col("_r") <= F.col(counts)).drop("_r")
+
+
+def validate_window(
+    batch: DataFrame,
+    store: DataFrame,
+    targets: DataFrame,
+    values: Sequence[str] = VALUES,
+    tolerance: float = TOLERANCE,
+    ts: str = "bar_ts",
+    keys: Sequence[str] = KEYS,
+    step: int | Column = 3600,
+    most: int | None = None,
+) -> DataFrame:
+    """Per row of ``targets`` (keys, target): ok, reason, validated.
 
     The batch without its last row is aligned with as many last store rows before the target. The
     first reason that applies, in this order: no batch, last row isn't the target, no history
-    (which is fine), not hourly, store too short, times differ, a column with NaN differences
-    only, a column off by more than the tolerance.
+    (which is fine), not hourly (``step`` seconds), store too short, times differ, a column with NaN
+    differences only, a column off by more than the tolerance. ``most`` bounds the rows of a
+    series in the batch; if it isn't given, one small job counts them.
     """
-    b = batch.join(targets, "symbol").select("symbol", ts, "target", *values)
-    size = b.groupBy("symbol").agg(F.count("*").alias("n"), F.max(ts).alias("last"))
-    gaps = quality.gap_count(b.select("symbol", ts), ("symbol",), ts).select("symbol", "gaps")
-    history = b.join(size, "symbol").filter(F.col(ts) < F.col("last"))
-    back = Window.partitionBy("symbol").orderBy(F.col(ts).desc())
-    s = store.join(targets, "symbol").filter(F.col(ts) < F.col("target")).join(size.select("symbol", "n"), "symbol")
-    tail = s.withColumn("_r", F.row_number().over(back)).filter(F.col("_r") <= F.col("n") - 1)
-    sides = both_sides(history, tail, values, ("symbol",), ts)
+    on = list(keys)
+    b = batch.join(targets, on).select(*on, ts, "target", *values)
+    size = b.groupBy(*on).agg(F.count("*").alias("n"), F.max(ts).alias("last"))
+    if most is None:
+        most = size.agg(F.max("n")).first()[0] or 1
+    gaps = quality.gap_count(b.select(*on, ts), keys, ts, step).select(*on, "gaps")
+    history = b.join(size, on).filter(F.col(ts) < F.col("last"))
+    ends = targets.join(size.select(*on, (F.col("n") - 1).alias("_n")), on)
+    tail = last_stored(store, ends, "target", "_n", max(most - 1, 1), keys, ts, strict=True)
+    sides = both_sides(history, tail, values, keys, ts)
     facts = [F.count_if("in_right").alias("stored"), F.count_if(F.col("in_left") != F.col("in_right")).alias("apart")]
     facts += [F.max(difference(F.col(f"l_{v}"), F.col(f"r_{v}"))).alias(f"d_{v}") for v in values]
-    per = sides.groupBy("symbol").agg(*facts)
-    x = targets.join(size, "symbol", "left").join(gaps, "symbol", "left").join(per, "symbol", "left")
+    per = sides.groupBy(*on).agg(*facts)
+    x = targets.join(size, on, "left").join(gaps, on, "left").join(per, on, "left")
     history_size = F.col("n") - 1
     reason = (
         F.when(F.col("n").isNull(), "empty batch")
@@ -91,32 +115,44 @@ def validate_window(batch: DataFrame, store: DataFrame, targets: DataFrame, valu
         reason = reason.when(F.col(f"d_{v}").isNull(), f"NaN in {v}").when(F.col(f"d_{v}") > tolerance, f"mismatch in {v}")
     x = x.withColumn("reason", reason.otherwise("validated"))
     ok = F.col("reason").isin("validated", "no history")
-    return x.select("symbol", ok.alias("ok"), "reason", F.when(F.col("reason") == "validated", history_size).otherwise(0).cast("long").alias("validated"))
-
-
-def validate_overlap(batch: DataFrame, store: DataFrame, tail_rows: int = 72, values: Sequence[str] = VALUES, tolerance: float = TOLERANCE, ts: str = "bar_ts") -> DataFrame:
+    return x.select(*on, ok.alias("ok"), "reason", F.when(F.col("reason") == "validated", history_size).otherwise(0).cast("long").alias("validated"))
+
+
+def validate_overlap(
+    batch: DataFrame,
+    store: DataFrame,
+    tail_rows: int = 72,
+    values: Sequence[str] = VALUES,
+    tolerance: float = TOLERANCE,
+    ts: str = "bar_ts",
+    keys: Sequence[str] = KEYS,
+    step: int | Column = 3600,
+) -> DataFrame:
     """Per series of the batch: its times that are in the last stored rows, validated at the last of them.
 
-    On top of ``validate_window`` the values at that time are compared, and an empty store is fine.
+    On top of ``validate_window`` the values at that time are compared. A series that the store
+    doesn't hold is fine; one of which it holds later rows only has no overlap.
     """
-    last = batch.groupBy("symbol").agg(F.max(ts).alias("last"))
-    back = Window.partitionBy("symbol").orderBy(F.col(ts).desc())
-    tail = store.join(last, "symbol").filter(F.col(ts) <= F.col("last")).withColumn("_r", F.row_number().over(back)).filter(F.col("_r") <= tail_rows)
-    held = tail.select("symbol").distinct().withColumn("held", F.lit(True))
-    common = batch.join(tail.select("symbol", ts), ["symbol", ts], "left_semi")
-    targets = common.groupBy("symbol").agg(F.max(ts).alias("target"))
-    verdict = validate_window(common, store, targets, values, tolerance, ts)
-    at = both_sides(common.join(targets, "symbol").filter(F.col(ts) == F.col("target")), tail, values, ("symbol",), ts).filter("in_left and in_right")
+    on = list(keys)
+    last = batch.groupBy(*on).agg(F.max(ts).alias("last"))
+    tail = last_stored(store, last.withColumn("_n", F.lit(tail_rows)), "last", "_n", tail_rows, keys, ts, strict=False)
+    held = store.join(last.select(*on), on, "left_semi").select(*on).distinct().withColumn("held", F.lit(True))
+    common = batch.join(tail.select(*on, ts), [*on, ts], "left_semi")
+    targets = common.groupBy(*on).agg(F.max(ts).alias("target"))
+    verdict = validate_window(common, store, targets, values, tolerance, ts, keys, step, most=tail_rows)
+    at = both_sides(common.join(targets, on).filter(F.col(ts) == F.col("target")), tail, values, keys, ts).filter("in_left and in_right")
     off = F.lit(False)
     for v in values:
         off |= F.coalesce(difference(F.col(f"l_{v}"), F.col(f"r_{v}")) > tolerance, F.lit(False))
-    at = at.select("symbol", off.alias("off"))
-    x = last.select("symbol").join(held, "symbol", "left").join(verdict, "symbol", "left").join(at, "symbol", "left")
+    at = at.select(*on, off.alias("off"))
+    x = last.select(*on).join(held, on, "left").join(verdict, on, "left").join(at, on, "left")
     reason = F.when(F.col("held").isNull(), "empty store").when(F.col("reason").isNull(), "no overlap").when(F.col("ok") & F.col("off"), "mismatch at target").otherwise(F.col("reason"))
     x = x.withColumn("reason", reason)
-    return x.select("symbol", F.col("reason").isin("validated", "no history", "empty store").alias("ok"), "reason", F.when(F.col("reason") == "validated", F.col("validated")).otherwise(F.lit(0)).cast("long").alias("validated"))
+    ok = F.col("reason").isin("validated", "no history", "empty store")
+    validated = F.when(F.col("reason") == "validated", F.col("validated")).otherwise(F.lit(0)).cast("long")
+    return x.select(*on, ok.alias("ok"), "reason", validated.alias("validated"))
 
 
-def target_check(batch: DataFrame, target: Column, ts: str = "bar_ts") -> DataFrame:
+def target_check(batch: DataFrame, target: Column, ts: str = "bar_ts", keys: Sequence[str] = KEYS) -> DataFrame:
     """Per series: its last closed bar and whether it is the target hour."""
-    return batch.groupBy("symbol").agg(F.max(ts).alias("last_closed")).withColumn("at_target", F.col("last_closed") == target)
+    return batch.groupBy(*keys).agg(F.max(ts).alias("last_closed")).withColumn("at_target", F.col("last_closed") == target)

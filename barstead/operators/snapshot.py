@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 
 KEYS = ("symbol",)
+# Value columns of the five-minute metrics files.
+METRICS = (
+    "sum_open_interest", "sum_open_interest_value", "count_long_short_ratio",
+    "count_toptrader_long_short_ratio", "sum_toptrader_long_short_ratio", "sum_taker_long_short_vol_ratio",
+)
 
 
 def calendar(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts") -> DataFrame:
@@ -30,16 +35,18 @@ def last_of_previous_hour(df: DataFrame, values: Sequence[str], keys: Sequence[s
     return best.select(*keys, "snapshot_time", "_r.*")
 
 
-def exact_rows(df: DataFrame, values: Sequence[str], keys: Sequence[str] = KEYS, ts: str = "ts") -> DataFrame:
-    """Rows on the hour; of several, the one with the smallest values counts as first."""
+def exact_rows(df: DataFrame, values: Sequence[str], keys: Sequence[str] = KEYS, ts: str = "ts", order: Sequence[str] | None = None) -> DataFrame:
+    """Rows on the hour; of several, the first in ``order``, such as file and line. Without an order the smallest values count as first."""
     on = df.filter(F.col(ts) == S.hour_floor(F.col(ts)))
-    best = on.groupBy(*keys, F.col(ts).alias("snapshot_time")).agg(F.min(F.struct(*values)).alias("_r"))
+    row = F.struct(*values)
+    best = on.groupBy(*keys, F.col(ts).alias("snapshot_time")).agg((F.min_by(row, F.struct(*order)) if order else F.min(row)).alias("_r"))
     return best.select(*keys, "snapshot_time", F.lit(True).alias("_exact"), "_r.*")
 
 
-def hourly_snapshot(df: DataFrame, values: Sequence[str], keys: Sequence[str] = KEYS, ts: str = "ts") -> DataFrame:
-    """Per series and hour: the exact row, else the last row of the hour before, else nulls."""
-    exact = exact_rows(df, values, keys, ts).withColumnsRenamed({v: f"_e_{v}" for v in values})
+def hourly_snapshot(df: DataFrame, values: Sequence[str] = METRICS, keys: Sequence[str] = KEYS, ts: str = "ts", order: Sequence[str] | None = None) -> DataFrame:
+    """Per series and hour: the exact row, else the last row of the hour before, else nulls. A value column that is absent is null."""
+    df = df.withColumns({v: F.lit(None).cast("double") for v in values if v not in df.columns})
+    exact = exact_rows(df, values, keys, ts, order).withColumnsRenamed({v: f"_e_{v}" for v in values})
     asof = last_of_previous_hour(df, values, keys, ts).withColumnsRenamed({v: f"_a_{v}" for v in values})
     on = [*keys, "snapshot_time"]
     joined = calendar(df, keys, ts).join(exact, on, "left").join(asof, on, "left")

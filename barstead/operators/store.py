@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import schemas
 from .quality import dedupe_first
 
 KEYS = ("symbol",)
@@ -31,6 +33,8 @@ def append_absent(batch: DataFrame, store: DataFrame, keys: Sequence[str] = KEYS
     own = [*keys, ts]
     if order:
         batch = dedupe_first(batch, own, order)
+    # rows without a time or key are never found in the store, and don't enter it
+    batch = batch.dropna(subset=own)
     return batch.join(_slice(store, ts, bounds).select(*own), own, "left_anti")
 
 
@@ -40,13 +44,40 @@ def append_newer(batch: DataFrame, store: DataFrame, keys: Sequence[str] = KEYS,
     return batch.join(last, list(keys), "left").filter(F.col("_last").isNull() | (F.col(ts) > F.col("_last"))).drop("_last")
 
 
-def insert_or_ignore(batch: DataFrame, store: DataFrame, required: Sequence[str], keys: Sequence[str] = KEYS, ts: str = "bar_ts", order: Sequence[str] = ("file", "line_no")) -> DataFrame:
+def insert_or_ignore(
+    batch: DataFrame,
+    store: DataFrame,
+    required: Sequence[str],
+    keys: Sequence[str] = KEYS,
+    ts: str = "bar_ts",
+    order: Sequence[str] = ("file", "line_no"),
+    bounds: tuple | None = None,
+) -> DataFrame:
     """First writer wins, also within the batch; a row with null or NaN in a required column is ignored."""
-    return append_absent(batch.dropna(subset=list(required)), store, keys, ts, order)
+    return append_absent(batch.dropna(subset=list(required)), store, keys, ts, order, bounds)
 
 
-def write_append(rows: DataFrame, path: str, partitions: Sequence[str] = KEYS) -> None:
-    rows.write.mode("append").partitionBy(*partitions).parquet(path)
+def write_append(rows: DataFrame, path: str, dataset: str | None = None, ts: str = "timestamp") -> None:
+    """Append to a store that is partitioned by day; with ``dataset`` in that store's columns and types, rows without a required value left out."""
+    if dataset:
+        rows = schemas.as_store(rows, dataset).dropna(subset=schemas.REQUIRED.get(dataset, []))
+    by_day = rows.withColumn("day", F.to_date(ts))
+    by_day.repartition("day").write.mode("append").partitionBy("day").parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def read_store(spark: SparkSession, path: str, schema: T.StructType, bounds: tuple | None = None, ts: str = "timestamp") -> DataFrame:
+    """The rows of such a store, or no rows before the first append; with ``bounds`` only the days between are listed and read."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    held = spark.read.schema(T.StructType([*schema.fields, T.StructField("day", T.DateType())])).parquet(path)
+    if bounds:
+        held = _slice(held.filter(F.col("day").between(F.lit(bounds[0]).cast("date"), F.lit(bounds[1]).cast("date"))), ts, bounds)
+    return held.drop("day")
 
 
 def last_n(store: DataFrame, n: int, keys: Sequence[str] = KEYS, ts: str = "bar_ts", before: str | None = None) -> DataFrame:

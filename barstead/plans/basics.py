@@ -78,7 +78,7 @@ def lenient_cast(spark, d):
 @query("""select symbol, bar_ts, cast(round(volume, 2) as double) as volume, num_trades from (select symbol, bar_ts, volume, num_trades from candles)""")
 def strict_cast(spark, d):
     text = fx.candles(spark, d).select("symbol", "bar_ts", F.round("volume", 2).cast("string").alias("volume"), F.col("num_trades").cast("string").alias("num_trades"))
-    return text.select("symbol", "bar_ts", F.col("volume").cast("double").alias("volume"), F.col("num_trades").cast("double").cast("int").alias("num_trades"))
+    return text.select("symbol", "bar_ts", S.strict_number(F.col("volume")).alias("volume"), S.strict_count(F.col("num_trades")).alias("num_trades"))
 
 
 @query("""select event_id, case when event_id % 13 = 0 then null else date_trunc('second', ts) end as ts from events""")
@@ -119,20 +119,22 @@ def premium_shape(spark, d):
 
 @query("""select symbol, ts, coalesce(count_long_short_ratio, 0) as long_short_ratio, coalesce(sum_open_interest, 0) as long_account, coalesce(sum_open_interest / 2, 0) as short_account, 'archive' as source from metrics5m""")
 def ls_ratio_map(spark, d):
-    return long_short_from_archive(fx.metrics5m(spark, d).withColumn("count_toptrader", F.col("sum_open_interest")).withColumn("sum_toptrader", F.col("sum_open_interest") / 2))
+    more = {"count_toptrader_long_short_ratio": F.col("sum_open_interest"), "sum_toptrader_long_short_ratio": F.col("sum_open_interest") / 2}
+    return long_short_from_archive(fx.metrics5m(spark, d).withColumns(more), "ts")
 
 
-def long_short_from_archive(m):
+def long_short_from_archive(m, *times):
     """Archive ratios in the store's columns. The account columns hold other quantities than the feed's, hence ``source``."""
     zero = lambda c: F.coalesce(c, F.lit(0.0))
-    return m.select("symbol", "ts", zero("count_long_short_ratio").alias("long_short_ratio"), zero("count_toptrader").alias("long_account"), zero("sum_toptrader").alias("short_account"), F.lit("archive").alias("source"))
+    ratios = {"count_long_short_ratio": "long_short_ratio", "count_toptrader_long_short_ratio": "long_account", "sum_toptrader_long_short_ratio": "short_account"}
+    return m.select("symbol", *times, *(zero(c).alias(name) for c, name in ratios.items()), F.lit("archive").alias("source"))
 
 
 # ---------------------------------------------------------------- filters
 
 
-def close_time():
-    return F.col("bar_ts") + F.expr("interval 1 hour") - F.expr("interval 1 millisecond")
+def close_time(interval: str = "1 hour"):
+    return S.closes_at(F.col("bar_ts"), interval) - F.expr("interval 1 millisecond")
 
 
 @query("""select symbol, bar_ts, close from candles where bar_ts + interval 1 hour - interval 1 millisecond <= timestamp '2024-01-28 12:00:00' - interval 1 millisecond""")
@@ -150,14 +152,14 @@ def closed_by_timestamp(spark, d):
     return fx.metrics5m(spark, d).filter(S.opens_at(F.col("ts")) < S.hour_floor(now())).select("symbol", "ts", "sum_open_interest")
 
 
-@query("""select symbol, bar_ts, close from candles where bar_ts + interval 1 hour - interval 1 millisecond < timestamp '2024-01-28 12:34:56'""")
+@query("""select symbol, bar_ts, close from minutes where bar_ts + interval 1 minute - interval 1 millisecond < timestamp '2024-01-28 12:34:56'""")
 def closed_1m(spark, d):
-    return closed_strict(fx.candles(spark, d)).select("symbol", "bar_ts", "close")
+    return closed_strict(fx.minutes(spark, d)).select("symbol", "bar_ts", "close")
 
 
-def closed_strict(bars, at=None):
+def closed_strict(bars, at=None, interval: str = "1 minute"):
     """Bars whose close time lies before the clock itself."""
-    return bars.filter(close_time() < (now() if at is None else at))
+    return bars.filter(close_time(interval) < (now() if at is None else at))
 
 
 @query("""select symbol, bar_ts, close from candles where bar_ts between timestamp '2024-01-10 00:00:00' and timestamp '2024-01-12 05:00:00'""")
@@ -255,6 +257,24 @@ def gap_count(spark, d):
     return q.gap_count(fx.raw_klines(spark, d).select("symbol", "bar_ts"))
 
 
+@query(PREVIOUS.format("minutes") + "select symbol, count(*) filter (diff_s <> 60) as gaps, count(*) as n_rows from diffs group by 1")
+def gap_count_1m(spark, d):
+    return q.gap_count(fx.minutes(spark, d).select("symbol", "bar_ts"), step=60)
+
+
+@query("""select symbol, "interval", count(*) filter (date_diff('second', p, bar_ts) <> case "interval" when '1h' then 3600 else 60 end) as gaps, count(*) as n_rows
+from (select *, lag(bar_ts) over (partition by symbol, "interval" order by bar_ts) as p from mixed_store) group by 1, 2""")
+def gap_count_intervals(spark, d):
+    """Two intervals in one store: each series is a symbol and an interval, with a step of its own."""
+    bars = fx.mixed_store(spark, d).select(*schemas.STORE_KEYS, "bar_ts")
+    return q.gap_count(bars, schemas.STORE_KEYS, step=schemas.step_of(F.col("interval")))
+
+
+@query("""select symbol, "interval", bar_ts, close from (select *, row_number() over (partition by symbol, "interval" order by bar_ts desc) as r from mixed_store) where r <= 30""")
+def last_n_intervals(spark, d):
+    return st.last_n(fx.mixed_store(spark, d), 30, schemas.STORE_KEYS).select(*schemas.STORE_KEYS, "bar_ts", "close")
+
+
 @query(PREVIOUS.format("candles") + "select symbol, bar_ts, prev_ts, diff_s from diffs where diff_s <> 3600")
 def gap_rows(spark, d):
     return q.gap_rows(fx.candles(spark, d).select("symbol", "bar_ts"))

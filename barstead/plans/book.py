@@ -22,6 +22,11 @@ raw_bars as (
     case when hour(bar_ts) = 13 then 'n/a' else cast(cast(round(close, 6) as decimal(20, 6)) as varchar) end as close_text from raw_klines),
 raw_epoch as (
   select event_id, case when event_id % 97 = 0 then 'bad' when event_id % 3 = 0 then cast(epoch_us(ts) as varchar) else cast(epoch_us(ts) // 1000 as varchar) end as epoch_text from events),
+minutes as (
+  select event_type as symbol, date_trunc('minute', ts) as bar_ts, arg_min(value, event_id) as open, max(value) as high, min(value) as low,
+    arg_max(value, event_id) as close, round(sum(value), 4) as volume, cast(count(*) as int) as num_trades from events group by 1, 2),
+minute_store as (select * from minutes where bar_ts < timestamp '2024-01-25 00:00:00' and not (hour(bar_ts) in (10, 11) and day(bar_ts) % 5 = 0)),
+mixed_store as (select symbol, '1h' as "interval", bar_ts, open, high, low, close, volume from store union all select symbol, '1m', bar_ts, open, high, low, close, volume from minute_store),
 metrics5m as (
   select symbol, ts, arg_max(value, event_id) as sum_open_interest, cast(count(*) as double) as count_long_short_ratio
   from (select event_type as symbol, event_id, value, time_bucket(interval 5 minutes, ts) as ts from events) group by 1, 2)

@@ -45,12 +45,12 @@ def kline_line():
     )
 
 
-def archive_files(spark, d):
+def archive_files(spark, d, bars=fx.candles, interval="1h"):
     """An archive per series and day, (file, content); even days have a header, lines end in CR LF."""
     header = F.when(F.dayofmonth("day") % 2 == 0, F.lit(",".join(schemas.KLINE_COLUMNS)))
-    lines = fx.candles(spark, d).groupBy("symbol", F.to_date("bar_ts").alias("day")).agg(F.array_sort(F.collect_list(kline_line())).alias("lines"))
+    lines = bars(spark, d).groupBy("symbol", F.to_date("bar_ts").alias("day")).agg(F.array_sort(F.collect_list(kline_line())).alias("lines"))
     body = F.concat(F.array_join(F.concat(F.filter(F.array(header), lambda h: h.isNotNull()), F.col("lines")), "\r\n"), F.lit("\r\n\r\n"))
-    return lines.select(F.concat_ws("-", "symbol", F.lit("1h"), F.date_format("day", "yyyy-MM-dd")).alias("name"), body.alias("body")).select(F.concat("name", F.lit(".zip")).alias("file"), _zipped("body").alias("content"))
+    return lines.select(F.concat_ws("-", "symbol", F.lit(interval), F.date_format("day", "yyyy-MM-dd")).alias("name"), body.alias("body")).select(F.concat("name", F.lit(".zip")).alias("file"), _zipped("body").alias("content"))
 
 
 LINES = """, line as (
@@ -101,10 +101,25 @@ def union_files(spark, d):
     return archives.without_headers(lines).select("file", "line", "line_no")
 
 
-@query(LINES + "select line from (select line, row_number() over (partition by file order by line) as r from line where odd = 1) where r > 1 union all select line from line where odd = 0")
+@query(LINES + f""", first as (select file, odd, min(line) as line from line group by 1, 2)
+select true as is_header, arg_min(case when odd = 1 then line else '{HEAD}' end, file) as line from first
+union all select false, line from (select line, odd, row_number() over (partition by file order by line) as r from line) where odd = 0 or r > 1""")
 def merge_metrics(spark, d):
-    """Passthrough merge: the first line of each file is taken as its header, whatever it holds."""
-    return archives.without_headers(archives.zip_lines(archive_files(spark, d)), every_file_has_one=True).select("line")
+    """Passthrough merge: the first line of each file is taken as its header, whatever it holds, and the first file's one is kept."""
+    return archives.merged_lines(archives.zip_lines(archive_files(spark, d))).select("is_header", "line")
+
+
+@query(LINES + f"select true as is_header, '{HEAD}' as line union all select false, line from line")
+def merge_premium(spark, d):
+    """Files of which some lack a header: nothing but headers is dropped, and one header is kept or made."""
+    return archives.merged_lines(archives.zip_lines(archive_files(spark, d)), may_lack_header=True).select("is_header", "line")
+
+
+@query(LINES + "select distinct file from line where odd = 0")
+def reject_archives(spark, d):
+    """Archives cut in their middle are told by name, and none of their lines counts."""
+    cut = F.when(F.substring_index("file", "-", -1).substr(1, 2).cast("int") % 2 == 0, F.expr("substring(content, 1, length(content) div 2)")).otherwise(F.col("content"))
+    return archives.rejected_archives(archives.zip_lines(archive_files(spark, d).withColumn("content", cut)))
 
 
 @query(MERGED + """, st as (select symbol, bar_ts from store),
@@ -113,7 +128,21 @@ def merge_metrics(spark, d):
 def backfill_full(spark, d):
     """Archives to the store: typed, first of repeated bars, absent keys only."""
     rows = archives.parse_names(merged_klines(spark, d)).withColumn("bar_ts", S.from_ms(F.col("ms")))
-    return st.append_absent(rows.select("symbol", "bar_ts", "close", "file", "line_no"), fx.store(spark, d), order=("file", "line_no")).select("symbol", "bar_ts", "close")
+    rows = rows.select("symbol", "bar_ts", "close", "file", "line_no")
+    return st.append_absent(rows, fx.store(spark, d), order=("file", "line_no"), bounds=st.batch_bounds(rows)).select("symbol", "bar_ts", "close")
+
+
+_SIX = ", ".join(f"cast(cast(round({c}, 6) as decimal(20, 6)) as double) as {c}" for c in ("open", "high", "low", "close", "volume"))
+
+
+@query(f"select symbol, bar_ts, {_SIX}, num_trades from minutes anti join minute_store using (symbol, bar_ts)")
+def backfill_1m(spark, d):
+    """Archives of one-minute bars to their store: merged, strictly typed, first writer wins, rows without a price ignored."""
+    rows = archives.parse_names(archives.zip_klines(archive_files(spark, d, fx.minutes, "1m"), strict=True))
+    rows = schemas.canonical(rows).withColumn("bar_ts", S.from_ms(S.epoch_ms(F.col("open_time").cast("string"))))
+    rows = rows.select("symbol", "bar_ts", "open", "high", "low", "close", "volume", "num_trades", "file", "line_no")
+    fresh = st.insert_or_ignore(rows, fx.minute_store(spark, d), schemas.REQUIRED["ohlcv_1m"], bounds=st.batch_bounds(rows))
+    return fresh.drop("file", "line_no")
 
 
 def names(spark, d):
@@ -194,10 +223,15 @@ def csv_scan(spark, d):
     return text.csv_scan(spark, path, schema)
 
 
-@query(EXPORT)
+@query("select symbol, count(*) as n_rows, count(*) filter (hour(bar_ts) % 5 = 0) as micros_rows, min(bar_ts) as first_ts, max(bar_ts) as last_ts from candles group by 1")
 def merged_table(spark, d):
-    path, schema = written(spark, d)
-    return text.csv_scan(spark, path, schema)
+    """Archives merged into one CSV table with a header; then its rows are counted, per series."""
+    path = shared_path(spark, "merged")
+    rows = archives.parse_names(archives.zip_klines(archive_files(spark, d))).select("symbol", "open_time", "open", "high", "low", "close", "volume")
+    text.write_csv(rows, path)
+    again, ms = text.csv_scan(spark, path, rows.schema), S.epoch_ms(F.col("open_time").cast("string"))
+    again = again.withColumn("bar_ts", S.from_ms(ms))
+    return again.groupBy("symbol").agg(F.count("*").alias("n_rows"), F.count_if(F.col("open_time") > S.MICROS_FROM).alias("micros_rows"), F.min("bar_ts").alias("first_ts"), F.max("bar_ts").alias("last_ts"))
 
 
 @query("select epoch_ms(bar_ts) as open_time, close, symbol from candles")

@@ -25,10 +25,14 @@ def hour_of(c):
     return F.date_trunc("hour", c).cast("timestamp_ntz")
 
 
-def candles(spark, sf_dir) -> DataFrame:
+def minute_of(c):
+    return F.date_trunc("minute", c).cast("timestamp_ntz")
+
+
+def candles(spark, sf_dir, opens=hour_of) -> DataFrame:
     return (
         events(spark, sf_dir)
-        .groupBy(F.col("event_type").alias("symbol"), hour_of(F.col("ts")).alias("bar_ts"))
+        .groupBy(F.col("event_type").alias("symbol"), opens(F.col("ts")).alias("bar_ts"))
         .agg(
             F.min_by("value", "event_id").alias("open"),
             F.max("value").alias("high"),
@@ -45,9 +49,29 @@ def feed(spark, sf_dir) -> DataFrame:
     return c.withColumn("close", F.when(F.hour("bar_ts") == 5, F.col("close") + 0.02).when(F.hour("bar_ts") == 7, F.col("close") + 0.000000001).otherwise(F.col("close")))
 
 
-def store(spark, sf_dir) -> DataFrame:
+def held(bars: DataFrame) -> DataFrame:
     hole = F.hour("bar_ts").isin(10, 11) & (F.dayofmonth("bar_ts") % 5 == 0)
-    return candles(spark, sf_dir).filter((F.col("bar_ts") < ntz("2024-01-25 00:00:00")) & ~hole)
+    return bars.filter((F.col("bar_ts") < ntz("2024-01-25 00:00:00")) & ~hole)
+
+
+def store(spark, sf_dir) -> DataFrame:
+    return held(candles(spark, sf_dir))
+
+
+def minutes(spark, sf_dir) -> DataFrame:
+    """One-minute bars."""
+    return candles(spark, sf_dir, minute_of)
+
+
+def minute_store(spark, sf_dir) -> DataFrame:
+    return held(minutes(spark, sf_dir))
+
+
+def mixed_store(spark, sf_dir) -> DataFrame:
+    """Hourly and one-minute bars of the same instruments in one store, told apart by ``interval``."""
+    columns = ["symbol", "bar_ts", "open", "high", "low", "close", "volume"]
+    hours, mins = (t.select(*columns, F.lit(i).alias("interval")) for t, i in ((store(spark, sf_dir), "1h"), (minute_store(spark, sf_dir), "1m")))
+    return hours.unionByName(mins)
 
 
 def raw_klines(spark, sf_dir) -> DataFrame:

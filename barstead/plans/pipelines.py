@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions import schemas
 from ..operators import quality as q
 from ..operators import reconcile as r
 from ..operators import snapshot as sn
 from ..operators import store as st
+from ..sources import text
 from ..streaming import jobs
 from . import basics
 from . import fixtures as fx
@@ -20,45 +22,48 @@ from .scratch import shared_path
 # ---------------------------------------------------------------- library entry points
 
 
-def recent_delta(batch: DataFrame, store: DataFrame, validate: bool = False, keys=("symbol",), ts: str = "bar_ts") -> DataFrame:
+def recent_delta(batch: DataFrame, store: DataFrame, validate: bool = False, keys=("symbol",), ts: str = "bar_ts", step=3600) -> DataFrame:
     """Rows of a closed batch that are newer than the store; with ``validate`` only of series whose overlap is sound."""
     delta = st.append_newer(batch, store, keys, ts)
     if validate:
-        good = r.validate_overlap(batch, store, ts=ts).filter("ok").select("symbol")
-        delta = delta.join(good, "symbol", "left_semi")
+        good = r.validate_overlap(batch, store, ts=ts, keys=keys, step=step).filter("ok").select(*keys)
+        delta = delta.join(good, list(keys), "left_semi")
     return delta
 
 
 def archive_backfill(rows: DataFrame, store: DataFrame, required: list[str], keys=("symbol",), ts: str = "bar_ts") -> DataFrame:
-    """Rows of archives with all required values whose key isn't stored; interior holes are filled."""
-    return st.append_absent(rows.dropna(subset=required), store, keys, ts)
+    """Rows of archives with all required values whose key isn't stored; interior holes are filled. Only the store's slice between their times is read."""
+    rows = rows.dropna(subset=required)
+    return st.append_absent(rows, store, keys, ts, bounds=st.batch_bounds(rows, ts))
 
 
-def catch_up(batch: DataFrame, store: DataFrame, recent: int, ts: str = "bar_ts") -> DataFrame:
+def catch_up(batch: DataFrame, store: DataFrame, recent: int, ts: str = "bar_ts", keys=("symbol",), step=3600) -> DataFrame:
     """Per series of a closed batch: verdict on its rows up to the store's end, and how many rows follow.
 
     Rows up to the end are not intersected with the store, so a hole there shows as a short or
     differing store. An empty store is fine and takes the whole batch.
     """
-    end = store.groupBy("symbol").agg(F.max(ts).alias("end"))
-    x = batch.join(end, "symbol", "left")
-    overlap = st.last_n(x.filter(F.col(ts) <= F.col("end")).drop("end"), max(recent - 1, 1), ts=ts)
-    targets = overlap.groupBy("symbol").agg(F.max(ts).alias("target"))
-    verdict = r.validate_window(overlap, store, targets, ts=ts)
-    follow = x.groupBy("symbol").agg(F.max("end").alias("end"), F.count_if(F.col("end").isNull() | (F.col(ts) > F.col("end"))).alias("following"))
-    y = follow.join(verdict, "symbol", "left")
+    on = list(keys)
+    end = store.groupBy(*on).agg(F.max(ts).alias("end"))
+    x = batch.join(end, on, "left")
+    overlap = st.last_n(x.filter(F.col(ts) <= F.col("end")).drop("end"), max(recent - 1, 1), keys, ts)
+    targets = overlap.groupBy(*on).agg(F.max(ts).alias("target"))
+    verdict = r.validate_window(overlap, store, targets, ts=ts, keys=keys, step=step, most=max(recent - 1, 1))
+    follow = x.groupBy(*on).agg(F.max("end").alias("end"), F.count_if(F.col("end").isNull() | (F.col(ts) > F.col("end"))).alias("following"))
+    y = follow.join(verdict, on, "left")
     reason = F.when(F.col("end").isNull(), "empty store").otherwise(F.coalesce("reason", F.lit("no overlap")))
     ok = F.col("end").isNull() | F.coalesce("ok", F.lit(False))
-    return y.select("symbol", ok.alias("ok"), reason.alias("reason"), F.when(ok, F.col("following")).otherwise(0).cast("long").alias("appended"))
+    return y.select(*on, ok.alias("ok"), reason.alias("reason"), F.when(ok, F.col("following")).otherwise(0).cast("long").alias("appended"))
 
 
-def append_target(batch: DataFrame, store: DataFrame, targets: DataFrame, ts: str = "bar_ts") -> DataFrame:
+def append_target(batch: DataFrame, store: DataFrame, targets: DataFrame, ts: str = "bar_ts", keys=("symbol",), step=3600) -> DataFrame:
     """The batch's row at each target, if its window is valid or nothing is stored before the target."""
-    verdict = r.validate_window(batch, store, targets, ts=ts)
-    before = store.join(targets, "symbol").filter(F.col(ts) < F.col("target")).groupBy("symbol").agg(F.count("*").alias("held"))
-    allowed = verdict.join(before, "symbol", "left").filter(F.col("ok") | F.col("held").isNull()).select("symbol")
-    rows = batch.join(targets, "symbol").filter(F.col(ts) == F.col("target")).drop("target")
-    return st.append_absent(rows.join(allowed, "symbol", "left_semi"), store, ts=ts)
+    on = list(keys)
+    verdict = r.validate_window(batch, store, targets, ts=ts, keys=keys, step=step)
+    before = store.join(targets, on).filter(F.col(ts) < F.col("target")).groupBy(*on).agg(F.count("*").alias("held"))
+    allowed = verdict.join(before, on, "left").filter(F.col("ok") | F.col("held").isNull()).select(*on)
+    rows = batch.join(targets, on).filter(F.col(ts) == F.col("target")).drop("target")
+    return st.append_absent(rows.join(allowed, on, "left_semi"), store, keys, ts, bounds=st.batch_bounds(targets, "target"))
 
 
 # ---------------------------------------------------------------- queries
@@ -140,12 +145,12 @@ def validate_overlap(spark, d):
 
 
 def recent(spark, d):
-    """The last 48 closed bars of each series."""
-    return st.last_n(closed(fx.candles(spark, d)).filter(F.col("bar_ts") >= fx.ntz("2024-01-24 00:00:00")), 120)
+    """The last 120 closed bars of each series."""
+    return st.last_n(closed(fx.candles(spark, d)), 120)
 
 
 RECENT = """, recent as (select * exclude r from (select *, row_number() over (partition by symbol order by bar_ts desc) as r from candles
-  where bar_ts >= timestamp '2024-01-24 00:00:00' and bar_ts + interval 1 hour <= timestamp '2024-01-28 12:00:00') where r <= 120)
+  where bar_ts + interval 1 hour <= timestamp '2024-01-28 12:00:00') where r <= 120)
 """
 
 
@@ -301,11 +306,31 @@ def recent_delta_spot(spark, d):
     return recent_delta(recent(spark, d), fx.store(spark, d)).withColumn("snapshot_time", S.closes_at(F.col("bar_ts")))
 
 
+CLEAN_METRICS = CALENDAR + """select symbol, snapshot_time, timestamp, is_fallback, sum_open_interest, sum_open_interest * 2 as sum_open_interest_value, count_long_short_ratio,
+  sum_open_interest + 1 as count_toptrader_long_short_ratio, sum_open_interest / 2 as sum_toptrader_long_short_ratio, null::double as sum_taker_long_short_vol_ratio from snap"""
+
+
+def six_metrics(spark, d):
+    """Metrics with five of the six value columns; the sixth is absent."""
+    oi = F.col("sum_open_interest")
+    more = {"sum_open_interest_value": oi * 2, "count_toptrader_long_short_ratio": oi + 1, "sum_toptrader_long_short_ratio": oi / 2}
+    return fx.metrics5m(spark, d).withColumns(more)
+
+
+@query(CLEAN_METRICS)
+def clean_metrics(spark, d):
+    """The hourly snapshot of all six value columns as a CSV file, read back."""
+    rows = sn.hourly_snapshot(six_metrics(spark, d)).drop("provenance")
+    path = shared_path(spark, "clean_metrics")
+    text.write_csv(rows, path)
+    return text.csv_scan(spark, path, rows.schema)
+
+
 SNAPSHOT = CALENDAR + f", mstore as (select symbol, ts as snapshot_time from metrics5m where {METRIC_CUT})"
 
 
 def snapshot_backfill(spark, d):
-    snap = sn.hourly_snapshot(fx.metrics5m(spark, d), ["sum_open_interest", "count_long_short_ratio"])
+    snap = sn.hourly_snapshot(six_metrics(spark, d))
     return archive_backfill(snap, metric_store(spark, d).withColumnRenamed("ts", "snapshot_time"), ["sum_open_interest"], ts="snapshot_time")
 
 
@@ -314,10 +339,10 @@ def backfill_oi(spark, d):
     return snapshot_backfill(spark, d).select("symbol", "snapshot_time", "timestamp", "sum_open_interest")
 
 
-@query(SNAPSHOT + "select symbol, snapshot_time, timestamp, coalesce(count_long_short_ratio, 0) as long_short_ratio from snap anti join mstore using (symbol, snapshot_time) where sum_open_interest is not null")
+@query(SNAPSHOT + """select symbol, snapshot_time, timestamp, coalesce(count_long_short_ratio, 0) as long_short_ratio, coalesce(sum_open_interest + 1, 0) as long_account, coalesce(sum_open_interest / 2, 0) as short_account, 'archive' as source
+from snap anti join mstore using (symbol, snapshot_time) where sum_open_interest is not null""")
 def backfill_ls(spark, d):
-    x = snapshot_backfill(spark, d)
-    return x.select("symbol", "snapshot_time", "timestamp", F.coalesce("count_long_short_ratio", F.lit(0.0)).alias("long_short_ratio"))
+    return basics.long_short_from_archive(snapshot_backfill(spark, d), "snapshot_time", "timestamp")
 
 
 @query("select symbol, bar_ts, bar_ts + interval 1 hour as snapshot_time, open, high, low, close from candles anti join store using (symbol, bar_ts)")
@@ -340,18 +365,59 @@ IGNORE = "select symbol, bar_ts, arg_min(open, file) as open, arg_min(close, fil
 
 @query(IGNORE)
 def insert_or_ignore(spark, d):
-    return st.insert_or_ignore(holed(spark, d), fx.store(spark, d), ["open", "close"]).select("symbol", "bar_ts", "open", "close")
+    batch = holed(spark, d)
+    return st.insert_or_ignore(batch, fx.store(spark, d), ["open", "close"], bounds=st.batch_bounds(batch)).select("symbol", "bar_ts", "open", "close")
 
 
-@query(IGNORE)
-def backfill_1m(spark, d):
-    x = st.insert_or_ignore(holed(spark, d), fx.store(spark, d), ["open", "close"], order=("file", "line_no"))
-    return x.select("symbol", "bar_ts", "open", "close")
+@query("""select symbol, n_delta as inserted, first_ts, last_ts, n_rows from (
+  select symbol, min(bar_ts) as first_ts, max(bar_ts) as last_ts, count(*) as n_rows, count(*) filter (fresh) as n_delta from (
+    select symbol, bar_ts, false as fresh from minute_store union all
+    select symbol, bar_ts, true from minutes anti join minute_store using (symbol, bar_ts)
+    where bar_ts + interval 1 minute - interval 1 millisecond < timestamp '2024-01-28 12:34:56' and hour(bar_ts) % 7 <> 0) group by 1)""")
+def accumulate_1m(spark, d):
+    """Closed one-minute bars, inserted unless stored or incomplete; then coverage of the store."""
+    bars = fx.minutes(spark, d).withColumn("close", F.when(F.hour("bar_ts") % 7 != 0, F.col("close")))
+    batch = closed_strict(bars)
+    held = fx.minute_store(spark, d)
+    fresh = st.insert_or_ignore(batch, held, schemas.REQUIRED["ohlcv_1m"], order=(), bounds=st.batch_bounds(batch))
+    after = held.unionByName(fresh)
+    return st.coverage(after).join(fresh.groupBy("symbol").agg(F.count("*").alias("inserted")), "symbol", "left").fillna({"inserted": 0})
+
+
+@query("""select symbol, "interval", bar_ts as timestamp, bar_ts + case "interval" when '1h' then interval 1 hour else interval 1 minute end as snapshot_time, open, high, low, close, volume from mixed_store
+  where not ("interval" = '1m' and hour(bar_ts) = 4)""")
+def store_write(spark, d):
+    """Bars of two intervals through the writers of two stores and back; the one-minute store takes no row without a price."""
+    bars = fx.mixed_store(spark, d).withColumnRenamed("bar_ts", "timestamp")
+    bars = bars.withColumn("snapshot_time", F.col("timestamp") + F.make_dt_interval(secs=schemas.step_of(F.col("interval"))))
+    bars = bars.withColumn("close", F.when((F.col("interval") == "1h") | (F.hour("timestamp") != 4), F.col("close")))
+    out = None
+    for interval, dataset in (("1h", "ohlcv"), ("1m", "ohlcv_1m")):
+        path, own = shared_path(spark, dataset), bars.filter(F.col("interval") == interval)
+        st.write_append(own, path, dataset)
+        again = st.read_store(spark, path, schemas.STORES[dataset], st.batch_bounds(own, "timestamp"))
+        st.write_append(st.append_absent(own.drop("market"), again, schemas.STORE_KEYS, "timestamp"), path, dataset)  # a second delivery adds nothing
+        got = st.read_store(spark, path, schemas.STORES[dataset])
+        got = got.select(*schemas.STORE_KEYS, "timestamp", "snapshot_time", *r.VALUES)
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+_WINDOW_KEYS = """, vb as (select symbol, "interval", bar_ts, close from mixed_store where bar_ts between timestamp '2024-01-21 12:00:00' and timestamp '2024-01-22 12:00:00'),
+ends as (select symbol, "interval", max(bar_ts) as target from vb group by 1, 2),
+x as (select vb.*, lag(bar_ts) over (partition by symbol, "interval" order by bar_ts) as p from vb)
+select symbol, "interval", case when n = 1 then 'no history' when gaps > 0 then 'not hourly' else 'validated' end as reason, n = 1 or gaps = 0 as ok, case when n > 1 and gaps = 0 then n - 1 else 0 end as validated
+from (select symbol, "interval", count(*) as n, count(*) filter (date_diff('second', p, bar_ts) <> case "interval" when '1h' then 3600 else 60 end) as gaps from x group by 1, 2)
+"""
 
 
-@query("""select symbol, count(*) as inserted, min(bar_ts) as first_ts, max(bar_ts) as last_ts from (select symbol, bar_ts from candles anti join store using (symbol, bar_ts) where bar_ts + interval 1 hour - interval 1 millisecond < timestamp '2024-01-28 12:34:56') group by 1""")
-def accumulate_1m(spark, d):
-    return st.append_summary(st.append_absent(closed_strict(fx.candles(spark, d)), fx.store(spark, d)))
+@query(_WINDOW_KEYS)
+def validate_intervals(spark, d):
+    """Window validation of a store that holds two intervals: a series is a symbol and an interval."""
+    held = fx.mixed_store(spark, d)
+    batch = held.filter(F.col("bar_ts").between(fx.ntz("2024-01-21 12:00:00"), fx.ntz("2024-01-22 12:00:00")))
+    ends = batch.groupBy(*schemas.STORE_KEYS).agg(F.max("bar_ts").alias("target"))
+    return r.validate_window(batch, held, ends, keys=schemas.STORE_KEYS, step=schemas.step_of(F.col("interval")))
 
 
 @query("select symbol, bar_ts, close from feed anti join store using (symbol, bar_ts)")
@@ -395,32 +461,55 @@ def late_policy(spark, d):
 
 
 def deliveries(spark, d):
-    """Three deliveries in a landing folder: early rows, late rows with repeats, and the holes."""
+    """Three deliveries of bars: early rows, late rows with repeats, and the holes, of which some come again with another price."""
     c = fx.candles(spark, d).select("symbol", "bar_ts", "close")
-    path = shared_path(spark, "landing")
     hole = F.hour("bar_ts") == 9
-    parts = [c.filter((F.col("bar_ts") < fx.ntz("2024-01-15 00:00:00")) & ~hole), c.filter((F.col("bar_ts") >= fx.ntz("2024-01-14 00:00:00")) & ~hole), c.filter(hole | (F.hour("bar_ts") == 8))]
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path, c.schema
+    again = c.filter(F.hour("bar_ts") == 8).withColumn("close", F.col("close") + 1)
+    return [c.filter((F.col("bar_ts") < fx.ntz("2024-01-15 00:00:00")) & ~hole), c.filter((F.col("bar_ts") >= fx.ntz("2024-01-14 00:00:00")) & ~hole), c.filter(hole).union(again)]
 
 
-def _stream(spark, d, **more):
-    path, schema = deliveries(spark, d)
-    return jobs.ingest(spark, path, schema, shared_path(spark, "bars"), shared_path(spark, "stream"), **more)
+def land(part: DataFrame, path: str) -> None:
+    part.repartition("symbol", F.to_date("bar_ts")).write.mode("append").parquet(path)
+
+
+BARS = "symbol string, bar_ts timestamp_ntz, close double"
 
 
 @query("select symbol, bar_ts, close from candles")
 def stream_dedupe(spark, d):
-    return _stream(spark, d)
+    """Each delivery is taken up by a run of its own, as by a timer; the store and the progress carry over."""
+    landing, at, work = (shared_path(spark, x) for x in ("landing", "bars", "stream"))
+    for part in deliveries(spark, d):
+        land(part, landing)
+        got = jobs.ingest(spark, landing, BARS, at, work)
+    return got
+
+
+def _stream(spark, d, **more):
+    landing = shared_path(spark, "landing")
+    for part in deliveries(spark, d):
+        land(part, landing)
+    return jobs.ingest(spark, landing, BARS, shared_path(spark, "bars"), shared_path(spark, "stream"), **more)
 
 
 @query("select symbol, bar_ts, close from candles")
 def stream_accumulate(spark, d):
-    """The same with all deliveries in one micro-batch: repeats inside a batch and across batches give the same store."""
-    return _stream(spark, d, files_per_batch=10)
+    """All deliveries in one run: repeats inside a batch and across batches give the same store."""
+    return _stream(spark, d)
 
 
 @query("select symbol, bar_ts, close from candles where bar_ts + interval 1 hour <= timestamp '2024-01-28 12:00:00'")
 def stream_closed(spark, d):
     return _stream(spark, d, transform=closed)
+
+
+@query("select distinct symbol, bar_ts from candles")
+def stream_dedupe_within(spark, d):
+    """The bounded-state variant; its delay covers the whole span, so no row is too late."""
+    landing, out, work = (shared_path(spark, x) for x in ("landing", "within", "stream"))
+    for part in deliveries(spark, d):
+        land(part.select("symbol", "bar_ts"), landing)
+    stream = spark.readStream.schema("symbol string, bar_ts timestamp_ntz").parquet(landing)
+    kept = jobs.dedupe_within(stream, ["symbol"], "bar_ts", "60 days")
+    kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", work).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("symbol string, bar_ts timestamp_ntz").parquet(out)

@@ -9,6 +9,10 @@ from pyspark.sql import SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under spark.checkpoint.dir; under a local temporary folder only where that is unset, as in tests."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    """A fresh path under spark.checkpoint.dir; where that is unset, under a temporary folder, which only a local master may use."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

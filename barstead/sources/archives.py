@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from ..functions.schemas import KLINE_COLUMNS
 
 #: `<symbol>-<interval or dataset>-<yyyy-mm or yyyy-mm-dd>`, as archives are named.
@@ -23,19 +25,19 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
 def zip_lines(archives: DataFrame, skip_blank: bool = True) -> DataFrame:
     """(file, line_no, line) of the first CSV member of each archive, decompressed as a stream.
 
-    A byte order mark and line ends are removed. An archive without a CSV member has no lines, an
-    unreadable one gives a single line numbered -1 with a null text.
+    A byte order mark and line ends are removed. An archive without a CSV member has no lines. A
+    member is read to its end once before any of its lines counts: one that is damaged, encrypted
+    or not UTF-8 gives a single line numbered -1 with a null text, and never half of its lines.
     """
 
     def lines(content: bytes):
         with zipfile.ZipFile(io.BytesIO(content)) as z:
-            members = [n for n in z.namelist() if n.lower().endswith(".csv")]
-            if members:
-                with io.TextIOWrapper(z.open(members[0]), encoding="utf-8-sig", newline="\n") as text:
+            member = next((n for n in z.namelist() if n.lower().endswith(".csv")), None)
+            for counts in (False, True) if member else ():
+                with io.TextIOWrapper(z.open(member), encoding="utf-8-sig", newline="\n") as text:
                     for i, line in enumerate(text):
-                        line = line.rstrip("\r\n")
-                        if line.strip() or not skip_blank:
-                            yield i, line
+                        if counts and (line.strip() or not skip_blank):
+                            yield i, line.rstrip("\r\n")
 
     def run(batches):
         for batch in batches:
@@ -47,8 +49,8 @@ def zip_lines(archives: DataFrame, skip_blank: bool = True) -> DataFrame:
                         if len(rows) == 50_000:
                             yield batch_of(file, rows)
                             rows = []
-                except (zipfile.BadZipFile, UnicodeDecodeError, OSError):
-                    rows.append((-1, None))
+                except (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, UnicodeDecodeError):
+                    rows = [(-1, None)]  # RuntimeError: encrypted, or compressed in a way that isn't known
                 if rows:
                     yield batch_of(file, rows)
 
@@ -68,9 +70,25 @@ def is_header(line: Column) -> Column:
     return F.split(line, ",")[0].rlike("[A-Za-z]")
 
 
-def without_headers(lines: DataFrame, every_file_has_one: bool = False) -> DataFrame:
-    """Drop header lines: by the letter rule, or the first line of each file where all have one."""
-    return lines.filter("line_no != 0" if every_file_has_one else ~is_header(F.col("line")))
+def without_headers(lines: DataFrame) -> DataFrame:
+    """Lines that are no header by the letter rule."""
+    return lines.filter(~is_header(F.col("line")))
+
+
+def merged_lines(lines: DataFrame, may_lack_header: bool = False) -> DataFrame:
+    """Passthrough merge of files: is_header, file, line_no, line, with one header for all.
+
+    Each file's first line is its header and the first file's one is kept. With
+    ``may_lack_header`` (premium index files) a first line is a header only if it starts with
+    ``open_time``; if the first file has none, the usual one is put there.
+    """
+    first = F.col("line_no") == 0
+    head = first & F.trim("line").startswith("open_time") if may_lack_header else first
+    one = lines.filter(first).agg(F.min_by("line", "file").alias("line"), F.min("file").alias("file")).filter("file is not null")
+    if may_lack_header:
+        one = one.withColumn("line", F.when(F.trim("line").startswith("open_time"), F.col("line")).otherwise(",".join(KLINE_COLUMNS)))
+    header = one.select(F.lit(True).alias("is_header"), "file", F.lit(-1).cast("long").alias("line_no"), "line")
+    return header.unionByName(lines.filter(F.col("line_no") >= 0).filter(~head).select(F.lit(False).alias("is_header"), "file", "line_no", "line"))
 
 
 def is_malformed(line: Column, fields: int = 7) -> Column:
@@ -83,12 +101,18 @@ def kline_fields(lines: DataFrame, columns: list[str] = KLINE_COLUMNS) -> DataFr
     return lines.select("file", "line_no", *(F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(columns)))
 
 
-def zip_klines(archives: DataFrame) -> DataFrame:
-    """Typed klines of archives with or without a header; malformed lines and archives are left out."""
+def zip_klines(archives: DataFrame, strict: bool = False) -> DataFrame:
+    """Typed klines of archives with or without a header; malformed lines and archives are left out.
+
+    A value that isn't a number is null, or with ``strict`` an error that stops the job.
+    """
     good = without_headers(zip_lines(archives).filter("line_no >= 0")).filter(~is_malformed(F.col("line"), 12))
     rows = kline_fields(good)
     doubles = [c for c in KLINE_COLUMNS if c not in ("open_time", "close_time", "number_of_trades", "ignore")]
-    kinds = {c: F.col(c).try_cast("double") for c in doubles} | {c: F.col(c).try_cast("bigint") for c in ("open_time", "close_time", "number_of_trades")}
+    if strict:
+        kinds = {c: S.strict_number(F.col(c)) for c in doubles} | {c: F.col(c).cast("bigint") for c in ("open_time", "close_time")} | {"number_of_trades": S.strict_count(F.col("number_of_trades"))}
+    else:
+        kinds = {c: F.col(c).try_cast("double") for c in doubles} | {c: F.col(c).try_cast("bigint") for c in ("open_time", "close_time", "number_of_trades")}
     return rows.withColumns(kinds).drop("ignore")
 
 

@@ -1,62 +1,67 @@
 """Structured Streaming jobs: incremental ingest of landed files into the append-only store.
 
-Re-delivery is harmless: each batch is deduplicated and anti-joined with the store, so the store
-itself is the state and late rows fill interior holes. A batch's rows are written to the shared
-folder before they are appended, since a re-evaluation would see its own output.
+Re-delivery is harmless: each batch is deduplicated and anti-joined with the store's slice of its
+days, so the store itself is the state and late rows fill interior holes. The first writer wins, by
+the time at which a file landed, its name and the row's place in it. A batch's rows are written to
+the shared folder before they are appended, since a re-evaluation would see its own output.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import quality
 from ..operators import store as st
 
-
-def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The store so far; empty before the first append."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        spark.createDataFrame([], schema).write.parquet(path)
-        return spark.read.schema(schema).parquet(path)
+#: Where a row came from, beside the columns of the schema.
+ORIGIN = {"_landed": "_metadata.file_modification_time", "_file": "_metadata.file_name", "_row": "_metadata.row_index"}
 
 
 def ingest(
     spark: SparkSession,
     landing: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     store_path: str,
     work: str,
     keys: Sequence[str] = ("symbol",),
     ts: str = "bar_ts",
     policy: str = "absent",
     transform: Callable[[DataFrame], DataFrame] | None = None,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Read new files of ``landing`` until none is left, append their rows, return the store.
+    """Read new Parquet files of ``landing`` until none is left, append their rows, return the store.
 
     ``policy``: ``absent`` appends each key that isn't stored, ``newer`` only what is later than
-    the series' last stored time. ``transform`` runs on each batch first (closed bars, shapes).
+    the series' last stored time. ``transform`` runs on each batch first (closed bars, shapes) and
+    keeps the columns that tell where a row came from. The store is partitioned by day.
     """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def batch(rows: DataFrame, number: int) -> None:
         rows = transform(rows) if transform else rows
-        rows = rows.dropDuplicates([*keys, ts])
-        held = stored(spark, store_path, schema)
-        fresh = st.append_absent(rows, held, keys, ts) if policy == "absent" else st.append_newer(rows, held, keys, ts)
+        rows = quality.dedupe_first(rows, [*keys, ts], list(ORIGIN))
+        bounds = st.batch_bounds(rows, ts)
+        if bounds is None:
+            return
+        if policy == "absent":
+            fresh = st.append_absent(rows, st.read_store(spark, store_path, schema, bounds, ts), keys, ts)
+        else:
+            fresh = st.append_newer(rows, st.read_store(spark, store_path, schema, ts=ts), keys, ts)
         delta = f"{work}/delta/{number}"
         fresh.select(*schema.names).write.mode("overwrite").parquet(delta)
-        spark.read.schema(schema).parquet(delta).write.mode("append").parquet(store_path)
+        st.write_append(spark.read.schema(schema).parquet(delta), store_path, ts=ts)
 
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
-    query = source.writeStream.foreachBatch(batch).option("checkpointLocation", f"{work}/progress").trigger(availableNow=True).start()
+    source = spark.readStream.schema(schema)
+    if files_per_batch:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
+    rows = source.parquet(landing).select("*", *(F.col(c).alias(n) for n, c in ORIGIN.items()))
+    query = rows.writeStream.foreachBatch(batch).option("checkpointLocation", f"{work}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stored(spark, store_path, schema)
+    return st.read_store(spark, store_path, schema, ts=ts)
 
 
 def dedupe_within(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:

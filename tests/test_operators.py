@@ -1,6 +1,7 @@
 """Hand-made rows: the small cases of FIXTURES.md and one case per quirk."""
 
 import io
+import time
 import zipfile
 from datetime import datetime, timedelta
 
@@ -210,3 +211,121 @@ def test_stream_policies(spark, tmp_path):
         late.coalesce(1).write.mode("append").parquet(landing)
         got = jobs.ingest(spark, landing, early.schema, f"{tmp_path}/{policy}/store", f"{tmp_path}/{policy}/work", policy=policy)
         assert hours_of(got) == want
+
+
+def test_first_landed_writer_wins(spark, tmp_path):
+    one, two = (bars(spark, [1, 2], off=x).select("symbol", "bar_ts", "close").coalesce(1) for x in (0.0, 7.0))
+    two.union(two).coalesce(1).write.parquet(f"{tmp_path}/landing")
+    time.sleep(1.1)  # modification times of some file systems are whole seconds
+    one.write.mode("append").parquet(f"{tmp_path}/landing")
+    got = jobs.ingest(spark, f"{tmp_path}/landing", one.schema, f"{tmp_path}/store", f"{tmp_path}/work").collect()
+    assert sorted(x.close for x in got) == [109.0, 110.0]
+
+
+def test_late_rows_of_the_bounded_variant(spark, tmp_path):
+    schema = "symbol string, bar_ts timestamp_ntz"
+    for hours in ([1, 2], [40, 40], [3, 41]):
+        bars(spark, hours).select("symbol", "bar_ts").coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing")
+        stream = jobs.dedupe_within(spark.readStream.schema(schema).parquet(f"{tmp_path}/landing"), ["symbol"], "bar_ts", "5 hours")
+        sink = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/work")
+        sink.trigger(availableNow=True).start().awaitTermination()
+    assert hours_of(spark.read.schema(schema).parquet(f"{tmp_path}/out")) == [1, 2, 40, 41]  # hour 3 came too late
+
+
+def test_rows_without_time_or_key_stay_and_never_enter_the_store(spark):
+    rows = spark.createDataFrame([("x", DAY), ("x", None), (None, DAY), ("x", DAY + timedelta(hours=1))], "symbol string, bar_ts timestamp_ntz")
+    got = {x.symbol: (x.gaps, x.n_rows) for x in q.gap_count(rows).collect()}
+    assert got == {"x": (0, 3), None: (0, 1)}
+    assert hours_of(st.append_absent(rows, rows.limit(0))) == [0, 1]
+
+
+def test_numbers_are_finite(spark):
+    rows = spark.createDataFrame([("1.5",), ("Infinity",), ("-inf",), ("NaN",), ("x",), (None,)], "t string").select(S.number(F.col("t")).alias("n")).collect()
+    assert [x.n for x in rows] == [1.5, None, None, None, None, None]
+
+
+def test_strict_casts_stop_the_job(spark):
+    ok = spark.createDataFrame([("12.0", "1.5"), (None, None)], "n string, v string")
+    assert [(x.n, x.v) for x in ok.select(S.strict_count(F.col("n")).alias("n"), S.strict_number(F.col("v")).alias("v")).collect()] == [(12, 1.5), (None, None)]
+    for strict in (S.strict_count, S.strict_number):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            spark.createDataFrame([("x",)], "n string").select(strict(F.col("n"))).collect()
+
+
+def test_damaged_member_gives_no_row(spark):
+    body = "\n".join(f"{1704067200000 + i},1,2,0.5,1.5,10,1704070799999,0,3,0,0,0" for i in range(3000))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.csv", body)
+    good = out.getvalue()
+    broken = bytearray(good)
+    broken[len(good) // 2 : len(good) // 2 + 40] = b"\xff" * 40
+    latin = zipped("a.csv", b"1,2\n\xff\xfe,3\n")
+    rows = spark.createDataFrame([("good.zip", good), ("broken.zip", bytes(broken)), ("latin.zip", latin), ("empty.zip", b"")], "file string, content binary")
+    lines = archives.zip_lines(rows)
+    assert sorted(x.file for x in archives.rejected_archives(lines).collect()) == ["broken.zip", "empty.zip", "latin.zip"]
+    assert {x.file for x in archives.zip_klines(rows).collect()} == {"good.zip"} and archives.zip_klines(rows).count() == 3000
+
+
+def test_merged_header_rules(spark):
+    rows = [("a.zip", 0, "create_time,v"), ("a.zip", 1, "1,2"), ("b.zip", 0, "create_time,v"), ("b.zip", 1, "3,4")]
+    merge = lambda own, **more: sorted((not x.is_header, x.line) for x in archives.merged_lines(spark.createDataFrame(own, "file string, line_no long, line string"), **more).collect())
+    assert merge(rows) == [(False, "create_time,v"), (True, "1,2"), (True, "3,4")]
+    head = ",".join(schemas.KLINE_COLUMNS)
+    premium = [("a.zip", 0, "1,2"), ("b.zip", 0, "open_time,open"), ("b.zip", 1, "3,4")]
+    assert merge(premium, may_lack_header=True) == [(False, head), (True, "1,2"), (True, "3,4")]
+    assert merge(premium[1:], may_lack_header=True) == [(False, "open_time,open"), (True, "3,4")]
+    assert merge([]) == []
+
+
+def test_absent_metric_is_null_and_the_first_exact_row_counts(spark):
+    rows = spark.createDataFrame([("x", DAY, 9.0, "b"), ("x", DAY, 5.0, "c"), ("x", DAY, 7.0, "a")], "symbol string, ts timestamp_ntz, sum_open_interest double, file string")
+    got = sn.hourly_snapshot(rows, order=["file"]).first()
+    assert got.sum_open_interest == 7.0 and got.sum_taker_long_short_vol_ratio is None
+    assert set(sn.METRICS) <= set(got.asDict())
+
+
+def test_store_with_later_rows_only_has_no_overlap(spark):
+    row = r.validate_overlap(bars(spark, [8, 9]), bars(spark, [20, 21])).first()
+    assert (row.reason, row.ok) == ("no overlap", False)
+
+
+def test_two_intervals_in_one_store(spark):
+    """A minute series and an hour series of one symbol never meet: gaps, validation, catch-up, appends."""
+    step = schemas.step_of(F.col("interval"))
+    keys = schemas.STORE_KEYS
+
+    def both(hours, minutes, off=0.0):
+        h = bars(spark, hours).withColumn("interval", F.lit("1h"))
+        m = spark.createDataFrame([("x", DAY + timedelta(minutes=k), *[200.0 + k + off] * 5) for k in minutes], BAR).withColumn("interval", F.lit("1m"))
+        return h.unionByName(m)
+
+    batch, held = both([8, 9, 10, 11], [480, 481, 482, 483]), both([8, 9, 10], [480, 481])
+    assert {(x.interval, x.gaps) for x in q.gap_count(batch, keys, step=step).collect()} == {("1h", 0), ("1m", 0)}
+    verdicts = {x.interval: (x.reason, x.validated) for x in r.validate_overlap(batch, held, keys=keys, step=step).collect()}
+    assert verdicts == {"1h": ("validated", 2), "1m": ("validated", 1)}
+    ends = spark.createDataFrame([("x", "1h", DAY + timedelta(hours=11)), ("x", "1m", DAY + timedelta(minutes=483))], "symbol string, interval string, target timestamp_ntz")
+    got = {x.interval: x.reason for x in r.validate_window(batch, held, ends, keys=keys, step=step).collect()}
+    assert got == {"1h": "validated", "1m": "store too short"}
+    rows = lambda df: sorted((x.interval, x.open) for x in df.collect())
+    assert rows(p.recent_delta(batch, held, True, keys, step=step)) == [("1h", 111.0), ("1m", 682.0), ("1m", 683.0)]
+    assert {x.interval: x.appended for x in p.catch_up(batch, held, 10, keys=keys, step=step).collect()} == {"1h": 1, "1m": 2}
+    assert rows(p.append_target(batch, held, ends, keys=keys, step=step)) == [("1h", 111.0)]
+    assert rows(p.recent_delta(batch, both([8, 9, 10], [480, 481], off=1.0), True, keys, step=step)) == [("1h", 111.0)]
+
+
+def test_rank_bound_is_a_constant(spark):
+    """Each task keeps the last rows of a series before rows move: the plan has a group limit."""
+    df = r.validate_window(bars(spark, [8, 9, 10]), bars(spark, range(8)), targets(spark, 10))
+    assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_day_slices_of_a_store(spark, tmp_path):
+    rows = bars(spark, [1, 30, 60]).withColumnRenamed("bar_ts", "timestamp").withColumn("interval", F.lit("1m")).withColumn("close", F.when(F.col("open") < 140, F.col("close")))
+    path, schema = f"{tmp_path}/store", schemas.STORES["ohlcv_1m"]
+    assert st.read_store(spark, path, schema).count() == 0
+    st.write_append(rows, path, "ohlcv_1m")
+    held = st.read_store(spark, path, schema)
+    assert held.columns == schema.names and sorted(x.open for x in held.collect()) == [101.0, 130.0]  # the row without a price was ignored
+    part = st.read_store(spark, path, schema, (DAY + timedelta(hours=25), DAY + timedelta(hours=40)))
+    assert [x.open for x in part.collect()] == [130.0] and "PartitionFilters: [isnotnull(day" in part._jdf.queryExecution().executedPlan().toString()
