@@ -122,6 +122,9 @@ NOTICES = {
 NOTICE_WORDS = [re.findall("[a-z0-9]+", n.lower()) for texts in NOTICES.values() for n in texts]
 WIDEST = max(map(len, NOTICE_WORDS))
 KNOWN = sorted(set().union(*NOTICE_WORDS))
+#: Notice words of some length: a line with fewer than three of them is no part of a notice.
+CONTENT = [w for w in KNOWN if len(w) > 4]
+PIECES = sorted({" ".join(n[i : i + 3]) for n in NOTICE_WORDS for i in range(len(n) - 2)})
 UNKNOWN = "unknown"
 SAMPLE_PARAGRAPHS = 4000
 VARIANTS = 24
@@ -129,8 +132,8 @@ VARIANTS = 24
 COMMON = 0.002
 CONFIDENT = 0.6
 CONTAINED = 0.6
-#: Words that only occur in notices mark corpus paragraphs that are no clean example of the unknown class.
-MARKERS = "licen[sc]e|copyright|rights reserved|creative commons|redistribut|hereby granted|public domain|warrant"
+#: Strings that mark corpus lines that are no clean example of the unknown class.
+MARKERS = ("license", "licence", "copyright", "rights reserved", "creative commons", "redistribut", "hereby granted", "public domain", "warrant")
 
 
 def words(paragraph: Column) -> Column:
@@ -166,8 +169,8 @@ def runs(docs: DataFrame, anchors: list[str]) -> DataFrame:
     arrays: inlined or pushed down as a filter, an expression would run again for each element.
     """
     keep = [c for c in docs.columns if c != "text"]
-    docs = docs.filter(F.arrays_overlap(words(F.col("text")), F.lit(anchors)))
-    holds = lambda those: F.transform("_w", lambda w: F.arrays_overlap(w, F.lit(those)))
+    docs = docs.filter(F.exists(words(F.col("text")), lambda x: x.isin(anchors)))
+    holds = lambda those: F.transform("_w", lambda w: F.exists(w, lambda x: x.isin(those)))
     rows = docs.withColumn("_w", F.transform(F.split("text", "\n"), words))
     rows = rows.withColumn("_size", F.transform("_w", F.size)).withColumn("_anchor", holds(anchors)).withColumn("_notice", holds(KNOWN))
 
@@ -201,11 +204,19 @@ def notice_rows(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def plain(lines: DataFrame) -> DataFrame:
-    """Of (paragraph, w: its words), lines without licence words or parts of notices; lines of a wrapped notice may hold no marker."""
-    pieces = sorted({" ".join(n[i : i + 3]) for n in NOTICE_WORDS for i in range(len(n) - 2)})
-    part = F.when(F.size(F.array_intersect("w", F.lit(KNOWN))) > 2, F.arrays_overlap(grams(F.col("w"), 3), F.lit(pieces))).otherwise(F.lit(False))
-    return lines.filter(~F.lower("paragraph").rlike(MARKERS)).filter(~part)
+def told_apart(lines: DataFrame) -> DataFrame:
+    """Of (paragraph, u), lines without licence words, with ``held`` (their notice words) and ``part``: whether they are parts of notices.
+
+    Lines of a wrapped notice may hold no marker, but a notice's three-gram. Each step is a column that the next one names more than once.
+    """
+    marked = F.lit(False)
+    for m in MARKERS:
+        marked |= F.contains(F.lower("paragraph"), F.lit(m))
+    # a list of literals is one hash set for all rows, an array of literals one for each
+    known = lambda those: lambda x: x.isin(those)
+    lines = lines.filter(~marked).withColumn("w", words(F.col("paragraph"))).withColumn("held", F.array_distinct(F.filter("w", known(KNOWN))))
+    part = F.when(F.size(F.filter("held", known(CONTENT))) > 2, F.arrays_overlap(grams(F.col("w"), 3), F.lit(PIECES))).otherwise(F.lit(False))
+    return lines.select("paragraph", "u", "held", part.alias("part"))
 
 
 def sampled(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS) -> DataFrame:
@@ -213,16 +224,16 @@ def sampled(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS) -> DataFrame:
     lines = paragraphs(docs.select("text")).withColumn("u", F.xxhash64("paragraph"))
     size = lines.agg(F.approx_count_distinct("u")).first()[0]
     # a hash bound keeps about three times the lines wanted before any of them moves
-    near = lines.filter(F.pmod("u", F.lit(2**52)) / float(2**52) < (3 * sample + 200) / max(size, 1))
-    near = plain(near.withColumn("w", words(F.col("paragraph")))).select("paragraph", "u").distinct()
-    return C.materialise(near.orderBy("u", "paragraph").limit(sample), "sample")
+    near = C.materialise(lines.filter(F.pmod("u", F.lit(2**52)) / float(2**52) < (3 * sample + 200) / max(size, 1)).distinct(), "near")
+    near = C.materialise(told_apart(near), "told").filter("not part")
+    return C.materialise(near.select("paragraph", "u").orderBy("u", "paragraph").limit(sample), "sample")
 
 
 def vocabulary(docs: DataFrame, share: float = COMMON) -> tuple[list[str], list[str]]:
     """Anchors, and the grams of the notices that hold one. Both are bounded by the notices; the counts cover all plain lines."""
-    lines = plain(paragraphs(docs.select("text")).withColumn("w", words(F.col("paragraph")))).select(F.xxhash64("paragraph").alias("u"), F.array_intersect("w", F.lit(KNOWN)).alias("held"))
+    lines = told_apart(paragraphs(docs.select("text")).withColumn("u", F.xxhash64("paragraph")))
     # the empty word stands for all lines
-    seen = lines.select("u", F.explode(F.array_append("held", F.lit(""))).alias("w")).groupBy("w").agg(F.approx_count_distinct("u").alias("n")).collect()
+    seen = lines.select("u", F.explode(F.when(~F.col("part"), F.array_append("held", F.lit("")))).alias("w")).groupBy("w").agg(F.approx_count_distinct("u").alias("n")).collect()
     size = max((r.n for r in seen if not r.w), default=0)
     common = {r.w for r in seen if r.w and r.n > share * size}
     anchors = [w for w in KNOWN if w not in common] or KNOWN
