@@ -11,7 +11,8 @@ Packing a subset of pieces is as good as packing all once it holds some thousand
 dealt by a hash of id and text to groups of about ``group_bytes``, as many as the bytes of the
 corpus need (one number to the driver), and each group is packed as a whole: one shuffle, memory
 of one group, and a result that depends on the rows alone, not on how files split them. Rows that
-repeat in full are counted first and dealt by their number, so no group gets more than its share.
+repeat in full more than ``MANY`` times are dealt by their number, so no group gets much more than
+its share; fewer share a group.
 
 A row is a bin: its token ids, and for each piece in order the document, the piece's number, its
 first token in the document and its length.
@@ -39,6 +40,8 @@ CAPACITIES = (512, 1024, 2048, 4096)
 OVERHEAD = 64
 ATTENTION = 16_384
 GROUP_BYTES = 4_000_000
+#: Rows that repeat in full up to so many times share a group.
+MANY = 64
 #: Texts that are tokenised at a time.
 AT_ONCE = 200
 
@@ -83,13 +86,13 @@ def best_fit(lengths: np.ndarray, capacities=CAPACITIES, overhead: float = OVERH
 
 
 def dealt_rows(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """doc_id, doc_key, text_key, text and ``group``; rows that repeat in full differ in the group."""
+    """doc_id, doc_key, text_key, text and ``group``; rows that repeat in full more than MANY times differ in the group."""
     keyed = C.with_key(docs.withColumn("doc_id", F.col("doc_id").cast("long")))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, round(size / group_bytes))
     of = lambda *more: F.pmod(F.xxhash64("doc_key", "text_key", *more), F.lit(groups)).alias("group")
     key = ["doc_key", "text_key"]
-    again = C.materialise(keyed.groupBy(*key).agg(F.count("*").alias("rows")).filter("rows > 1"), "again")
+    again = C.materialise(keyed.groupBy(*key).agg(F.count("*").alias("rows")).filter(F.col("rows") > MANY), "again")
     columns = ["doc_id", *key, "text"]
     if again.isEmpty():
         return keyed.select(*columns, of())
