@@ -14,8 +14,8 @@ reshared until none is above. A source gets as many output slots as its target h
 3. Slots and documents meet in a join on (source, block).
 
 ``dealt`` gives the shards themselves: each slot with the document parts of its block. ``mix`` sums
-over all shards. ``mixed_documents`` keeps texts whole, so a text goes to the shard that the first of
-its taken blocks was dealt to, and rows come by shard, in a pseudorandom order of its slots.
+over all shards. ``sharded_documents`` keeps texts whole, so a text goes to the shard that the first of
+its taken blocks was dealt to; ``mixed_documents`` gives them without shard, or ordered by it.
 
 The permutations are swap-or-not shuffles: any domain size, no state, plain integer arithmetic.
 Each round is a projection, so that Spark compiles them. Everything is DataFrame and SQL functions.
@@ -178,7 +178,7 @@ def dealt(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK,
 
 
 def sharded_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """The mix as documents, with the columns of ``docs`` behind ``_shard`` and ``_slot``: a text taken n times whole comes n times;
+    """The mix as documents: shard, slot and ``doc``, a struct of the columns of ``docs``: a text taken n times whole comes n times;
     what is taken once more of it is one further row with those words, joined by single spaces."""
     keys = ["doc_key", "text_key"]
     keyed = docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text", *(e.alias(n) for n, e in C.row_key(docs).items()))
@@ -201,13 +201,18 @@ def sharded_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: i
     cut = F.transform(F.col("_copy.spans"), lambda s: F.slice("_words", (s["place"] + 1).cast("int"), s["n"].cast("int")))
     once = once.withColumn("_text", F.when(F.col("_copy.spans").isNull() | F.col("_words").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(cut), " ")))
     columns = [F.col("_text").alias(c) if c == "text" else F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"_row.{c}") for c in docs.columns]
-    return once.select(F.col("_copy.at.shard").alias("_shard"), F.col("_copy.at.slot").alias("_slot"), *columns)
+    return once.select(F.col("_copy.at.shard").alias("shard"), F.col("_copy.at.slot").alias("slot"), F.struct(*columns).alias("doc"))
 
 
-def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """``sharded_documents`` with the columns of ``docs``: each shard's rows in one partition, together, in a pseudorandom order of its slots."""
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, by_shard: bool = False) -> DataFrame:
+    """``sharded_documents`` with the columns of ``docs``.
+
+    With ``by_shard`` each shard's rows come in one partition, together, in a pseudorandom order of its slots; that moves each text once more.
+    """
     rows = sharded_documents(docs, weights, cap, block, shard_slots)
-    return rows.repartition("_shard").sortWithinPartitions("_shard", F.xxhash64("_shard", "_slot"), "_slot").select(*docs.columns)
+    if not by_shard:
+        return rows.select("doc.*")
+    return rows.repartition("shard").sortWithinPartitions("shard", F.xxhash64("shard", "slot"), "slot").select("doc.*")
 
 
 def op4_source_mixing(spark, sf_dir):

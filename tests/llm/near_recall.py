@@ -67,7 +67,7 @@ def main():
     own = {r.doc_id: r.component_id for r in near_dedup.op2_near_dedup(spark, sf).select("doc_id", "component_id").collect()}
     links = list(exact_links(texts, [d for d in texts if d % 20 == 0]))
     print(f"{sf}: {len(links)} links of queries, recall {sum(own[a] == own[b] for a, b in links) / len(links):.4f}")
-    hidden = planted(1500, random.Random(1))
+    hidden = planted(300, random.Random(1))
     near_dedup.WIDE = 0
     got = found(spark, hidden)
     print(f"planted pairs in wide nodes: recall {sum(got[i] == got[i + 1] for i in range(0, len(hidden), 2)) / (len(hidden) / 2):.4f}")

@@ -295,16 +295,16 @@ def test_slots_are_dealt_to_shards(spark):
         assert all(abs(counts[s][k] - share * size) <= 5 * (size * share * (1 - share)) ** 0.5 + 1 for s in full)
         assert len({counts[s][k] for s in full}) > 1  # drawn, not a fixed quota
     mixed = mixing.sharded_documents(df, block=block, shard_slots=size).collect()
-    assert all((r._shard, r._slot) in slots for r in mixed) and len({r._shard for r in mixed}) >= total // size
+    assert all((r.shard, r.slot) in slots for r in mixed) and len({r.shard for r in mixed}) >= total // size
     row = lambda r: (r.doc_id, r.text)
-    parts = mixing.mixed_documents(df, block=block, shard_slots=size).withColumn("part", F.spark_partition_id()).collect()
+    parts = mixing.mixed_documents(df, block=block, shard_slots=size, by_shard=True).withColumn("part", F.spark_partition_id()).collect()
     shards = defaultdict(list)
-    for r in sorted(mixed, key=lambda r: (r._shard, r._slot)):
-        shards[r._shard].append(row(r))
+    for r in sorted(mixed, key=lambda r: (r.shard, r.slot)):
+        shards[r.shard].append(row(r.doc))
     written = defaultdict(list)
     for r in parts:
         written[r.part].append(row(r))
-    assert Counter(map(row, parts)) == Counter(map(row, mixed))
+    assert Counter(map(row, parts)) == Counter(row(r.doc) for r in mixed)
     starts = {tuple(sorted(x)) for x in shards.values()}
     for own in written.values():
         while own:
@@ -413,7 +413,7 @@ def test_best_fit_equals_its_definition():
 
 def test_packed_tokens(spark):
     texts = [None, "", "one", " \t", prose(5000), "é\u00a0 漢字\u3000 x", "word " * 9000] + [prose(RNG.randint(1, 900)) for _ in range(150)]
-    more = [(500, "same row", "en", "s", 8)] * 30 + [(None, "no id", None, None, None), (7, "other text of an id", None, None, None)]
+    more = [(500, "same row", "en", "s", 8)] * 90 + [(501, "few rows", "en", "s", 8)] * 3 + [(None, "no id", None, None, None), (7, "other text of an id", None, None, None)]
     df = docs(spark, texts, more)
     runs = [packing.pack(df.repartition(n), group_bytes=60_000).collect() for n in (1, 6)]
     assert sorted(map(repr, runs[0])) == sorted(map(repr, runs[1]))
