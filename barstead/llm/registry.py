@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, language_id, license_scan, mixing, near_dedup, packing, private_data, quality_rules, substring_dedup
+from . import bpe, chat_format, exact_dedup, filter_audit, hard_negatives, language_id, license_scan, mixing, near_dedup, packing, private_data, quality_rules, substring_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_language_id": language_id.op10_language_id,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_bpe_round_trip": bpe.op12_bpe_round_trip,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -24,4 +27,6 @@ ORACLE_SQL = {
     "op5_substring_dedup": substring_dedup.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
     "op9_chat_format": chat_format.OP9_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
