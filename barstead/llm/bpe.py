@@ -5,7 +5,8 @@ doubly linked list of symbols; a priority queue holds (rank, place) of each neig
 has a merge. The least rank, leftmost first, is taken out and its pair joined, which queues the new
 pairs to its left and right. Entries are never removed: one whose left symbol is gone, or whose pair
 now has another rank, is stale and skipped. So a piece of n bytes takes n log n steps, whatever it
-holds. Pieces recur, so each worker keeps what short ones became, up to ``HELD`` of them.
+holds. Pieces recur, and so do the stretches from one blank before a word to the next, at which every
+text may be cut: each worker keeps what short ones became, up to ``HELD`` of either.
 
 Decoding joins the vocabulary's byte strings of the ids and reads them as UTF-8.
 
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 from . import common as C
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-#: Pieces whose ids a worker keeps, and the longest of them in characters.
+#: Pieces and stretches whose ids a worker keeps, and the longest of them in characters.
 HELD, SHORT = 400_000, 64
 #: Bytes of text that are encoded, and ids that are decoded, at a time.
 AT_ONCE = 4_000_000
@@ -87,7 +88,8 @@ class BytePairs:
         self.special = {t: array("I", [i]).tobytes() for t, i in special.items()}
         self.cut = regex.compile("|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True))) if special else None
         self.plain, self.split = regex.compile(PLAIN), regex.compile(SPLIT)
-        self.known = Known(self)
+        self.word, self.run = regex.compile(r" (?=\S)"), regex.compile(r" (?:\s|$)")
+        self.known, self.spaced = Known(self.of_piece), Known(self.of_stretch)
 
     @classmethod
     def of(cls, shared) -> BytePairs:
@@ -129,27 +131,38 @@ class BytePairs:
             at = hit.end()
         return b"".join([*parts, self.ordinary(text[at:])]) if parts else self.ordinary(text)
 
-    def ordinary(self, text: str) -> bytes:
+    def of_piece(self, piece: str) -> bytes:
+        return array("I", self.merged(piece.encode())).tobytes()
+
+    def of_stretch(self, rest: str) -> bytes:
+        return self.of_pieces(f" {rest}")
+
+    def of_pieces(self, text: str) -> bytes:
         pieces = (self.plain if text.isascii() else self.split).findall(text)
         return b"".join(map(self.known.__getitem__, pieces))
 
+    def ordinary(self, text: str) -> bytes:
+        # a blank before something else than white space always begins a piece
+        first, *rest = self.word.split(text) if self.run.search(text) else text.split(" ")
+        return b"".join([self.of_pieces(first), *map(self.spaced.__getitem__, rest)])
+
     def text(self, ids: list[int]) -> str:
         found = self.strings.get
         return b"".join([found(i, b"") for i in ids]).decode(errors="replace")
 
 
 class Known(dict):
-    """Packed ids of pieces, made when first asked for; starts anew when full."""
+    """Packed ids by string, made when first asked for; starts anew when full."""
 
-    def __init__(self, pairs: BytePairs):
-        self.merged = pairs.merged
+    def __init__(self, make):
+        self.make = make
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.merged(piece.encode())).tobytes()
-        if len(piece) <= SHORT:
+    def __missing__(self, text: str) -> bytes:
+        ids = self.make(text)
+        if len(text) <= SHORT:
             if len(self) >= HELD:
                 self.clear()
-            self[piece] = ids
+            self[text] = ids
         return ids
 
 

@@ -15,7 +15,7 @@ label afterwards), the doc_id (labels) and the mask. A part's diagram is one sma
 
 Defined results: a null text is empty; a null part is the empty string; a null doc_id is no copy of
 another and makes none one. Rows repeated in full are documents of their own, neither a copy of the
-other. A document is good (toxic) if any of its label rows says so. A very long text is one task's
+other. A document is good (toxic) if any label row of its id says so; a null id has none. A very long text is one task's
 word list. No documents give no rows. Columns that the filters don't name are ignored.
 """
 
