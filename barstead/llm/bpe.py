@@ -38,9 +38,9 @@ from . import common as C
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Pieces and stretches whose ids a worker keeps, and the longest of them in characters.
-HELD, SHORT = 400_000, 64
+HELD, SHORT = 150_000, 64
 #: Bytes of text that are encoded, and ids that are decoded, at a time.
-AT_ONCE = 4_000_000
+AT_ONCE = 2_000_000
 
 # Letters and numbers of Unicode 17 and later, which the vocabulary's library (Unicode 16) counts as neither.
 LATER = (
@@ -189,21 +189,25 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, shared=None) -> DataFr
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, token_ids array<int>")
 
 
+def decoded(pairs: BytePairs, batch: pa.RecordBatch):
+    """Slices of a batch with token_ids, each with its texts."""
+    sizes = pc.list_value_length(batch.column("token_ids")).fill_null(0).to_numpy(zero_copy_only=False)
+    for i, j in C.chunks(np.append(0, np.cumsum(sizes)).astype(np.int64), AT_ONCE):
+        part = batch.slice(i, j - i)
+        yield part, pa.array([pairs.text(ids or ()) for ids in part.column("token_ids").to_pylist()], pa.string())
+
+
 def decode(tokens: DataFrame, vocabulary: str = VOCABULARY, shared=None) -> DataFrame:
     """The rows with ``text`` as their last column, put together from token_ids."""
     shared = shared or shared_pairs(tokens.sparkSession, vocabulary)
-    own = [c for c in tokens.columns if c != "text"]
+    rows = tokens.select(*(c for c in tokens.columns if c != "text"))
 
     def run(batches):
         pairs = BytePairs.of(shared)
         for batch in batches:
-            sizes = pc.list_value_length(batch.column("token_ids")).fill_null(0).to_numpy(zero_copy_only=False)
-            for i, j in C.chunks(np.append(0, np.cumsum(sizes)).astype(np.int64), AT_ONCE):
-                part = batch.slice(i, j - i)
-                texts = [pairs.text(ids or ()) for ids in part.column("token_ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*own, "text"])
+            for part, texts in decoded(pairs, batch):
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], [*part.schema.names, "text"])
 
-    rows = tokens.select(*own)
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())]))
 
 
@@ -217,19 +221,23 @@ def ids_digest(token_ids: pa.Array) -> pa.Array:
     return pa.array([digest(i) for i in range(len(token_ids))], pa.string())
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Per row of (doc_id, token_ids, text): doc_id, n_tokens, ids_sha256, decoded_sha256."""
+def digests(tokens: DataFrame, vocabulary: str = VOCABULARY, shared=None) -> DataFrame:
+    """Per row of (doc_id, token_ids): doc_id, n_tokens, ids_sha256, and decoded_sha256 of the text that ``decode`` gives."""
+    shared = shared or shared_pairs(tokens.sparkSession, vocabulary)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
     def run(batches):
+        pairs = BytePairs.of(shared)
         for batch in batches:
-            ids = batch.column("token_ids")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pc.list_value_length(ids).cast(pa.int64()), ids_digest(ids), batch.column("decoded_sha256")], names)
+            for part, texts in decoded(pairs, batch):
+                ids = part.column("token_ids")
+                of_text = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts.to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pc.list_value_length(ids).cast(pa.int64()), ids_digest(ids), of_text], names)
 
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    rows = decoded.select("doc_id", "token_ids", F.sha2("text", 256).alias("decoded_sha256"))
+    rows = tokens.select("doc_id", F.coalesce("token_ids", F.array().cast("array<int>")).alias("token_ids"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op12_bpe_round_trip(spark, sf_dir):
     shared = shared_pairs(spark)
-    return digests(decode(encode(C.documents(spark, sf_dir), shared=shared), shared=shared))
+    return digests(encode(C.documents(spark, sf_dir), shared=shared), shared=shared)
