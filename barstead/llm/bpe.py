@@ -26,6 +26,7 @@ import hashlib
 import json
 from array import array
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from . import common as C
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Pieces and stretches whose ids a worker keeps, and the longest of them in characters.
-HELD, SHORT = 150_000, 64
+HELD, SHORT = 600_000, 40
 #: Bytes of text that are encoded, and ids that are decoded, at a time.
 AT_ONCE = 2_000_000
 
@@ -56,8 +57,6 @@ LATER = (
 PLAIN = r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]++| ?[0-9]++| ?[^\sA-Za-z0-9]++|\s+(?!\S)|\s++"
 SPLIT = rf"(?V1)'(?:[stmd]|re|ve|ll)| ?[\p{{L}}--[{LATER}]]++| ?[\p{{N}}--[{LATER}]]++| ?[[^\s\p{{L}}\p{{N}}]||[{LATER}]]++|\s+(?!\S)|\s++"
 
-_PLACE = (1 << 32) - 1
-
 
 def byte_letters() -> list[str]:
     """The character by which byte-level vocabularies write each byte: itself if it prints, else the next one from U+0100 on."""
@@ -81,7 +80,14 @@ class BytePairs:
         self.strings = {i: bytes(map(value.__getitem__, t)) for t, i in vocabulary.items()}
         self.letter_ids = [vocabulary[c] for c in letters]
         pairs = [p if isinstance(p, list) else p.split(" ") for p in file["model"]["merges"]]
-        self.ranks = {vocabulary[a] << 32 | vocabulary[b]: rank for rank, (a, b) in enumerate(pairs)}
+        none: dict[int, int] = {}
+        #: By left symbol, the rank of each right symbol that it may be joined with.
+        self.ranks = [none] * (max(vocabulary.values()) + 1)
+        for rank, (a, b) in enumerate(pairs):
+            left = vocabulary[a]
+            if self.ranks[left] is none:
+                self.ranks[left] = {}
+            self.ranks[left][vocabulary[b]] = rank
         self.joined = [vocabulary[a + b] for a, b in pairs]
         special = {t["content"]: t["id"] for t in file.get("added_tokens", ())}
         self.strings |= {i: t.encode() for t, i in special.items()}
@@ -98,29 +104,32 @@ class BytePairs:
         return cls._made[shared.value]
 
     def merged(self, piece: bytes) -> list[int]:
-        """Ids of one piece."""
+        """Ids of one piece. An entry of the queue is a pair's rank and, in the lowest bits, the place of its left symbol."""
         ranks, joined, n = self.ranks, self.joined, len(piece)
-        symbols = [self.letter_ids[b] for b in piece]
+        symbols = [*map(self.letter_ids.__getitem__, piece)]
         if n == 1:
             return symbols
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        queue = [rank << 32 | i for i in range(n - 1) if (rank := ranks.get(symbols[i] << 32 | symbols[i + 1])) is not None]
+        bits = n.bit_length()
+        low = (1 << bits) - 1
+        queue = [rank << bits | i for i, (a, b) in enumerate(pairwise(symbols)) if (rank := ranks[a].get(b)) is not None]
         heapify(queue)
         while queue:
             entry = heappop(queue)
-            i, rank = entry & _PLACE, entry >> 32
-            j = after[i]
-            if symbols[i] < 0 or j == n or ranks.get(symbols[i] << 32 | symbols[j]) != rank:
+            i, rank = entry & low, entry >> bits
+            a, j = symbols[i], after[i]
+            if a < 0 or j == n or ranks[a].get(symbols[j]) != rank:
                 continue
-            symbols[i], symbols[j] = joined[rank], -1
+            symbols[i] = a = joined[rank]
+            symbols[j] = -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (rank := ranks.get(symbols[i] << 32 | symbols[k])) is not None:
-                    heappush(queue, rank << 32 | i)
+                if (rank := ranks[a].get(symbols[k])) is not None:
+                    heappush(queue, rank << bits | i)
             h = before[i]
-            if h >= 0 and (rank := ranks.get(symbols[h] << 32 | symbols[i])) is not None:
-                heappush(queue, rank << 32 | h)
+            if h >= 0 and (rank := ranks[symbols[h]].get(a)) is not None:
+                heappush(queue, rank << bits | h)
         return [s for s in symbols if s >= 0]
 
     def packed(self, text: str) -> bytes:
@@ -213,6 +222,7 @@ def decode(tokens: DataFrame, vocabulary: str = VOCABULARY, shared=None) -> Data
 
 def ids_digest(token_ids: pa.Array) -> pa.Array:
     """Hex digest of each list as little-endian 32-bit integers."""
+
     def digest(i: int) -> str:
         ids = np.asarray(flat[at[i] : at[i + 1]], dtype="<u4")
         return hashlib.sha256(ids.tobytes()).hexdigest()
