@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import VOCABULARY, encoding_of, shared_vocabulary
+from .tokens import VOCABULARY, encoding_of, ids_of, shared_vocabulary
 
 MARKS = ("<turn>", "<text>", "</turn>")
 ASSISTANT = "assistant"
@@ -62,7 +62,7 @@ class Codec:
 
     def turns(self, roles: list[str], texts: list[str]):
         """Token ids and loss mask of all turns one after another, and the bounds of the turns."""
-        parts = self.encoding.encode_ordinary_batch([escape(x) for pair in zip(roles, texts, strict=True) for x in pair], num_threads=1)
+        parts = [ids_of(self.encoding, escape(x)) for pair in zip(roles, texts, strict=True) for x in pair]
         ids: list[int] = []
         step: list[tuple[int, int]] = []
         bounds = [0]
