@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from . import quality
+from .shared import written
 
 KEYS = ("symbol",)
 VALUES = ("open", "high", "low", "close", "volume")
@@ -127,19 +128,23 @@ def validate_overlap(
     ts: str = "bar_ts",
     keys: Sequence[str] = KEYS,
     step: int | Column = 3600,
+    held: DataFrame | None = None,
 ) -> DataFrame:
     """Per series of the batch: its times that are in the last stored rows, validated at the last of them.
 
     On top of ``validate_window`` the values at that time are compared. A series that the store
-    doesn't hold is fine; one of which it holds later rows only has no overlap.
+    doesn't hold is fine; one of which it holds later rows only has no overlap. ``held`` (keys of the
+    stored series) spares a scan, where a summary has them. The store's tail is read once: it holds
+    all rows that the window can be compared with, so it is written to the shared folder and serves
+    each of its uses.
     """
     on = list(keys)
     last = batch.groupBy(*on).agg(F.max(ts).alias("last"))
-    tail = last_stored(store, last.withColumn("_n", F.lit(tail_rows)), "last", "_n", tail_rows, keys, ts, strict=False)
-    held = store.join(last.select(*on), on, "left_semi").select(*on).distinct().withColumn("held", F.lit(True))
+    tail = written(last_stored(store, last.withColumn("_n", F.lit(tail_rows)), "last", "_n", tail_rows, keys, ts, strict=False).select(*on, ts, *values), "tail")
+    held = (store if held is None else held).join(last.select(*on), on, "left_semi").select(*on).distinct().withColumn("held", F.lit(True))
     common = batch.join(tail.select(*on, ts), [*on, ts], "left_semi")
     targets = common.groupBy(*on).agg(F.max(ts).alias("target"))
-    verdict = validate_window(common, store, targets, values, tolerance, ts, keys, step, most=tail_rows)
+    verdict = validate_window(common, tail, targets, values, tolerance, ts, keys, step, most=tail_rows)
     at = both_sides(common.join(targets, on).filter(F.col(ts) == F.col("target")), tail, values, keys, ts).filter("in_left and in_right")
     off = F.lit(False)
     for v in values:

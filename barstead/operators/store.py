@@ -28,20 +28,28 @@ def _slice(store: DataFrame, ts: str, bounds: tuple | None) -> DataFrame:
     return store if bounds is None else store.filter(F.col(ts).between(F.lit(bounds[0]).cast("timestamp_ntz"), F.lit(bounds[1]).cast("timestamp_ntz")))
 
 
+def unique_rows(batch: DataFrame, own: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """One row per complete key, the first in ``order``; without one, the smallest in its other columns. Rows without a time or key go."""
+    rest = [c for c in batch.columns if c not in own]
+    return dedupe_first(batch.dropna(subset=list(own)), own, order or rest) if rest else batch.dropna(subset=list(own)).distinct()
+
+
 def append_absent(batch: DataFrame, store: DataFrame, keys: Sequence[str] = KEYS, ts: str = "bar_ts", order: Sequence[str] | None = None, bounds: tuple | None = None) -> DataFrame:
-    """Rows whose key isn't stored, interior holes included; ``order`` decides among repeats inside the batch."""
+    """Rows whose key isn't stored, interior holes included, each key once (see ``unique_rows``)."""
     own = [*keys, ts]
-    if order:
-        batch = dedupe_first(batch, own, order)
     # rows without a time or key are never found in the store, and don't enter it
-    batch = batch.dropna(subset=own)
-    return batch.join(_slice(store, ts, bounds).select(*own), own, "left_anti")
+    return unique_rows(batch, own, order).join(_slice(store, ts, bounds).select(*own), own, "left_anti")
 
 
-def append_newer(batch: DataFrame, store: DataFrame, keys: Sequence[str] = KEYS, ts: str = "bar_ts") -> DataFrame:
-    """Rows later than the series' last stored time; all of a series that isn't stored. Interior holes stay."""
-    last = store.groupBy(*keys).agg(F.max(ts).alias("_last"))
-    return batch.join(last, list(keys), "left").filter(F.col("_last").isNull() | (F.col(ts) > F.col("_last"))).drop("_last")
+def append_newer(batch: DataFrame, store: DataFrame, keys: Sequence[str] = KEYS, ts: str = "bar_ts", order: Sequence[str] | None = None, last: DataFrame | None = None) -> DataFrame:
+    """Rows later than the series' last stored time, each key once; all of a series that isn't stored. Interior holes stay.
+
+    ``last`` (keys, last_ts), as a kept summary has it, spares the scan of the store.
+    """
+    if last is None:
+        last = store.groupBy(*keys).agg(F.max(ts).alias("last_ts"))
+    rows = unique_rows(batch, [*keys, ts], order)
+    return rows.join(last.select(*keys, F.col("last_ts").alias("_last")), list(keys), "left").filter(F.col("_last").isNull() | (F.col(ts) > F.col("_last"))).drop("_last")
 
 
 def insert_or_ignore(
@@ -54,15 +62,21 @@ def insert_or_ignore(
     bounds: tuple | None = None,
 ) -> DataFrame:
     """First writer wins, also within the batch; a row with null or NaN in a required column is ignored."""
+    if not order:
+        raise ValueError("the first writer needs an order")
     return append_absent(batch.dropna(subset=list(required)), store, keys, ts, order, bounds)
 
 
 def write_append(rows: DataFrame, path: str, dataset: str | None = None, ts: str = "timestamp") -> None:
-    """Append to a store that is partitioned by day; with ``dataset`` in that store's columns and types, rows without a required value left out."""
+    """Append to a store that is partitioned by day; with ``dataset`` in that store's columns and types, rows without a required value left out.
+
+    A day's rows are split over as many writers as their size asks for, and lie sorted by the columns before the time, so that a reader skips
+    row groups of other series.
+    """
     if dataset:
         rows = schemas.as_store(rows, dataset).dropna(subset=schemas.REQUIRED.get(dataset, []))
-    by_day = rows.withColumn("day", F.to_date(ts))
-    by_day.repartition("day").write.mode("append").partitionBy("day").parquet(path)
+    by_day = rows.withColumn("day", F.to_date(ts)).hint("rebalance", "day")
+    by_day.sortWithinPartitions("day", *rows.columns[: rows.columns.index(ts) + 1]).write.mode("append").partitionBy("day").parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 from ..functions import scalars as S
 from ..functions import schemas
 from ..operators import store as st
+from ..operators.shared import shared_path
 from ..sources import archives, payloads, text
 from . import fixtures as fx
 from .book import query
-from .scratch import shared_path
 
 # ---------------------------------------------------------------- archives
 

@@ -11,23 +11,25 @@ from ..operators import quality as q
 from ..operators import reconcile as r
 from ..operators import snapshot as sn
 from ..operators import store as st
+from ..operators.kept import KeptStore
+from ..operators.shared import shared_path
 from ..sources import text
 from ..streaming import jobs
 from . import basics
 from . import fixtures as fx
 from .basics import CALENDAR, PREVIOUS, closed, closed_strict
 from .book import query
-from .scratch import shared_path
 
 # ---------------------------------------------------------------- library entry points
 
 
-def recent_delta(batch: DataFrame, store: DataFrame, validate: bool = False, keys=("symbol",), ts: str = "bar_ts", step=3600) -> DataFrame:
-    """Rows of a closed batch that are newer than the store; with ``validate`` only of series whose overlap is sound."""
-    delta = st.append_newer(batch, store, keys, ts)
+def recent_delta(batch: DataFrame, store: DataFrame | KeptStore, validate: bool = False, keys=("symbol",), ts: str = "bar_ts", step=3600) -> DataFrame:
+    """Rows of a closed batch that are newer than the store; with ``validate`` only of series whose overlap is sound. A kept store is read by its summary."""
+    kept = isinstance(store, KeptStore)
+    delta = st.append_newer(batch, batch if kept else store, keys, ts, last=store.coverage() if kept else None)
     if validate:
-        good = r.validate_overlap(batch, store, ts=ts, keys=keys, step=step).filter("ok").select(*keys)
-        delta = delta.join(good, list(keys), "left_semi")
+        verdict = store.validate_overlap(batch, step=step) if kept else r.validate_overlap(batch, store, ts=ts, keys=keys, step=step)
+        delta = delta.join(verdict.filter("ok").select(*keys), list(keys), "left_semi")
     return delta
 
 
@@ -37,18 +39,19 @@ def archive_backfill(rows: DataFrame, store: DataFrame, required: list[str], key
     return st.append_absent(rows, store, keys, ts, bounds=st.batch_bounds(rows, ts))
 
 
-def catch_up(batch: DataFrame, store: DataFrame, recent: int, ts: str = "bar_ts", keys=("symbol",), step=3600) -> DataFrame:
+def catch_up(batch: DataFrame, store: DataFrame | KeptStore, recent: int, ts: str = "bar_ts", keys=("symbol",), step=3600) -> DataFrame:
     """Per series of a closed batch: verdict on its rows up to the store's end, and how many rows follow.
 
     Rows up to the end are not intersected with the store, so a hole there shows as a short or
     differing store. An empty store is fine and takes the whole batch.
     """
-    on = list(keys)
-    end = store.groupBy(*on).agg(F.max(ts).alias("end"))
+    on, most = list(keys), max(recent - 1, 1)
+    kept = isinstance(store, KeptStore)
+    end = store.coverage().select(*on, F.col("last_ts").alias("end")) if kept else store.groupBy(*on).agg(F.max(ts).alias("end"))
     x = batch.join(end, on, "left")
-    overlap = st.last_n(x.filter(F.col(ts) <= F.col("end")).drop("end"), max(recent - 1, 1), keys, ts)
+    overlap = st.last_n(x.filter(F.col(ts) <= F.col("end")).drop("end"), most, keys, ts)
     targets = overlap.groupBy(*on).agg(F.max(ts).alias("target"))
-    verdict = r.validate_window(overlap, store, targets, ts=ts, keys=keys, step=step, most=max(recent - 1, 1))
+    verdict = store.validate_window(overlap, targets, step=step, most=most) if kept else r.validate_window(overlap, store, targets, ts=ts, keys=keys, step=step, most=most)
     follow = x.groupBy(*on).agg(F.max("end").alias("end"), F.count_if(F.col("end").isNull() | (F.col(ts) > F.col("end"))).alias("following"))
     y = follow.join(verdict, on, "left")
     reason = F.when(F.col("end").isNull(), "empty store").otherwise(F.coalesce("reason", F.lit("no overlap")))
@@ -56,14 +59,21 @@ def catch_up(batch: DataFrame, store: DataFrame, recent: int, ts: str = "bar_ts"
     return y.select(*on, ok.alias("ok"), reason.alias("reason"), F.when(ok, F.col("following")).otherwise(0).cast("long").alias("appended"))
 
 
-def append_target(batch: DataFrame, store: DataFrame, targets: DataFrame, ts: str = "bar_ts", keys=("symbol",), step=3600) -> DataFrame:
+def append_target(batch: DataFrame, store: DataFrame | KeptStore, targets: DataFrame, ts: str = "bar_ts", keys=("symbol",), step=3600) -> DataFrame:
     """The batch's row at each target, if its window is valid or nothing is stored before the target."""
     on = list(keys)
-    verdict = r.validate_window(batch, store, targets, ts=ts, keys=keys, step=step)
-    before = store.join(targets, on).filter(F.col(ts) < F.col("target")).groupBy(*on).agg(F.count("*").alias("held"))
+    if isinstance(store, KeptStore):
+        verdict = store.validate_window(batch, targets, step=step)
+        before = store.coverage().join(targets, on).filter(F.col("first_ts") < F.col("target")).select(*on, F.lit(1).alias("held"))
+        days = [x.day for x in targets.select(F.to_date("target").alias("day")).distinct().collect()]
+        held, bounds = store.read(days), None
+    else:
+        verdict = r.validate_window(batch, store, targets, ts=ts, keys=keys, step=step)
+        before = store.join(targets, on).filter(F.col(ts) < F.col("target")).groupBy(*on).agg(F.count("*").alias("held"))
+        held, bounds = store, st.batch_bounds(targets, "target")
     allowed = verdict.join(before, on, "left").filter(F.col("ok") | F.col("held").isNull()).select(*on)
     rows = batch.join(targets, on).filter(F.col(ts) == F.col("target")).drop("target")
-    return st.append_absent(rows.join(allowed, on, "left_semi"), store, keys, ts, bounds=st.batch_bounds(targets, "target"))
+    return st.append_absent(rows.join(allowed, on, "left_semi"), held, keys, ts, bounds=bounds)
 
 
 # ---------------------------------------------------------------- queries

@@ -2,20 +2,21 @@
 
 Re-delivery is harmless: each batch is deduplicated and anti-joined with the store's slice of its
 days, so the store itself is the state and late rows fill interior holes. The first writer wins, by
-the time at which a file landed, its name and the row's place in it. A batch's rows are written to
-the shared folder before they are appended, since a re-evaluation would see its own output.
+the time at which a file landed, its name and the row's place in it. A batch is an append of a kept
+store, named after stream and batch, so a batch that comes again after a failure appends what it decided
+the first time.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import quality
-from ..operators import store as st
+from ..operators.kept import KeptStore
 
 #: Where a row came from, beside the columns of the schema.
 ORIGIN = {"_landed": "_metadata.file_modification_time", "_file": "_metadata.file_name", "_row": "_metadata.row_index"}
@@ -40,20 +41,14 @@ def ingest(
     keeps the columns that tell where a row came from. The store is partitioned by day.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    store = KeptStore(spark, store_path, schema, tuple(keys), ts)
+    # appends of one stream have names of their own, the same when a batch comes again
+    stream = f"{zlib.crc32(work.encode()):08x}"
 
     def batch(rows: DataFrame, number: int) -> None:
         rows = transform(rows) if transform else rows
-        rows = quality.dedupe_first(rows, [*keys, ts], list(ORIGIN))
-        bounds = st.batch_bounds(rows, ts)
-        if bounds is None:
-            return
-        if policy == "absent":
-            fresh = st.append_absent(rows, st.read_store(spark, store_path, schema, bounds, ts), keys, ts)
-        else:
-            fresh = st.append_newer(rows, st.read_store(spark, store_path, schema, ts=ts), keys, ts)
-        delta = f"{work}/delta/{number}"
-        fresh.select(*schema.names).write.mode("overwrite").parquet(delta)
-        st.write_append(spark.read.schema(schema).parquet(delta), store_path, ts=ts)
+        if not rows.isEmpty():
+            store.append(rows, policy, list(ORIGIN), name=f"{stream}-{number}")
 
     source = spark.readStream.schema(schema)
     if files_per_batch:
@@ -61,7 +56,7 @@ def ingest(
     rows = source.parquet(landing).select("*", *(F.col(c).alias(n) for n, c in ORIGIN.items()))
     query = rows.writeStream.foreachBatch(batch).option("checkpointLocation", f"{work}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
-    return st.read_store(spark, store_path, schema, ts=ts)
+    return store.read()
 
 
 def dedupe_within(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
