@@ -47,8 +47,8 @@ class KeptStore:
 
     # ------------------------------------------------------------ summary
 
-    def summary(self) -> DataFrame:
-        """Per series and day: first_ts, last_ts, n_rows, over all appends. A store without one gets it from its rows."""
+    def summary(self, without: str | None = None) -> DataFrame:
+        """Per series and day: first_ts, last_ts, n_rows, over all appends but the one named. A store without one gets it from its rows."""
         path = f"{self.path}.summary"
         if not st.exists(self.spark, path):
             if not st.exists(self.spark, self.path):
@@ -57,11 +57,13 @@ class KeptStore:
         fields = [self.schema[k] for k in self.keys] + [T.StructField("day", T.DateType())]
         fields += [T.StructField(c, self.schema[self.ts].dataType) for c in ("first_ts", "last_ts")] + [T.StructField("n_rows", T.LongType())]
         log = self.spark.read.schema(T.StructType([*fields, T.StructField("append", T.StringType())])).parquet(path)
+        if without is not None:
+            log = log.filter(F.col("append") != without)
         return log.groupBy(*self.keys, "day").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("n_rows").alias("n_rows"))
 
-    def coverage(self) -> DataFrame:
+    def coverage(self, without: str | None = None) -> DataFrame:
         """Per series: first_ts, last_ts, n_rows, without reading the store."""
-        return self.summary().groupBy(*self.keys).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("n_rows").alias("n_rows"))
+        return self.summary(without).groupBy(*self.keys).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("n_rows").alias("n_rows"))
 
     def rebuild(self) -> None:
         """The summary anew, as one entry, from the rows of the store. Earlier entries go."""

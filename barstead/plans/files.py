@@ -53,6 +53,12 @@ def archive_files(spark, d, bars=fx.candles, interval="1h"):
     return lines.select(F.concat_ws("-", "symbol", F.lit(interval), F.date_format("day", "yyyy-MM-dd")).alias("name"), body.alias("body")).select(F.concat("name", F.lit(".zip")).alias("file"), _zipped("body").alias("content"))
 
 
+def archive_names(spark, d, bars=fx.candles, interval="1h"):
+    """The names alone of ``archive_files``."""
+    days = bars(spark, d).select("symbol", F.to_date("bar_ts").alias("day")).distinct()
+    return days.select(F.concat_ws("-", "symbol", F.lit(interval), F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit(".zip"))).alias("file"))
+
+
 LINES = """, line as (
   select symbol, bar_ts, symbol || '-1h-' || strftime(bar_ts, '%Y-%m-%d') || '.zip' as file, day(bar_ts) % 2 as odd,
     concat_ws(',', epoch_ms(bar_ts) * s, p(open), p(high), p(low), p(close), p(volume), (epoch_ms(bar_ts) + 3599999) * s, '0', num_trades, '0', '0', '0') as line
@@ -119,7 +125,7 @@ def merge_premium(spark, d):
 def reject_archives(spark, d):
     """Archives cut in their middle are told by name, and none of their lines counts."""
     cut = F.when(F.substring_index("file", "-", -1).substr(1, 2).cast("int") % 2 == 0, F.expr("substring(content, 1, length(content) div 2)")).otherwise(F.col("content"))
-    return archives.rejected_archives(archives.zip_lines(archive_files(spark, d).withColumn("content", cut)))
+    return archives.rejected_archives(archives.zip_lines(archive_files(spark, d).withColumn("content", cut))).select("file")
 
 
 @query(MERGED + """, st as (select symbol, bar_ts from store),
@@ -129,7 +135,7 @@ def backfill_full(spark, d):
     """Archives to the store: typed, first of repeated bars, absent keys only."""
     rows = archives.parse_names(merged_klines(spark, d)).withColumn("bar_ts", S.from_ms(F.col("ms")))
     rows = rows.select("symbol", "bar_ts", "close", "file", "line_no")
-    return st.append_absent(rows, fx.store(spark, d), order=("file", "line_no"), bounds=st.batch_bounds(rows)).select("symbol", "bar_ts", "close")
+    return st.append_absent(rows, fx.store(spark, d), order=("file", "line_no"), bounds=archives.period_bounds(archive_names(spark, d))).select("symbol", "bar_ts", "close")
 
 
 _SIX = ", ".join(f"cast(cast(round({c}, 6) as decimal(20, 6)) as double) as {c}" for c in ("open", "high", "low", "close", "volume"))
@@ -141,7 +147,7 @@ def backfill_1m(spark, d):
     rows = archives.parse_names(archives.zip_klines(archive_files(spark, d, fx.minutes, "1m"), strict=True))
     rows = schemas.canonical(rows).withColumn("bar_ts", S.from_ms(S.epoch_ms(F.col("open_time").cast("string"))))
     rows = rows.select("symbol", "bar_ts", "open", "high", "low", "close", "volume", "num_trades", "file", "line_no")
-    fresh = st.insert_or_ignore(rows, fx.minute_store(spark, d), schemas.REQUIRED["ohlcv_1m"], bounds=st.batch_bounds(rows))
+    fresh = st.insert_or_ignore(rows, fx.minute_store(spark, d), schemas.REQUIRED["ohlcv_1m"], bounds=archives.period_bounds(archive_names(spark, d, fx.minutes, "1m")))
     return fresh.drop("file", "line_no")
 
 

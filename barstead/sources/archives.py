@@ -25,14 +25,16 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
 def zip_lines(archives: DataFrame, skip_blank: bool = True) -> DataFrame:
     """(file, line_no, line) of the first CSV member of each archive, decompressed as a stream.
 
-    A byte order mark and line ends are removed. An archive without a CSV member has no lines. A
-    member is read to its end once before any of its lines counts: one that is damaged, encrypted
-    or not UTF-8 gives a single line numbered -1 with a null text, and never half of its lines.
+    A byte order mark and line ends are removed. A member is read to its end once before any of its
+    lines counts: one that is damaged, encrypted or not UTF-8 gives a single line numbered -1 with a
+    null text, and never half of its lines; an archive without a CSV member gives one numbered -2.
     """
 
     def lines(content: bytes):
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             member = next((n for n in z.namelist() if n.lower().endswith(".csv")), None)
+            if not member:
+                yield -2, None
             for counts in (False, True) if member else ():
                 with io.TextIOWrapper(z.open(member), encoding="utf-8-sig", newline="\n") as text:
                     for i, line in enumerate(text):
@@ -62,7 +64,8 @@ def zip_lines(archives: DataFrame, skip_blank: bool = True) -> DataFrame:
 
 
 def rejected_archives(lines: DataFrame) -> DataFrame:
-    return lines.filter("line_no < 0").select("file")
+    """(file, reason) of archives that gave no line."""
+    return lines.filter("line_no < 0").select("file", F.when(F.col("line_no") == -1, "damaged").otherwise("no CSV member").alias("reason"))
 
 
 def is_header(line: Column) -> Column:
@@ -106,7 +109,12 @@ def zip_klines(archives: DataFrame, strict: bool = False) -> DataFrame:
 
     A value that isn't a number is null, or with ``strict`` an error that stops the job.
     """
-    good = without_headers(zip_lines(archives).filter("line_no >= 0")).filter(~is_malformed(F.col("line"), 12))
+    return klines_of(zip_lines(archives), strict)
+
+
+def klines_of(lines: DataFrame, strict: bool = False) -> DataFrame:
+    """``zip_klines`` of lines that are there already."""
+    good = without_headers(lines.filter("line_no >= 0")).filter(~is_malformed(F.col("line"), 12))
     rows = kline_fields(good)
     doubles = [c for c in KLINE_COLUMNS if c not in ("open_time", "close_time", "number_of_trades", "ignore")]
     if strict:
@@ -122,6 +130,15 @@ def parse_names(files: DataFrame, column: str = "file") -> DataFrame:
     return files.select("*", part(1).alias("symbol"), part(2).alias("kind"), part(3).alias("period"), (F.length(part(3)) == 10).alias("daily"))
 
 
+def period_bounds(files: DataFrame) -> tuple | None:
+    """First and last instant that the archives' names promise, as timestamps: one row to the driver, and nothing is unzipped."""
+    named = parse_names(files.select("file")).filter("period is not null")
+    start = F.to_date(F.when(F.col("daily"), F.col("period")).otherwise(F.concat("period", F.lit("-01"))))
+    end = F.when(F.col("daily"), F.date_add(start, 1)).otherwise(F.add_months(start, 1))
+    row = named.agg(F.min(start).cast("timestamp_ntz").alias("lo"), F.max(end).cast("timestamp_ntz").alias("hi")).first()
+    return None if row.lo is None else (row.lo, row.hi)
+
+
 def expected_periods(spans: DataFrame, daily: bool) -> DataFrame:
     """(symbol, period) for each month or day from ``start`` to ``end``, both included; none if end < start."""
     step, pattern = ("interval 1 day", "yyyy-MM-dd") if daily else ("interval 1 month", "yyyy-MM")
