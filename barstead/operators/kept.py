@@ -116,7 +116,7 @@ class KeptStore:
         """
         delta = f"{self.path}.delta/{name or uuid.uuid4().hex}"
         if not st.exists(self.spark, f"{delta}/_SUCCESS"):
-            fresh = self._fresh(batch, policy, order)
+            fresh = self.delta(batch, policy, order)
             fresh.select(*self.schema.names).write.mode("overwrite").parquet(delta)
         rows = self.spark.read.schema(self.schema).parquet(delta)
         days = [x.day for x in rows.select(F.to_date(self.ts).alias("day")).distinct().collect()]
@@ -125,7 +125,8 @@ class KeptStore:
         entry.coalesce(1).write.mode("overwrite").parquet(f"{self.path}.summary/append={delta.rsplit('/', 1)[1]}")
         return rows
 
-    def _fresh(self, batch: DataFrame, policy: str, order: Sequence[str] | None) -> DataFrame:
+    def delta(self, batch: DataFrame, policy: str = "absent", order: Sequence[str] | None = None) -> DataFrame:
+        """What ``append`` would insert; nothing is written."""
         if policy == "newer":
             return st.append_newer(batch, batch, self.keys, self.ts, order, last=self.coverage())
         if policy != "absent":

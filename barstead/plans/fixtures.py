@@ -74,6 +74,13 @@ def mixed_store(spark, sf_dir) -> DataFrame:
     return hours.unionByName(mins)
 
 
+def repeated(batch: DataFrame, ts: str = "bar_ts", value: str = "open") -> DataFrame:
+    """A batch with some bars twice, the second with a larger value, and rows without a time or a series."""
+    again = batch.filter(F.hour(ts) % 6 == 0).withColumn(value, F.col(value) + 1)
+    some = batch.filter(F.hour(ts) == 1)
+    return batch.unionByName(again).unionByName(some.withColumn(ts, F.lit(None).cast("timestamp_ntz"))).unionByName(some.withColumn("symbol", F.lit(None).cast("string")))
+
+
 def raw_klines(spark, sf_dir) -> DataFrame:
     c = candles(spark, sf_dir)
     a = c.select("symbol", "bar_ts", "open", "close", F.lit("a").alias("file"), F.lit(0).alias("line_no"))

@@ -11,10 +11,12 @@ from ..operators import quality as q
 from ..operators import reconcile as r
 from ..operators import snapshot as sn
 from ..operators import store as st
+from ..operators.asof import asof_join
 from ..operators.kept import KeptStore
-from ..operators.shared import shared_path
+from ..operators.shared import shared_path, written
 from ..sources import text
-from ..streaming import jobs
+from ..streaming import archives as archive_jobs
+from ..streaming import gaps, jobs
 from . import basics
 from . import fixtures as fx
 from .basics import CALENDAR, PREVIOUS, closed, closed_strict
@@ -26,6 +28,7 @@ from .book import query
 def recent_delta(batch: DataFrame, store: DataFrame | KeptStore, validate: bool = False, keys=("symbol",), ts: str = "bar_ts", step=3600) -> DataFrame:
     """Rows of a closed batch that are newer than the store; with ``validate`` only of series whose overlap is sound. A kept store is read by its summary."""
     kept = isinstance(store, KeptStore)
+    batch = st.unique_rows(batch, [*keys, ts])
     delta = st.append_newer(batch, batch if kept else store, keys, ts, last=store.coverage() if kept else None)
     if validate:
         verdict = store.validate_overlap(batch, step=step) if kept else r.validate_overlap(batch, store, ts=ts, keys=keys, step=step)
@@ -33,10 +36,13 @@ def recent_delta(batch: DataFrame, store: DataFrame | KeptStore, validate: bool
     return delta
 
 
-def archive_backfill(rows: DataFrame, store: DataFrame, required: list[str], keys=("symbol",), ts: str = "bar_ts") -> DataFrame:
-    """Rows of archives with all required values whose key isn't stored; interior holes are filled. Only the store's slice between their times is read."""
+def archive_backfill(rows: DataFrame, store: DataFrame, required: list[str], keys=("symbol",), ts: str = "bar_ts", bounds: tuple | None = None) -> DataFrame:
+    """Rows of archives with all required values whose key isn't stored; interior holes are filled. Only the store's slice between their times is read.
+
+    ``bounds`` of these times, where they are known from the source, spare computing the rows once more.
+    """
     rows = rows.dropna(subset=required)
-    return st.append_absent(rows, store, keys, ts, bounds=st.batch_bounds(rows, ts))
+    return st.append_absent(rows, store, keys, ts, bounds=bounds or st.batch_bounds(rows, ts))
 
 
 def catch_up(batch: DataFrame, store: DataFrame | KeptStore, recent: int, ts: str = "bar_ts", keys=("symbol",), step=3600) -> DataFrame:
@@ -270,12 +276,12 @@ NEWER = "select {1} from {0} b left join (select symbol, max(bar_ts) as e from s
 
 @query(RECENT + overlap_sql("recent") + "select b.symbol, b.bar_ts, b.open, b.high, b.low, b.close, b.volume from recent b join overlap o using (symbol) left join (select symbol, max(bar_ts) as e from store group by 1) using (symbol) where o.ok and (e is null or b.bar_ts > e)")
 def recent_delta_ohlcv(spark, d):
-    return recent_delta(recent(spark, d), fx.store(spark, d), validate=True).select("symbol", "bar_ts", "open", "high", "low", "close", "volume")
+    return recent_delta(fx.repeated(recent(spark, d)), fx.store(spark, d), validate=True).select("symbol", "bar_ts", "open", "high", "low", "close", "volume")
 
 
 @query(RECENT + NEWER.format("recent", "symbol, bar_ts, open, high, low, close, volume, num_trades"))
 def recent_delta_full(spark, d):
-    return recent_delta(recent(spark, d), fx.store(spark, d))
+    return recent_delta(fx.repeated(recent(spark, d)), fx.store(spark, d))
 
 
 METRIC_CUT = "ts < timestamp '2024-01-20 00:00:00' and not (hour(ts) in (10, 11) and day(ts) % 5 = 0)"
@@ -295,25 +301,25 @@ _CLOSED_METRICS = f"from metrics5m m left join (select symbol, max(ts) as e from
 
 @query("select symbol, ts as snapshot_time, ts - interval 1 hour as timestamp, sum_open_interest " + _CLOSED_METRICS)
 def recent_delta_oi(spark, d):
-    x = recent_delta(closed_metrics(spark, d), metric_store(spark, d), ts="ts")
+    x = recent_delta(fx.repeated(closed_metrics(spark, d), "ts", "sum_open_interest"), metric_store(spark, d), ts="ts")
     return x.select("symbol", F.col("ts").alias("snapshot_time"), S.opens_at(F.col("ts")).alias("timestamp"), "sum_open_interest")
 
 
 @query("select symbol, ts as snapshot_time, ts - interval 1 hour as timestamp, count_long_short_ratio as long_short_ratio " + _CLOSED_METRICS)
 def recent_delta_ls(spark, d):
-    x = recent_delta(closed_metrics(spark, d), metric_store(spark, d), ts="ts")
+    x = recent_delta(fx.repeated(closed_metrics(spark, d), "ts", "sum_open_interest"), metric_store(spark, d), ts="ts")
     return x.select("symbol", F.col("ts").alias("snapshot_time"), S.opens_at(F.col("ts")).alias("timestamp"), F.col("count_long_short_ratio").alias("long_short_ratio"))
 
 
 @query(RECENT + NEWER.format("recent", "symbol, bar_ts, bar_ts + interval 1 hour as snapshot_time, open, high, low, close"))
 def recent_delta_premium(spark, d):
-    x = recent_delta(recent(spark, d), fx.store(spark, d))
+    x = recent_delta(fx.repeated(recent(spark, d)), fx.store(spark, d))
     return x.select("symbol", "bar_ts", S.closes_at(F.col("bar_ts")).alias("snapshot_time"), "open", "high", "low", "close")
 
 
 @query(RECENT + NEWER.format("recent", "symbol, bar_ts, bar_ts + interval 1 hour as snapshot_time, open, high, low, close, volume, num_trades"))
 def recent_delta_spot(spark, d):
-    return recent_delta(recent(spark, d), fx.store(spark, d)).withColumn("snapshot_time", S.closes_at(F.col("bar_ts")))
+    return recent_delta(fx.repeated(recent(spark, d)), fx.store(spark, d)).withColumn("snapshot_time", S.closes_at(F.col("bar_ts")))
 
 
 CLEAN_METRICS = CALENDAR + """select symbol, snapshot_time, timestamp, is_fallback, sum_open_interest, sum_open_interest * 2 as sum_open_interest_value, count_long_short_ratio,
@@ -340,8 +346,11 @@ SNAPSHOT = CALENDAR + f", mstore as (select symbol, ts as snapshot_time from met
 
 
 def snapshot_backfill(spark, d):
-    snap = sn.hourly_snapshot(six_metrics(spark, d))
-    return archive_backfill(snap, metric_store(spark, d).withColumnRenamed("ts", "snapshot_time"), ["sum_open_interest"], ts="snapshot_time")
+    raw = six_metrics(spark, d)
+    # the snapshot's hours lie between the raw rows' first and last one
+    span = raw.agg(S.hour_floor(F.min("ts")).alias("lo"), S.hour_ceil(F.max("ts")).alias("hi")).first()
+    held = metric_store(spark, d).withColumnRenamed("ts", "snapshot_time")
+    return archive_backfill(sn.hourly_snapshot(raw), held, ["sum_open_interest"], ts="snapshot_time", bounds=tuple(span) if span.lo else None)
 
 
 @query(SNAPSHOT + "select symbol, snapshot_time, timestamp, sum_open_interest from snap anti join mstore using (symbol, snapshot_time) where sum_open_interest is not null")
@@ -386,10 +395,10 @@ def insert_or_ignore(spark, d):
     where bar_ts + interval 1 minute - interval 1 millisecond < timestamp '2024-01-28 12:34:56' and hour(bar_ts) % 7 <> 0) group by 1)""")
 def accumulate_1m(spark, d):
     """Closed one-minute bars, inserted unless stored or incomplete; then coverage of the store."""
-    bars = fx.minutes(spark, d).withColumn("close", F.when(F.hour("bar_ts") % 7 != 0, F.col("close")))
-    batch = closed_strict(bars)
+    bars = fx.minutes(spark, d).withColumn("close", F.when(F.hour("bar_ts") % 7 != 0, F.col("close"))).withColumn("line_no", F.monotonically_increasing_id())
+    batch = closed_strict(fx.repeated(bars))
     held = fx.minute_store(spark, d)
-    fresh = st.insert_or_ignore(batch, held, schemas.REQUIRED["ohlcv_1m"], order=(), bounds=st.batch_bounds(batch))
+    fresh = st.insert_or_ignore(batch, held, schemas.REQUIRED["ohlcv_1m"], order=("open", "line_no"), bounds=st.batch_bounds(batch)).drop("line_no")
     after = held.unionByName(fresh)
     return st.coverage(after).join(fresh.groupBy("symbol").agg(F.count("*").alias("inserted")), "symbol", "left").fillna({"inserted": 0})
 
@@ -438,7 +447,7 @@ def append_absent(spark, d):
 
 @query(NEWER.format("feed", "symbol, bar_ts, close"))
 def append_newer(spark, d):
-    return st.append_newer(fx.feed(spark, d), fx.store(spark, d)).select("symbol", "bar_ts", "close")
+    return st.append_newer(fx.repeated(fx.feed(spark, d)), fx.store(spark, d)).select("symbol", "bar_ts", "close")
 
 
 @query("select symbol, bar_ts, count(*) as copies from raw_klines group by 1, 2 having count(*) > 1")
@@ -467,6 +476,79 @@ def late_policy(spark, d):
     return per("absent", st.append_absent(fx.feed(spark, d), fx.store(spark, d))).unionByName(per("newer", st.append_newer(fx.feed(spark, d), fx.store(spark, d))))
 
 
+# ---------------------------------------------------------------- kept summaries
+
+
+def parts_of(rows: DataFrame, n: int = 3, ts: str = "bar_ts") -> list[DataFrame]:
+    """Rows dealt to n deliveries, in no order of time."""
+    return [rows.filter(F.pmod(F.hour(ts) * 7 + F.dayofmonth(ts) * 5, F.lit(n)) == i) for i in range(n)]
+
+
+def kept_store(spark, rows: DataFrame, ts: str = "bar_ts") -> KeptStore:
+    """A store with a summary, filled by several appends out of order."""
+    store = KeptStore(spark, shared_path(spark, "kept"), rows.schema, ts=ts)
+    for part in parts_of(rows, ts=ts):
+        store.append(part)
+    return store
+
+
+@query("select symbol, min(bar_ts) as first_ts, max(bar_ts) as last_ts, count(*) as n_rows from store group by 1")
+def kept_coverage(spark, d):
+    """Coverage from the summary alone."""
+    return kept_store(spark, fx.store(spark, d)).coverage()
+
+
+@query(NEWER.format("feed", "symbol, bar_ts, close"))
+def kept_append_newer(spark, d):
+    """What lies behind the summary's last time, each key once."""
+    return kept_store(spark, fx.store(spark, d)).append(fx.repeated(fx.feed(spark, d)), "newer").select("symbol", "bar_ts", "close")
+
+
+@query("select 'delta' as what, symbol, bar_ts from feed anti join store using (symbol, bar_ts) union all select 'held', symbol, bar_ts from store")
+def dry_run(spark, d):
+    """The rows that an append would insert, and the store after asking: as it was."""
+    store = kept_store(spark, fx.store(spark, d))
+    delta = written(store.delta(fx.repeated(fx.feed(spark, d))), "dry")
+    what = lambda rows, name: rows.select(F.lit(name).alias("what"), "symbol", "bar_ts")
+    return what(delta, "delta").unionByName(what(store.read(), "held"))
+
+
+@query(BATCH + TARGETS + verdict_sql("batch", "targets", "v") + "select * from v")
+def kept_validate_window(spark, d):
+    return kept_store(spark, fx.store(spark, d)).validate_window(window_batch(spark, d), targets(spark, d))
+
+
+@query(RECENT + overlap_sql("recent") + "select b.symbol, b.bar_ts, b.open, b.close from recent b join overlap o using (symbol) left join (select symbol, max(bar_ts) as e from store group by 1) using (symbol) where o.ok and (e is null or b.bar_ts > e)")
+def kept_recent_delta(spark, d):
+    return recent_delta(fx.repeated(recent(spark, d)), kept_store(spark, fx.store(spark, d)), validate=True).select("symbol", "bar_ts", "open", "close")
+
+
+@query(CALENDAR + "select * from snap")
+def snapshot_refresh(spark, d):
+    """The hourly snapshot after three deliveries out of order, of which each changed only the hours that it affects."""
+    rows, values = fx.metrics5m(spark, d), ["sum_open_interest", "count_long_short_ratio"]
+    raw, path = KeptStore(spark, shared_path(spark, "raw"), rows.schema, ts="ts"), shared_path(spark, "snapshot")
+    for part in parts_of(rows, ts="ts"):
+        sn.refresh_snapshot(raw, part, path, values)
+    return sn.read_snapshot(spark, path, sn.hourly_snapshot(rows, values).schema)
+
+
+@query(_reconcile_sql("store", "feed", "close", 0.01, "bar_ts"))
+def reconcile_digests(spark, d):
+    """The report of reconciliation; only days whose digests differ were joined."""
+    return r.reconcile_by_digest(fx.store(spark, d), fx.feed(spark, d), [("close", 0.01)])[0]
+
+
+@query("""select f.symbol, f.bar_ts, s.bar_ts as asof_ts, s.close from (select symbol, bar_ts from feed) f asof left join (select symbol, bar_ts, close from store where hour(bar_ts) % 5 = 0) s
+  on f.symbol = s.symbol and f.bar_ts >= s.bar_ts where s.bar_ts is null or f.bar_ts - s.bar_ts <= interval 30 hour
+  union all select f.symbol, f.bar_ts, null, null from (select symbol, bar_ts from feed) f asof join (select symbol, bar_ts from store where hour(bar_ts) % 5 = 0) s on f.symbol = s.symbol and f.bar_ts >= s.bar_ts
+  where f.bar_ts - s.bar_ts > interval 30 hour""")
+def asof_tolerance(spark, d):
+    """The last stored fifth hour of at most thirty hours before each bar of the feed."""
+    held = fx.store(spark, d).filter(F.hour("bar_ts") % 5 == 0)
+    return asof_join(fx.feed(spark, d).select("symbol", "bar_ts"), held, ["close"], 30 * 3600, ts="bar_ts")
+
+
 # ---------------------------------------------------------------- streaming
 
 
@@ -523,3 +605,25 @@ def stream_dedupe_within(spark, d):
     kept = jobs.dedupe_within(stream, ["symbol"], "bar_ts", "60 days")
     kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", work).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("symbol string, bar_ts timestamp_ntz").parquet(out)
+
+
+@query(PREVIOUS.format("store") + "select symbol, prev_ts, bar_ts as ts, diff_s from diffs where diff_s <> 3600")
+def stream_gaps(spark, d):
+    """Final gaps of bars that arrive out of order in three deliveries; two beats of a clock let every time pass."""
+    landing, out, work = (shared_path(spark, x) for x in ("landing", "gaps", "watch"))
+    beat = lambda ts: spark.sql(f"select '~' as symbol, timestamp_ntz'{ts}' as bar_ts")
+    for part in [*parts_of(fx.store(spark, d).select("symbol", "bar_ts")), beat("2025-01-01 00:00:00"), beat("2025-01-01 01:00:00")]:
+        part.coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema("symbol string, bar_ts timestamp_ntz").parquet(landing)
+        told = gaps.watch_to_end(spark, gaps.watch(stream, delay="60 days"), out, work)
+    return told.filter("kind = 'gap' and symbol <> '~'").drop("kind")
+
+
+@query(BATCH + overlap_sql("batch") + "select b.symbol, b.bar_ts, b.close, o.reason from batch b join overlap o using (symbol) where not o.ok")
+def stream_quarantine(spark, d):
+    """Rows of series whose overlap with the store isn't sound, held back from it with the reason."""
+    rows = window_batch(spark, d)
+    store, landing, work = kept_store(spark, fx.store(spark, d)), shared_path(spark, "landing"), shared_path(spark, "validated")
+    rows.coalesce(1).write.parquet(landing)
+    archive_jobs.ingest_validated(spark.readStream.schema(rows.schema).parquet(landing), store, work)
+    return archive_jobs.quarantined(store, work).select("symbol", "bar_ts", "close", "reason")
