@@ -55,6 +55,8 @@ ROUNDS = 3
 #: Characters of each piece before a match in which its pattern words are looked for.
 CONTEXT = 80
 STEP = 128
+#: Spans that one pass over words and base spans holds in a growing list.
+BLOCK = 64
 
 
 SPANS = "cast(array() as array<struct<start: bigint, s: string, before: string>>)"
@@ -144,22 +146,36 @@ def contexts(before: Column) -> Column:
     return F.filter(F.array(one, F.regexp_replace(two, C.SPACE, " ")), lambda p: p != "")
 
 
-def outside(words: str, base: str) -> Column:
-    """The spans of ``words`` that overlap none of ``base``: one pass in order of starts carries the furthest end so far, one back the next start."""
-    event = lambda x, word, stop: F.struct(x["start"].alias("start"), F.lit(word).alias("word"), stop.cast("long").alias("stop"), x["s"].alias("s"), x["before"].alias("before"))
-    events = F.array_sort(F.concat(F.transform(base, lambda b: event(b, 0, b["stop"])), F.transform(words, lambda w: event(w, 1, w["start"] + F.length(w["s"])))))
+def with_free(rows: DataFrame) -> DataFrame:
+    """Add ``free``: the spans of ``words`` that overlap none of ``base``.
 
-    def carried(rows: Column, first: int, step) -> Column:
+    One pass in order of starts carries the furthest end so far, one back the next start. A list that grows by appending
+    is copied at each step, so each pass goes by blocks of spans: first what each block adds, then what each inherits, then
+    its own spans. Each step is a column, see ``locate``.
+    """
+    event = lambda x, word, stop: F.struct(x["start"].alias("start"), F.lit(word).alias("word"), stop.cast("long").alias("stop"), x["s"].alias("s"), x["before"].alias("before"))
+    events = F.array_sort(F.concat(F.transform("base", lambda b: event(b, 0, b["stop"])), F.transform("words", lambda w: event(w, 1, w["start"] + F.length(w["s"])))))
+    rows = rows.withColumn("_events", F.when((F.size("words") > 0) & (F.size("base") > 0), events))
+    numbers = F.sequence(F.lit(0), F.floor((F.size("_events") - 1) / BLOCK).cast("int"))
+    rows = rows.withColumn("_blocks", F.when(F.col("_events").isNotNull(), F.transform(numbers, lambda i: F.slice("_events", i * BLOCK + 1, BLOCK))))
+    rows = rows.withColumn("_back", F.reverse(F.transform("_blocks", F.reverse)))
+
+    def carried(blocks: str, first: int, value: str, best) -> Column:
+        """What each span sees of ``value`` of the base spans up to it."""
+        step = lambda at, x: F.when(x["word"] == 0, best(at, x[value])).otherwise(at)
         state = lambda at, out: F.struct(at.cast("long").alias("at"), out.alias("out"))
-        move = lambda a, x: state(F.when(x["word"] == 0, step(a["at"], x)).otherwise(a["at"]), F.array_append(a["out"], a["at"]))
-        return F.aggregate(rows, state(F.lit(first), F.expr("cast(array() as array<bigint>)")), move)["out"]
-
-    ends = carried(events, 0, lambda at, x: F.greatest(at, x["stop"]))
-    starts = F.reverse(carried(F.reverse(events), 2**62, lambda at, x: F.least(at, x["start"])))
-    marked = F.zip_with(events, F.arrays_zip(ends.alias("end"), starts.alias("next")), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    free = F.filter(marked, lambda m: (m["x"]["word"] == 1) & (m["y"]["end"] <= m["x"]["start"]) & (m["y"]["next"] >= m["x"]["stop"]))
+        start = lambda at: state(at, F.expr("cast(array() as array<bigint>)"))
+        own = F.transform(blocks, lambda block: F.aggregate(block, F.lit(first).cast("long"), step))
+        before = F.aggregate(own, start(F.lit(first)), lambda a, x: state(best(a["at"], x), F.array_append(a["out"], a["at"])))["out"]
+        within = lambda block, at: F.aggregate(block, start(at), lambda a, x: state(step(a["at"], x), F.array_append(a["out"], step(a["at"], x))))["out"]
+        return F.flatten(F.zip_with(blocks, before, within))
+
+    rows = rows.withColumn("_ends", carried("_blocks", 0, "stop", F.greatest)).withColumn("_starts", F.reverse(carried("_back", 2**62, "start", F.least)))
+    sides = F.arrays_zip("_ends", "_starts")
+    marked = F.zip_with("_events", sides, lambda x, y: F.struct(x.alias("x"), y["_ends"].alias("end"), y["_starts"].alias("next")))
+    free = F.filter(marked, lambda m: (m["x"]["word"] == 1) & (m["end"] <= m["x"]["start"]) & (m["next"] >= m["x"]["stop"]))
     found = F.transform(free, lambda m: F.struct(m["x"]["start"].alias("start"), m["x"]["s"].alias("s"), m["x"]["before"].alias("before")))
-    return F.when((F.size(words) > 0) & (F.size(base) > 0), found).otherwise(F.col(words))
+    return rows.withColumn("free", F.coalesce(found, "words")).drop("_events", "_blocks", "_back", "_ends", "_starts")
 
 
 def extract(docs: DataFrame) -> DataFrame:
@@ -167,7 +183,7 @@ def extract(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     rows = locate(with_base(rows), "words", CANDIDATE, F.col("text").rlike(MAY_HOLD))
-    rows = rows.withColumn("free", outside("words", "base"))
+    rows = with_free(rows)
 
     def entry(kind: Column, stop: Column, x: Column) -> Column:
         return F.struct(kind.alias("kind"), x["start"].alias("start"), stop.alias("stop"), F.lower(x["s"]).alias("s"), contexts(x["before"]).alias("patterns"))
