@@ -22,18 +22,19 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
 
-def zip_lines(archives: DataFrame, skip_blank: bool = True) -> DataFrame:
+def zip_lines(archives: DataFrame, skip_blank: bool = True, tell_empty: bool = False) -> DataFrame:
     """(file, line_no, line) of the first CSV member of each archive, decompressed as a stream.
 
-    A byte order mark and line ends are removed. A member is read to its end once before any of its
-    lines counts: one that is damaged, encrypted or not UTF-8 gives a single line numbered -1 with a
-    null text, and never half of its lines; an archive without a CSV member gives one numbered -2.
+    A byte order mark and line ends are removed. An archive without a CSV member has no lines, or with
+    ``tell_empty`` a single one numbered -2 with a null text. A member is read to its end once before
+    any of its lines counts: one that is damaged, encrypted or not UTF-8 gives a single line numbered -1
+    with a null text, and never half of its lines.
     """
 
     def lines(content: bytes):
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             member = next((n for n in z.namelist() if n.lower().endswith(".csv")), None)
-            if not member:
+            if tell_empty and not member:
                 yield -2, None
             for counts in (False, True) if member else ():
                 with io.TextIOWrapper(z.open(member), encoding="utf-8-sig", newline="\n") as text:

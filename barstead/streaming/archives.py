@@ -52,7 +52,7 @@ def ingest_archives(stream: DataFrame, store: KeptStore, work: str, shape: Calla
     def batch(taken: DataFrame, number: int) -> None:
         at = f"{work}/lines/{number}"
         if not st.exists(spark, f"{at}/_SUCCESS"):
-            archives.zip_lines(taken).write.mode("overwrite").parquet(at)
+            archives.zip_lines(taken, tell_empty=True).write.mode("overwrite").parquet(at)
         lines = spark.read.schema("file string, line_no long, line string").parquet(at)
         told = F.max(F.when(F.col("line_no") >= 0, "taken").when(F.col("line_no") == -1, "damaged").otherwise("no CSV member"))
         lines.groupBy("file").agg(told.alias("state"), F.count_if(F.col("line_no") >= 0).alias("lines")).write.mode("overwrite").parquet(f"{work}/taken/batch={number}")

@@ -229,7 +229,7 @@ def test_archives_are_taken_once(spark, tmp_path, monkeypatch):
         "AB-1h-2024-01-01.zip": ("taken", 24), "AB-1h-2024-01-02.zip": ("taken", 28), "CD-1h-2024-01-01.zip": ("no CSV member", 0), "EF-1h-2024-01-01.zip": ("damaged", 0),
     }
     batches = sa.taken_archives(spark, work).select("batch").distinct().count()
-    monkeypatch.setattr(sa.archives, "zip_lines", lambda _: pytest.fail("unzipped again"))
+    monkeypatch.setattr(sa.archives, "zip_lines", lambda *_, **__: pytest.fail("unzipped again"))
     assert hours_of(run()) == list(range(48))
     monkeypatch.undo()
     land_zip(landing, "AB-1h-2024-01-03.zip", range(40, 50), close=9.0)
