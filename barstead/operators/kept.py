@@ -65,6 +65,11 @@ class KeptStore:
         """Per series: first_ts, last_ts, n_rows, without reading the store."""
         return self.summary(without).groupBy(*self.keys).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("n_rows").alias("n_rows"))
 
+    def appended(self, name: str) -> DataFrame:
+        """Per series what the append of that name put in, from its entry: inserted, first_ts, last_ts. Neither the rows nor the store are read."""
+        log = self.spark.read.parquet(f"{self.path}.summary").filter(F.col("append") == name)
+        return log.groupBy(*self.keys).agg(F.sum("n_rows").alias("inserted"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+
     def rebuild(self) -> None:
         """The summary anew, as one entry, from the rows of the store. Earlier entries go."""
         rows = summed(self.read(), self.keys, self.ts)

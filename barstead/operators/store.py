@@ -75,13 +75,46 @@ def write_append(rows: DataFrame, path: str, dataset: str | None = None, ts: str
     """
     if dataset:
         rows = schemas.as_store(rows, dataset).dropna(subset=schemas.REQUIRED.get(dataset, []))
-    by_day = rows.withColumn("day", F.to_date(ts)).hint("rebalance", "day")
-    by_day.sortWithinPartitions("day", *rows.columns[: rows.columns.index(ts) + 1]).write.mode("append").partitionBy("day").parquet(path)
+    if folders(rows.sparkSession, rewrite_mark(path)):
+        raise ValueError(f"{path} is being rewritten: finish that first")
+    by_day(rows, ts).write.mode("append").partitionBy("day").parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def by_day(rows: DataFrame, ts: str) -> DataFrame:
+    """Rows with their day, dealt to writers by size of the day, sorted by the columns before the time."""
+    dealt = rows.withColumn("day", F.to_date(ts)).hint("rebalance", "day")
+    return dealt.sortWithinPartitions("day", *rows.columns[: rows.columns.index(ts) + 1])
+
+
+def rewrite_mark(path: str) -> str:
+    """Holds a folder for an unfinished rewrite of the store."""
+    return f"{path}.rewrite/unfinished"
+
+
+def _at(spark: SparkSession, path: str) -> tuple:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _at(spark, path)
+    return fs.exists(at)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where there is no such folder."""
+    fs, at = _at(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(at) if x.isDirectory()) if fs.exists(at) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _at(spark, path)
+    fs.mkdirs(at)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _at(spark, path)
+    fs.delete(at, True)
 
 
 def read_store(spark: SparkSession, path: str, schema: T.StructType, bounds: tuple | None = None, ts: str = "timestamp") -> DataFrame:

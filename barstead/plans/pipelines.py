@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..functions import schemas
 from ..operators import quality as q
 from ..operators import reconcile as r
+from ..operators import rewrite as rw
 from ..operators import snapshot as sn
 from ..operators import store as st
 from ..operators.asof import asof_join
+from ..operators.counters import write_clean
 from ..operators.kept import KeptStore
 from ..operators.shared import shared_path, written
 from ..sources import text
 from ..streaming import archives as archive_jobs
 from ..streaming import gaps, jobs
+from ..streaming.counters import run_counted
 from . import basics
 from . import fixtures as fx
 from .basics import CALENDAR, PREVIOUS, closed, closed_strict
@@ -549,6 +553,55 @@ def asof_tolerance(spark, d):
     return asof_join(fx.feed(spark, d).select("symbol", "bar_ts"), held, ["close"], 30 * 3600, ts="bar_ts")
 
 
+# ---------------------------------------------------------------- rewrites, counters of the writing pass
+
+
+@query("select symbol, bar_ts as timestamp, bar_ts + interval 1 hour as snapshot_time, close, volume as base_volume, num_trades::bigint as num_trades from store")
+def rewrite_days(spark, d):
+    """A store without snapshot times, with a narrow count and an old column name, rewritten in steps; the run is cut off after two and resumed."""
+    old = fx.store(spark, d).select("symbol", F.col("bar_ts").alias("timestamp"), "close", "volume", "num_trades")
+    path = shared_path(spark, "rewritten")
+    st.write_append(old, path)
+    schema = T.StructType.fromDDL("symbol string, timestamp timestamp_ntz, snapshot_time timestamp_ntz, close double, base_volume double, num_trades long")
+    fill = lambda rows: st.migrate_snapshot(rows, "timestamp")
+    for steps in (2, None):
+        rw.rewrite_store(spark, path, schema, fill, "snapshot", {"volume": "base_volume"}, days_per_step=5, steps=steps)
+    return st.read_store(spark, path, schema)
+
+
+@query(f"""select n.*, k.* from (select sum(n_rows)::bigint as n_rows, sum(dropped_incomplete)::bigint as dropped_incomplete, sum(dropped_duplicate)::bigint as dropped_duplicate from ({basics.COUNTERS})) n,
+  (select count(*) as inserted, min(bar_ts) as first_ts, max(bar_ts) as last_ts, count(*) as stored from (select distinct symbol, bar_ts from raw_bars where try_cast(close_text as double) is not null)) k""")
+def counters_written(spark, d):
+    """Counters that the cleaning write itself gave, beside the number of rows then stored."""
+    rows, path = fx.raw_bars(spark, d), shared_path(spark, "cleaned")
+    rows = rows.withColumn("close", S.number(F.col("close_text"))).drop("close_text")
+    got = write_clean(rows, path, ["open", "close"])
+    schema = "n_rows long, dropped_incomplete long, dropped_duplicate long, inserted long, first_ts timestamp_ntz, last_ts timestamp_ntz"
+    return spark.createDataFrame([tuple(got.values())], schema).join(st.read_store(spark, path, rows.schema).agg(F.count("*").alias("stored")))
+
+
+@query("select symbol, count(*) as inserted, min(bar_ts) as first_ts, max(bar_ts) as last_ts from (select * from feed anti join store using (symbol, bar_ts)) group by 1")
+def append_counted(spark, d):
+    """What an append put in, per series, from its entry in the summary."""
+    store = kept_store(spark, fx.store(spark, d))
+    store.append(fx.repeated(fx.feed(spark, d)), name="feed")
+    return store.appended("feed")
+
+
+@query("select count(*) as n_rows, count(*) filter (try_cast(epoch_text as bigint) > 1000000000000000) as micros_rows, count(*) filter (try_cast(epoch_text as bigint) is null) as bad_rows from raw_epoch")
+def stream_counters(spark, d):
+    """Row and unit counters of epochs that arrive in three deliveries, told by the writing stream."""
+    rows, landing, out, work = fx.raw_epoch(spark, d), *(shared_path(spark, x) for x in ("landing", "epochs", "stream"))
+    x, told = F.col("epoch_text").try_cast("bigint"), []
+    for i in range(3):
+        rows.filter(F.col("event_id") % 3 == i).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(rows.schema).parquet(landing)
+        write = lambda w: w.format("parquet").option("path", out).option("checkpointLocation", work)
+        told += run_counted(stream, write, n_rows=F.count("*"), micros_rows=F.count_if(x > S.MICROS_FROM), bad_rows=F.count_if(x.isNull())).values()
+    sums = ("n_rows", "micros_rows", "bad_rows")
+    return spark.createDataFrame(told, ", ".join(f"{c} long" for c in sums)).agg(*(F.sum(c).alias(c) for c in sums))
+
+
 # ---------------------------------------------------------------- streaming
 
 
