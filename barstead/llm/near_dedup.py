@@ -2,27 +2,28 @@
 
 A document's set are its distinct five-word shingles. Equal sets are one class, so copies never
 multiply. Each class has ``COORDS`` minwise tokens. In each of ``trees`` independent trees a node
-is a path of chosen tokens: at each step the path itself selects which minwise tokens to branch
-on, one or two of them so that 1 / threshold branches are expected and a pair at the threshold
-stays together somewhere with a probability that hardly falls with depth.
+is a path of chosen tokens: at each step, from the root on, the path itself selects which minwise
+tokens to branch on, one or two of them so that 1 / threshold branches are expected and a pair at
+the threshold stays together somewhere with a probability that falls slowly with depth.
 
-Only groups matter, so a node isn't expanded into all its pairs. Level by level, each member is
-compared with its node's smallest member, and the links confirmed on the full shingle sets give
-provisional groups. A node whose members are one group is settled and goes no further, however
-large. The others are compared exhaustively where they have up to ``small`` classes, or up to
-``WIDE`` blocks of ``HELD`` classes outside their main group; wider ones are branched further, and
-at the last level compared in as many blocks as it takes.
+Only groups matter, so a node isn't expanded into all its pairs. At each level, after one step and
+then every ``STEPS``, each member is compared with its node's smallest member, and the links
+confirmed on the full shingle sets give provisional groups. A node whose members are one group is
+settled and goes no further, however large. A node with up to ``small`` classes, or as few outside
+its main group, is a leaf and compared exhaustively; larger ones are branched further. What is
+larger still after ``LAST_STEPS`` steps is compared in as many blocks of ``HELD`` as it takes.
 
 The comparison of a node first looks at set sizes and minwise tokens (4.2 standard deviations of
 slack) and names, for each group that may be linked with another, its likeliest pair. These pairs
 are confirmed on the full sets and the groups merged. In nodes that then still hold several groups
 all likely pairs across groups are confirmed, one by one where classes have few of them, else
-block by block. Texts are fetched for classes with a likely partner only.
+block by block. A pair that shares several leaves counts in the first of them only. Texts are
+fetched for classes with a likely partner only.
 
-Recall: a pair at similarity s is in one node of a tree at the first level with probability
-s**3; 20 trees miss it with (1 - 0.85**3)**20 = 6e-9 at the threshold, and all nodes that aren't
-wide are searched whole. Only links inside wide nodes depend on deeper levels, where a pair at the
-threshold survives in one of the trees with about 0.99; ``tests/llm/near_recall.py`` measures it.
+Recall: a pair at the threshold shares a node of a tree with probability 0.87 after one step and
+some 0.4 after ``LAST_STEPS``; 16 trees miss it with 5e-15 where all its nodes are leaves of the
+first level, and with about 4e-4 where all are branched to the end, less often the more alike it
+is. ``tests/llm/near_recall.py`` measures both.
 
 Skew: node and class sizes come from partial aggregates; no group is collected except small
 nodes; joins on a frequent class or node are plain equi-joins that Spark can split.
@@ -43,6 +44,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,14 +54,13 @@ from .graph import components
 SHINGLE = 5
 THRESHOLD = 85
 COORDS = 128
-TREES = 20
-FIRST_STEPS = 3
-STEPS = 3
-LAST_STEPS = 12
-SMALL = 128
-#: Classes of a node that a task holds at a time, and how many such blocks make a node too wide to be searched before the last level.
+TREES = 16
+#: Steps to the first level, between levels, and to the last.
+FIRST_STEPS, STEPS, LAST_STEPS = 1, 4, 13
+#: Classes of a node, or classes outside its main group, up to which it is a leaf.
+SMALL = 64
+#: Classes of a node that a task holds at a time.
 HELD = 512
-WIDE = 4
 #: Likely pairs per class and node beyond which texts travel to blocks instead of with each pair.
 PAIRS_EACH = 4
 
@@ -125,15 +126,8 @@ def _descend(path: np.ndarray, tokens: np.ndarray, steps: int, twice: float) ->
     return path, row
 
 
-def first_paths(tokens: np.ndarray, trees: int) -> np.ndarray:
-    """(n, trees): the first-level node of each class in each tree. The first steps don't branch."""
-    at = np.repeat(np.arange(len(tokens)), trees)
-    path, _ = _descend(C.mix(np.tile(np.arange(1, trees + 1, dtype=np.uint64), len(tokens))), tokens[at], FIRST_STEPS, 0)
-    return path.view(np.int64).reshape(len(tokens), trees)
-
-
 def branch(rows: DataFrame, steps: int, trees: int | None, threshold: int) -> DataFrame:
-    """(path, set_id) of the nodes ``steps`` below; the roots of ``trees`` trees if given, else below ``path``."""
+    """(path, set_id) of the nodes ``steps`` below; below the roots of ``trees`` trees if given, else below ``path``."""
     twice = 100 / threshold - 1
 
     def run(batches):
@@ -142,7 +136,9 @@ def branch(rows: DataFrame, steps: int, trees: int | None, threshold: int) -> Da
             if not len(tokens):
                 continue
             if trees:
-                path, row = first_paths(tokens, trees).ravel(), np.repeat(np.arange(len(tokens)), trees)
+                above, at = np.tile(np.arange(1, trees + 1, dtype=np.uint64), len(tokens)), np.repeat(np.arange(len(tokens)), trees)
+                path, row = _descend(C.mix(above), tokens[at], steps, twice)
+                row = at[row]
             else:
                 path, row = _descend(np.asarray(batch.column("path")).view(np.uint64), tokens, steps, twice)
             yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column("set_id").take(pa.array(row))], ["path", "set_id"])
@@ -212,57 +208,75 @@ def unsettled(nodes: DataFrame) -> DataFrame:
     return nodes.join(split.filter("groups > 1").drop("groups"), "path")
 
 
-def in_blocks(held: DataFrame, streams: DataFrame, classes: DataFrame) -> DataFrame:
+def with_leaves(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes of ``nodes``, each with the nodes that hold it (some for each tree): set_id, n_shingles, tokens, leaves."""
+    leaves = nodes.groupBy("set_id").agg(F.collect_list("path").alias("leaves"))
+    return C.materialise(leaves.join(classes.select("set_id", "n_shingles", "tokens"), "set_id"), "compared")
+
+
+def in_blocks(held: DataFrame, streams: DataFrame, compared: DataFrame) -> DataFrame:
     """``held`` (node, blocks, set_id, root) dealt to its node's blocks, before ``streams``, which pass by all of them."""
     own = held.select("node", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("streams"), "set_id", "root")
     past = streams.select("node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("streams"), "set_id", "root")
-    rows = own.unionByName(past).join(classes.select("set_id", "n_shingles", "tokens"), "set_id")
+    rows = own.unionByName(past).join(compared, "set_id")
     return rows.repartition("node", "block").sortWithinPartitions("node", "block", "streams")
 
 
-def blocks_of_nodes(nodes: DataFrame, small: int, classes: DataFrame) -> DataFrame:
+def blocks_of_nodes(nodes: DataFrame, small: int, compared: DataFrame) -> DataFrame:
     """A node of up to ``small`` classes is held as a whole; of a larger one, what is outside its main group, and the node streams past."""
     blocks = F.when(F.col("all") <= small, 1).otherwise(F.ceil((F.col("all") - F.col("most")) / HELD)).cast("int").alias("blocks")
     own = nodes.select(F.col("path").alias("node"), "set_id", "root", "all", "main", blocks)
-    return in_blocks(own.filter((F.col("all") <= small) | (F.col("root") != F.col("main"))), own.filter(F.col("all") > small), classes)
+    return in_blocks(own.filter((F.col("all") <= small) | (F.col("root") != F.col("main"))), own.filter(F.col("all") > small), compared)
 
 
 def parts_of(batch: pa.RecordBatch, size: int = 256):
-    """Pieces of a batch that lie in one block: (node, block), whether they stream, row numbers, set ids, groups, sizes, tokens."""
+    """Pieces of a batch that lie in one block: (node, block), whether they stream, row numbers, set ids, groups, sizes, tokens, leaves and whose they are."""
     tags = list(zip(*(batch.column(c).to_pylist() for c in ("node", "block", "streams")), strict=True))
     ids, roots, n = batch.column("set_id").to_pylist(), np.array(batch.column("root").to_pylist(), dtype="S16"), np.asarray(batch.column("n_shingles"))
     tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), dtype=np.uint32).reshape(-1, COORDS)
+    leaves, many = np.asarray(batch.column("leaves").flatten()), np.asarray(pc.list_value_length(batch.column("leaves")))
+    first = np.concatenate(([0], np.cumsum(many)))
     lo = 0
     while lo < len(tags):
         hi = lo
         while hi < len(tags) and tags[hi] == tags[lo] and hi - lo < size:
             hi += 1
-        yield {"key": tags[lo][:2], "streams": tags[lo][2], "rows": range(lo, hi), "ids": ids[lo:hi], "roots": roots[lo:hi], "n": n[lo:hi], "tokens": tokens[lo:hi]}
+        part = {"key": tags[lo][:2], "streams": tags[lo][2], "rows": range(lo, hi), "ids": ids[lo:hi], "roots": roots[lo:hi], "n": n[lo:hi], "tokens": tokens[lo:hi]}
+        yield part | {"leaves": leaves[first[lo] : first[hi]], "whose": np.repeat(np.arange(hi - lo), many[lo:hi])}
         lo = hi
 
 
-def alike(x: dict, y: dict, threshold: int, trees: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of two pieces, of different groups, that set sizes and tokens allow, and their equal tokens.
-
-    With ``trees`` a pair counts in the first tree only in which the two share a node.
-    """
+def met_before(x: dict, y: dict, pairs: np.ndarray) -> np.ndarray:
+    """Which pairs of two pieces also share a leaf before this one."""
+    shared = np.intersect1d(x["leaves"], y["leaves"])
+    shared = shared[shared < x["key"][0]]
+    if not len(shared):
+        return np.zeros(len(pairs), dtype=bool)
+    holds = []
+    for z in (x, y):
+        at = np.minimum(np.searchsorted(shared, z["leaves"]), len(shared) - 1)
+        here = shared[at] == z["leaves"]
+        held = np.zeros((len(z["ids"]), len(shared)), dtype=np.float32)
+        held[z["whose"][here], at[here]] = 1
+        holds.append(held)
+    return (holds[0] @ holds[1].T)[pairs[:, 0], pairs[:, 1]] > 0
+
+
+def alike(x: dict, y: dict, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of two pieces, of different groups and in no leaf before, that set sizes and tokens allow, and their equal tokens."""
     close = 100 * np.minimum(x["n"][:, None], y["n"][None]) >= threshold * np.maximum(x["n"][:, None], y["n"][None])
     close &= x["roots"][:, None] != y["roots"][None]
     at = np.argwhere(np.triu(close) if x is y else close)
     equal = (x["tokens"][at[:, 0]] == y["tokens"][at[:, 1]]).sum(axis=1)
     enough = equal >= tokens_needed(threshold)
     at, equal = at[enough], equal[enough]
-    if trees and len(at):
-        for z in (x, y):
-            if "paths" not in z:
-                z["paths"] = first_paths(z["tokens"], trees)
-        one, two = x["paths"][at[:, 0]], y["paths"][at[:, 1]]
-        here = one[np.arange(len(at)), (one == two).argmax(axis=1)] == x["key"][0]
+    if len(at):
+        here = ~met_before(x, y, at)
         at, equal = at[here], equal[here]
     return at, equal
 
 
-def meetings(batches, threshold: int, trees: int, texts: bool = False):
+def meetings(batches, threshold: int, texts: bool = False):
     """Each held piece of a block with each later piece that holds likely pairs: (x, y, pairs, equal tokens); (held, None, None, None) as a block ends."""
     key, held = None, []
     for batch in batches:
@@ -277,14 +291,14 @@ def meetings(batches, threshold: int, trees: int, texts: bool = False):
             if not part["streams"]:
                 held.append(part)
             for x in held:
-                pairs, equal = alike(x, part, threshold, trees)
+                pairs, equal = alike(x, part, threshold)
                 if len(pairs):
                     yield x, part, pairs, equal
     if held:
         yield held, None, None, None
 
 
-def likeliest(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
+def likeliest(rows: DataFrame, threshold: int) -> DataFrame:
     """For each group that may be linked with another, its pair with most equal tokens: distinct (a, b)."""
 
     def run(batches):
@@ -294,7 +308,7 @@ def likeliest(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
             root, (equal, a, b) = list(best), zip(*best.values(), strict=True)
             return pa.RecordBatch.from_arrays([pa.array(root, pa.binary()), pa.array(equal, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["root", "equal", "a", "b"])
 
-        for x, y, pairs, equal in meetings(batches, threshold, trees):
+        for x, y, pairs, equal in meetings(batches, threshold):
             if y is None:
                 if len(best) > 20_000:
                     yield batch_of()
@@ -320,7 +334,7 @@ def likeliest(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
 MET = "node long, block int, streams int, set_id binary, root binary, pairs long"
 
 
-def touching(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
+def touching(rows: DataFrame, threshold: int) -> DataFrame:
     """The rows of blocks that may be linked with one of another group, and how many pairs each adds."""
 
     def run(batches):
@@ -338,7 +352,7 @@ def touching(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
             if past is not None and past["streams"] and past["hit"].any():
                 yield batch_of(past, past["hit"], past["pairs"])
 
-        for x, y, pairs, _ in meetings(batches, threshold, trees):
+        for x, y, pairs, _ in meetings(batches, threshold):
             if y is not past:
                 yield from leave()
                 past = y
@@ -357,11 +371,11 @@ def touching(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
     return rows.mapInArrow(run, MET)
 
 
-def likely_pairs(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
+def likely_pairs(rows: DataFrame, threshold: int) -> DataFrame:
     """All likely pairs (a, b) of different groups."""
 
     def run(batches):
-        for x, y, pairs, _ in meetings(batches, threshold, trees):
+        for x, y, pairs, _ in meetings(batches, threshold):
             if y is not None:
                 ordered = [sorted((x["ids"][i], y["ids"][j])) for i, j in pairs.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*ordered, strict=True)], ["a", "b"])
@@ -369,7 +383,7 @@ def likely_pairs(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def linked(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
+def linked(rows: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of a block with that similar full sets, as many as connect its groups."""
 
     def same(s, t):
@@ -384,7 +398,7 @@ def linked(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
                 r = parent[r]
             return r
 
-        for x, y, pairs, _ in meetings(batches, threshold, trees, texts=True):
+        for x, y, pairs, _ in meetings(batches, threshold, texts=True):
             if y is None:
                 parent = {}
                 continue
@@ -400,20 +414,20 @@ def linked(rows: DataFrame, threshold: int, trees: int) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def remaining_links(blocks: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int, trees: int) -> DataFrame:
+def remaining_links(blocks: DataFrame, compared: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
     """Confirmed links between the groups of ``blocks``, all their likely pairs considered.
 
     Where classes have few likely partners, the pairs are confirmed one by one. Where they have
     many, texts would travel with each pair; then they travel once to each of their blocks.
     """
-    met = C.materialise(touching(blocks, threshold, trees), "touching")
+    met = C.materialise(touching(blocks, threshold), "touching")
     size = met.agg(F.count("*").alias("rows"), F.sum("pairs").alias("pairs")).first()
     ordered = lambda rows: rows.repartition("node", "block").sortWithinPartitions("node", "block", "streams")
-    rows = met.drop("pairs").join(classes.select("set_id", "n_shingles", "tokens"), "set_id")
+    rows = met.drop("pairs").join(compared, "set_id")
     if (size.pairs or 0) <= PAIRS_EACH * size.rows:
-        return confirmed(C.materialise(likely_pairs(ordered(rows), threshold, trees), "pairs"), classes, docs, threshold)
+        return confirmed(C.materialise(likely_pairs(ordered(rows), threshold), "pairs"), classes, docs, threshold)
     ids = met.select("set_id").distinct().join(classes.select("set_id", "doc_key", "text_key"), "set_id")
-    return linked(ordered(rows.join(texts_of(C.materialise(ids, "wanted"), docs), "set_id")), threshold, trees)
+    return linked(ordered(rows.join(texts_of(C.materialise(ids, "wanted"), docs), "set_id")), threshold)
 
 
 def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int, small: int) -> DataFrame:
@@ -427,7 +441,7 @@ def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int
         links = found if links is None else links.union(found)
         groups = components(links)
         level = C.materialise(unsettled(with_groups(level.select("path", "set_id"), groups)), "unsettled")
-        wide = (F.col("all") > small) & (F.col("all") - F.col("most") > WIDE * HELD)
+        wide = (F.col("all") > small) & (F.col("all") - F.col("most") > small)
         last = steps >= LAST_STEPS or level.filter(wide).isEmpty()
         levels.append(level if last else level.filter(~wide))
         if last:
@@ -440,9 +454,9 @@ def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int
         nodes = nodes.unionByName(level)
     again = lambda: C.materialise(unsettled(with_groups(nodes.select("path", "set_id"), groups)), "unsettled")
     if len(levels) > 1:
-        # earlier levels know earlier groups only; and a pair's first node may be a wide one, so it counts wherever it is met
-        nodes, trees = again(), 0
-    hints = C.materialise(likeliest(blocks_of_nodes(nodes, small, classes), threshold, trees), "hints")
+        nodes = again()  # earlier levels know earlier groups only
+    compared = with_leaves(nodes, classes)
+    hints = C.materialise(likeliest(blocks_of_nodes(nodes, small, compared), threshold), "hints")
     if hints.isEmpty():
         return groups
     found = confirm(hints)
@@ -450,7 +464,7 @@ def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int
         links = links.union(found)
         groups = components(links)
         nodes = again()
-    more = C.materialise(remaining_links(blocks_of_nodes(nodes, small, classes), classes, docs, threshold, trees), "links")
+    more = C.materialise(remaining_links(blocks_of_nodes(nodes, small, compared), compared, classes, docs, threshold), "links")
     return groups if more.isEmpty() else components(links.union(more))
 
 

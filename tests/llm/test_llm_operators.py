@@ -139,18 +139,38 @@ def test_near_recall_on_the_table(spark):
     assert links and sum(got[a] == got[b] for a, b in links) >= 0.99 * len(links)
 
 
-@pytest.mark.parametrize(("wide", "each", "least"), [(4, 0, 1.0), (0, 20, 0.95)])
-def test_near_recall_in_large_nodes(spark, monkeypatch, wide, each, least):
-    """Large nodes of distinct texts around one base, linked in pairs at the threshold: searched whole, or by deeper branches where nodes are too wide."""
-    texts = near_recall.planted(60, random.Random(1))
-    monkeypatch.setattr(near_dedup, "WIDE", wide)
+@pytest.mark.parametrize(("last", "each", "least"), [(1, 0, 1.0), (13, 20, 0.95)])
+def test_near_recall_in_large_nodes(spark, monkeypatch, last, each, least):
+    """Large nodes of distinct texts around one base, linked in pairs at the threshold: searched whole, block by block, or branched further."""
+    texts, branched = near_recall.planted(60, random.Random(1)), []
+    monkeypatch.setattr(near_dedup, "LAST_STEPS", last)
     monkeypatch.setattr(near_dedup, "PAIRS_EACH", each)
     monkeypatch.setattr(near_dedup, "HELD", 16)
-    got = near_recall.found(spark, texts, small=24)
+    branch = near_dedup.branch
+    monkeypatch.setattr(near_dedup, "branch", lambda rows, steps, trees, threshold: branched.append(trees) or branch(rows, steps, trees, threshold))
+    got = near_recall.found(spark, texts, small=8)
+    assert (len(branched) > 1) == (last > 1) and branched[0] == near_dedup.TREES and not any(branched[1:])
     links = list(near_recall.exact_links(texts, list(texts)))
     assert len(links) >= 120 and sum(got[a] == got[b] for a, b in links) >= least * len(links)
 
 
+def test_near_pairs_count_in_one_leaf():
+    """Of the leaves that two classes share, exactly one counts their pair; the others are told to leave it."""
+    rng = np.random.default_rng(3)
+    held = [np.sort(rng.choice(40, rng.integers(1, 9), replace=False)).astype(np.int64) for _ in range(30)]
+    counted = {}
+    for node in range(40):
+        inside = [c for c in range(30) if node in held[c]]
+        if len(inside) < 2:
+            continue
+        part = {"key": (node, 0), "ids": inside, "leaves": np.concatenate([held[c] for c in inside])}
+        part["whose"] = np.repeat(np.arange(len(inside)), [len(held[c]) for c in inside])
+        pairs = np.array([(i, j) for j in range(len(inside)) for i in range(j)])
+        for (i, j), before in zip(pairs.tolist(), near_dedup.met_before(part, part, pairs), strict=True):
+            counted.setdefault((inside[i], inside[j]), []).append(not before)
+    assert counted and all(sum(times) == 1 for times in counted.values())
+
+
 def test_near_keep_one_of_repeated_rows(spark):
     base = prose(120)
     near = base.split(" ")
