@@ -437,9 +437,11 @@ def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int
     while True:
         level = C.materialise(members(below), "nodes")
         stars = level.filter("set_id != least").select(F.col("least").alias("a"), F.col("set_id").alias("b")).distinct()
-        found = confirm(C.materialise(likely(stars, classes, threshold), "pairs"))
-        links = found if links is None else links.union(found)
-        groups = components(links)
+        pairs = C.materialise(likely(stars, classes, threshold), "pairs")
+        if links is None or not pairs.isEmpty():
+            found = confirm(pairs)
+            links = found if links is None else links.union(found)
+            groups = components(links)
         level = C.materialise(unsettled(with_groups(level.select("path", "set_id"), groups)), "unsettled")
         wide = (F.col("all") > small) & (F.col("all") - F.col("most") > small)
         last = steps >= LAST_STEPS or level.filter(wide).isEmpty()
