@@ -10,8 +10,12 @@ Only groups matter, so a node isn't expanded into all its pairs. At each level,
 then every ``STEPS``, each member is compared with its node's smallest member, and the links
 confirmed on the full shingle sets give provisional groups. A node whose members are one group is
 settled and goes no further, however large. A node with up to ``small`` classes, or as few outside
-its main group, is a leaf and compared exhaustively; larger ones are branched further. What is
-larger still after ``LAST_STEPS`` steps is compared in as many blocks of ``HELD`` as it takes.
+its main group, is a leaf and compared exhaustively; larger ones are branched further. Classes
+that are about alike though not linked stay together however often their nodes are branched, and
+each step multiplies their rows. Once the classes of the large nodes are so few that to compare
+each with each moves no more rows than these nodes have, they become one node, which is compared
+in blocks of ``HELD`` and misses no pair. What is larger still after ``LAST_STEPS`` steps is
+compared in as many blocks as it takes.
 
 The comparison of a node first looks at set sizes and minwise tokens (4.2 standard deviations of
 slack) and names, for each group that may be linked with another, its likeliest pair. These pairs
@@ -61,6 +65,8 @@ FIRST_STEPS, STEPS, LAST_STEPS = 1, 4, 13
 SMALL = 64
 #: Classes of a node that a task holds at a time.
 HELD = 512
+#: Name of the node of all classes that branching hasn't divided.
+UNDIVIDED = -(2**63)
 #: Likely pairs per class and node beyond which texts travel to blocks instead of with each pair.
 PAIRS_EACH = 4
 
@@ -444,9 +450,13 @@ def class_groups(classes: DataFrame, docs: DataFrame, threshold: int, trees: int
             groups = components(links)
         level = C.materialise(unsettled(with_groups(level.select("path", "set_id"), groups)), "unsettled")
         wide = (F.col("all") > small) & (F.col("all") - F.col("most") > small)
-        last = steps >= LAST_STEPS or level.filter(wide).isEmpty()
-        levels.append(level if last else level.filter(~wide))
-        if last:
+        size = level.filter(wide).agg(F.count("*").alias("rows"), F.count_distinct("set_id").alias("classes")).first()
+        undivided = steps > FIRST_STEPS and 0 < size.classes * -(-size.classes // HELD) <= size.rows
+        last = steps >= LAST_STEPS or not size.rows
+        levels.append(level if last and not undivided else level.filter(~wide))
+        if undivided:
+            levels.append(unsettled(level.filter(wide).select(F.lit(UNDIVIDED).alias("path"), "set_id", "root").distinct()))
+        if last or undivided:
             break
         rows = level.filter(wide).select("path", "set_id").join(classes.select("set_id", "tokens"), "set_id")
         below, steps = C.materialise(branch(rows, STEPS, None, threshold), "branches"), steps + STEPS
