@@ -57,6 +57,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that go to a Python worker at a time. With Spark's 64 MB, a batch of texts, its copies in the JVM and in Python and the sets of its words took most of what an executor's heap leaves.
+BATCH_BYTES = 4_000_000
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` in batches of ``BATCH_BYTES``; the session keeps that setting, since the plan runs later."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 @contextmanager
 def passing(spark: SparkSession):
     """Folders that ``materialise`` writes inside go when the block ends: only what doesn't read them may leave it."""

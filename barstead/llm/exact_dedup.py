@@ -97,7 +97,7 @@ def ambiguous_ids(docs: DataFrame) -> list[int]:
             if seen:
                 yield pa.RecordBatch.from_pydict({"id": pa.array([chunk_id(c) for c in seen], pa.int64()), "content": pa.array(list(seen), pa.binary())})
 
-    contents = docs.select("text").mapInArrow(run, "id long, content binary").groupBy("id", "content").agg(F.lit(1).alias("one"))
+    contents = C.map_arrow(docs.select("text"), run, "id long, content binary").groupBy("id", "content").agg(F.lit(1).alias("one"))
     return [r.id for r in contents.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id").collect()]
 
 
@@ -119,7 +119,7 @@ def recipes(docs: DataFrame, ambiguous: list[int]) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "recipe": pa.array(lists, pa.binary()), "text_sha256": pa.array(digests)})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", C.row_key(docs)["text_key"].alias("text_key"))
-    return rows.mapInArrow(run, "doc_id long, text_key long, recipe binary, text_sha256 string")
+    return C.map_arrow(rows, run, "doc_id long, text_key long, recipe binary, text_sha256 string")
 
 
 def keyed_groups(docs: DataFrame) -> DataFrame:

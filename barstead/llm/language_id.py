@@ -211,7 +211,7 @@ def predict(docs: DataFrame, net: Net | None, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(names, pa.string()), pa.array(scores)], [*keep, "lang_pred", "score"])
 
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return C.map_arrow(rows, run, schema)
 
 
 def learned(docs: DataFrame, per_language: int = PER_LANGUAGE, cuts_each: int = CUTS_EACH) -> Net | None:

@@ -116,7 +116,7 @@ def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 own = [pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.binary()), pa.array(tokens, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*keys, *own], ["doc_key", "text_key", "n_shingles", "set_id", "tokens"])
 
-    return docs.mapInArrow(run, "doc_key long, text_key long, n_shingles long, set_id binary, tokens binary")
+    return C.map_arrow(docs, run, "doc_key long, text_key long, n_shingles long, set_id binary, tokens binary")
 
 
 def _descend(path: np.ndarray, tokens: np.ndarray, steps: int, twice: float) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +149,7 @@ def branch(rows: DataFrame, steps: int, trees: int | None, threshold: int) -> Da
                 path, row = _descend(np.asarray(batch.column("path")).view(np.uint64), tokens, steps, twice)
             yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column("set_id").take(pa.array(row))], ["path", "set_id"])
 
-    return rows.mapInArrow(run, "path long, set_id binary")
+    return C.map_arrow(rows, run, "path long, set_id binary")
 
 
 def members(nodes: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def likely(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array((a == b).sum(axis=1) >= need))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"100 * least(n_a, n_b) >= {threshold} * greatest(n_a, n_b)")
-    return both.mapInArrow(run, "a binary, b binary")
+    return C.map_arrow(both, run, "a binary, b binary")
 
 
 def texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
             union = np.array([len(a) + len(b) for a, b in zip(*sets, strict=True)], dtype=np.int64) - shared
             yield batch.select(["a", "b"]).filter(pa.array(100 * shared >= threshold * union))
 
-    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a binary, b binary")
+    return C.map_arrow(pairs.join(side("b"), "b").join(side("a"), "a"), run, "a binary, b binary")
 
 
 def with_groups(nodes: DataFrame, groups: DataFrame) -> DataFrame:
@@ -333,7 +333,7 @@ def likeliest(rows: DataFrame, threshold: int) -> DataFrame:
         if best:
             yield batch_of()
 
-    found = rows.mapInArrow(run, "root binary, equal int, a binary, b binary")
+    found = C.map_arrow(rows, run, "root binary, equal int, a binary, b binary")
     return found.groupBy("root").agg(F.max(F.struct("equal", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
 
 
@@ -374,7 +374,7 @@ def touching(rows: DataFrame, threshold: int) -> DataFrame:
             np.add.at(y["pairs"], pairs[:, 1], 1)
         yield from leave()
 
-    return rows.mapInArrow(run, MET)
+    return C.map_arrow(rows, run, MET)
 
 
 def likely_pairs(rows: DataFrame, threshold: int) -> DataFrame:
@@ -386,7 +386,7 @@ def likely_pairs(rows: DataFrame, threshold: int) -> DataFrame:
                 ordered = [sorted((x["ids"][i], y["ids"][j])) for i, j in pairs.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*ordered, strict=True)], ["a", "b"])
 
-    return rows.mapInArrow(run, "a binary, b binary").distinct()
+    return C.map_arrow(rows, run, "a binary, b binary").distinct()
 
 
 def linked(rows: DataFrame, threshold: int) -> DataFrame:
@@ -417,7 +417,7 @@ def linked(rows: DataFrame, threshold: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b"])
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return C.map_arrow(rows, run, "a binary, b binary")
 
 
 def remaining_links(blocks: DataFrame, compared: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:

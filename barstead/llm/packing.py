@@ -161,7 +161,7 @@ def pack(docs: DataFrame, capacities=CAPACITIES, group_bytes: int = GROUP_BYTES,
             yield from packed(name, ids, sizes, np.concatenate(tokens))
 
     rows = dealt_rows(docs, group_bytes).repartition("group").sortWithinPartitions("group", "doc_key", "text_key").select("group", "doc_id", "text")
-    return rows.mapInArrow(run, "bin_id string, capacity long, n_tokens long, doc_ids array<long>, pieces array<long>, starts array<long>, lengths array<long>, token_ids array<int>")
+    return C.map_arrow(rows, run, "bin_id string, capacity long, n_tokens long, doc_ids array<long>, pieces array<long>, starts array<long>, lengths array<long>, token_ids array<int>")
 
 
 def op8_best_fit_packing(spark, sf_dir):

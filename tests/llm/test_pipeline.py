@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline as p
@@ -91,3 +92,18 @@ def test_run_equals_its_stages(spark):
         docs = common.materialise(stage(spark, docs, SF), "stage")
     row = lambda r: (r.bin_id or "", r.capacity or 0, tuple(r.doc_ids), tuple(r.token_ids))
     assert sorted(map(row, docs.collect())) == sorted(map(row, p.run(spark, SF).collect()))
+
+
+def test_stages_send_texts_in_small_batches(spark):
+    """What a Python worker gets at a time is bounded in bytes, since batches of long texts add up beside an executor's heap."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["bytes"])
+
+    df = docs(spark, [prose(20_000)] * 200).repartition(1)
+    for _, stage in p.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, df, SF)
+        if stage is not p.mix_sources:  # no Python
+            assert max(r.bytes for r in df.select("text").mapInArrow(sizes, "bytes long").collect()) < 5_000_000
